@@ -125,9 +125,10 @@ class TestTables:
             lines = lines.join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
         return lines.select(*[available[c].alias(c) for c in columns])
 
-    def sales(self, start: date = SALES_FROM, end: date | None = None) -> DataFrame:
+    def sales(self, start: date | None = None, end: date | None = None) -> DataFrame:
         """Volume lines; the first year has none, so early quarters have no units."""
-        lines = _shipped_between(self.table("lineitem"), start, end)
+        since = max(start or SALES_FROM, SALES_FROM)
+        lines = _shipped_between(self.table("lineitem"), since, end)
         return lines.select(
             F.col("l_suppkey").alias("drug_id"),
             year_month(F.col("l_shipdate").cast("date")).alias("year_month"),

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tocsin.operators.counts import QUARTER_KEYS
+
 GRACE_MONTHS = 6
 
 
@@ -22,26 +24,67 @@ def first_sightings(events: DataFrame) -> DataFrame:
     return events.groupBy("drug_id", "reaction").agg(F.min("event_date").alias("first_seen"))
 
 
+def novel_pairs(
+    sightings: DataFrame, entities: DataFrame, months: int = GRACE_MONTHS
+) -> DataFrame:
+    """The flag ``is_novel_reaction`` of each pair of a known entity."""
+    return sightings.join(entities.select("drug_id", "launch_date"), "drug_id").select(
+        "drug_id", "reaction", _is_novel(months).alias("is_novel_reaction")
+    )
+
+
 def attach_novelty(
     rows: DataFrame, sightings: DataFrame, entities: DataFrame, months: int = GRACE_MONTHS
 ) -> DataFrame:
-    """Give rows with (drug_id, reaction) the flag ``is_novel_reaction``.
+    """Give rows with (drug_id, reaction) the flag; rows of unknown entities are dropped."""
+    return rows.join(novel_pairs(sightings, entities, months), ["drug_id", "reaction"])
+
+
+def novel_period_counts(
+    events: DataFrame,
+    sightings: DataFrame,
+    entities: DataFrame,
+    current: str,
+    previous: str,
+    months: int = GRACE_MONTHS,
+) -> DataFrame:
+    """Period counts per entity (as ``counts.period_counts``) for events without the flag.
 
-    Rows of unknown entities are dropped.
+    Counting by pair gives the counts the partitioning of the sightings, so
+    the two meet without another shuffle.
     """
-    return (
-        rows.join(sightings, ["drug_id", "reaction"])
-        .join(entities.select("drug_id", "launch_date"), "drug_id")
-        .withColumn("is_novel_reaction", _is_novel(months))
-        .drop("launch_date", "first_seen")
+    in_current = F.col("quarter") == current
+    in_previous = F.col("quarter") == previous
+    one = F.lit(1).cast("bigint")
+    by_pair = (
+        events.filter(in_current | in_previous)
+        .groupBy("drug_id", "reaction")
+        .agg(
+            F.sum(F.when(in_current, one)).alias("total_reports"),
+            F.sum(F.when(in_current, F.col("is_serious").cast("int"))).alias("serious_reports"),
+            F.sum(F.when(in_previous, one)).alias("prev_reports"),
+        )
+    )
+    with_dates = by_pair.join(sightings, ["drug_id", "reaction"]).join(
+        entities.select("drug_id", "launch_date"), "drug_id"
+    )
+    novel = F.col("total_reports") * _is_novel(months).cast("int")
+    return with_dates.groupBy("drug_id").agg(
+        F.sum("total_reports").alias("total_reports"),
+        F.sum("serious_reports").alias("serious_reports"),
+        F.sum(novel).alias("novel_reports"),
+        F.sum("prev_reports").alias("prev_reports"),
     )
 
 
 def reaction_rollup(events: DataFrame) -> DataFrame:
-    """Counts and first date per entity, reaction and quarter, without the novel count."""
-    return events.groupBy(
-        "drug_id", "reaction", "quarter", "event_year", "event_quarter_num"
-    ).agg(
+    """Counts and first date per entity, reaction and quarter, without the novel count.
+
+    The quarter's label may be left out of the events where it follows from
+    the date; it is cheaper to write it on the rolled-up rows.
+    """
+    quarter_keys = [k for k in QUARTER_KEYS if k in events.columns]
+    return events.groupBy(*quarter_keys, "reaction").agg(
         F.count(F.lit(1)).alias("total_reports"),
         F.sum(F.col("is_serious").cast("int")).alias("serious_reports"),
         F.min("event_date").alias("first_event"),

@@ -21,7 +21,7 @@ from tocsin.operators import (
 )
 from tocsin.schemas import RAW_DRUGS, required_columns
 from tocsin.sources import files, views
-from tocsin.sources.testtables import AS_OF, SCORING, TestTables
+from tocsin.sources.testtables import AS_OF, EVENT_COLUMNS, SCORING, TestTables
 from tocsin.sources.workspace import fresh_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,10 +31,6 @@ QUERIES: dict[str, Query] = {}
 STRICT = replace(SCORING, investigate_at=50.0, monitor_at=35.0)
 GUARD_AS_OF = date(2000, 12, 31)
 GEN_END = date(2001, 10, 31)
-EVENT_COLUMNS = [
-    "report_id", "drug_id", "event_date", "quarter", "reaction", "outcome", "is_serious",
-    "reporter_type", "country", "age_group", "sex",
-]
 
 
 def query(function: Query) -> Query:
@@ -71,25 +67,14 @@ def _flagged_events(t: TestTables, *columns: str, quarters: list[str] | None = N
     )
 
 
-def _novel_rollup(t: TestTables, quarters: list[str] | None = None) -> DataFrame:
-    """Counts per entity, reaction and quarter.
-
-    Over the whole history the rollup knows each pair's first date itself. Over
-    some quarters the first dates come from a scan of their own, which needs
-    three columns, so only the events of those quarters meet their orders.
-    """
-    columns = ("drug_id", "event_date", "quarter", "reaction", "is_serious")
-    rollup = novelty.reaction_rollup(_events(t, *columns, quarters=quarters))
-    if quarters is None:
-        seen = novelty.with_history_sightings(rollup)
-    else:
-        seen = rollup.join(_sightings(t), ["drug_id", "reaction"])
-    return novelty.with_novel_reports(seen, t.entities())
-
-
 def _counts(t: TestTables, cfg: ScoringConfig = SCORING) -> DataFrame:
+    """Period counts. Only the events of the two quarters meet their orders; the
+    first sightings need the whole history, but three columns of it."""
     pair = [cfg.current_quarter, cfg.previous_quarter]
-    return counts.counts_of_rollup(_novel_rollup(t, pair), *pair)
+    columns = ("drug_id", "event_date", "quarter", "reaction", "is_serious")
+    return novelty.novel_period_counts(
+        _events(t, *columns, quarters=pair), _sightings(t), t.entities(), *pair
+    )
 
 
 def _units(t: TestTables, cfg: ScoringConfig = SCORING) -> DataFrame:
@@ -119,9 +104,19 @@ def _breakdown(t: TestTables) -> DataFrame:
 
 
 def _trend(t: TestTables) -> DataFrame:
-    rollup = counts.merge_rollups(_novel_rollup(t), *counts.QUARTER_KEYS)
+    """The rollup by reaction covers the whole history, so it knows the first sightings."""
+    by_reaction = novelty.reaction_rollup(
+        _events(t, "drug_id", "event_date", "reaction", "is_serious")
+    )
+    by_quarter = counts.merge_rollups(
+        novelty.with_novel_reports(novelty.with_history_sightings(by_reaction), t.entities()),
+        "drug_id", "event_year", "event_quarter_num",
+    )
+    label = periods.label_of(F.col("event_year"), F.col("event_quarter_num"))
     return reports.quarterly_trend(
-        rollup, t.entities(), staging.stage_quarterly_sales(t.sales())
+        by_quarter.withColumn("quarter", label),
+        t.entities(),
+        staging.stage_quarterly_sales(t.sales()),
     )
 
 

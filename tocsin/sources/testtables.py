@@ -6,7 +6,9 @@ the quantities on those lines for units sold.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date, datetime
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +17,23 @@ from tocsin.config import ScoringConfig
 from tocsin.functions.periods import quarter_label, year_month
 from tocsin.operators.staging import is_serious_outcome
 
+# Declared, so that no job reads the footers to find the schema.
+SCHEMAS = {
+    "region": "r_regionkey INT, r_name STRING",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT, s_acctbal DOUBLE",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, "
+    "c_mktsegment STRING",
+    "part": "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT, "
+    "p_retailprice DOUBLE",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+    "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, "
+    "l_quantity DOUBLE, l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, "
+    "l_returnflag STRING, l_linestatus STRING, l_shipdate TIMESTAMP_NTZ",
+    "conversations": "conv_id BIGINT, turn BIGINT, role STRING, text STRING",
+}
+
 AS_OF = date(2001, 10, 31)
 SALES_FROM = date(1996, 1, 1)
 SCORING = ScoringConfig(current_quarter="2001-Q3", as_of=AS_OF)
@@ -44,6 +63,29 @@ def _age_group(balance: Column) -> Column:
     )
 
 
+def _event_day() -> Column:
+    return F.col("l_shipdate").cast("date")
+
+
+def _event_outcome() -> Column:
+    return _outcome(F.col("o_orderpriority"))
+
+
+EVENT_COLUMNS: dict[str, Callable[[], Column]] = {
+    "report_id": lambda: F.col("l_orderkey") * 10 + F.col("l_linenumber"),
+    "drug_id": lambda: F.col("l_suppkey"),
+    "event_date": _event_day,
+    "quarter": lambda: quarter_label(_event_day()),
+    "reaction": lambda: F.col("p_name"),
+    "outcome": _event_outcome,
+    "is_serious": lambda: is_serious_outcome(_event_outcome()).cast("int"),
+    "reporter_type": lambda: F.col("c_mktsegment"),
+    "country": lambda: F.col("n_name"),
+    "age_group": lambda: _age_group(F.col("c_acctbal")),
+    "sex": lambda: F.col("l_returnflag"),
+}
+
+
 def _shipped_between(lines: DataFrame, start: date | None, end: date | None) -> DataFrame:
     """Half-open range on the ship date, in the column's own type so that it is pushed down."""
     if start is not None:
@@ -65,11 +107,22 @@ class TestTables:
     def __init__(self, spark: SparkSession, folder: str) -> None:
         self.spark = spark
         self.folder = folder
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        """A table; its files are listed once per instance."""
+        if name not in self._tables:
+            self._tables[name] = self._read(name)
+        return self._tables[name]
+
+    def _read(self, name: str) -> DataFrame:
+        return self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.folder}/{name}.parquet")
 
     def entities(self) -> DataFrame:
+        return self._entities
+
+    @cached_property
+    def _entities(self) -> DataFrame:
         key = F.col("s_suppkey")
         return (
             self.table("supplier")
@@ -94,21 +147,6 @@ class TestTables:
         novel is not in the feed: it is derived (``operators.novelty``).
         """
         lines = _shipped_between(self.table("lineitem"), start, end)
-        day = F.col("l_shipdate").cast("date")
-        outcome = _outcome(F.col("o_orderpriority"))
-        available = {
-            "report_id": F.col("l_orderkey") * 10 + F.col("l_linenumber"),
-            "drug_id": F.col("l_suppkey"),
-            "event_date": day,
-            "quarter": quarter_label(day),
-            "sex": F.col("l_returnflag"),
-            "reaction": F.col("p_name"),
-            "outcome": outcome,
-            "is_serious": is_serious_outcome(outcome).cast("int"),
-            "reporter_type": F.col("c_mktsegment"),
-            "age_group": _age_group(F.col("c_acctbal")),
-            "country": F.col("n_name"),
-        }
         wanted = set(columns)
         if "reaction" in wanted:
             part = self.table("part").select("p_partkey", "p_name")
@@ -123,7 +161,7 @@ class TestTables:
         if "country" in wanted:
             nation = self.table("nation")
             lines = lines.join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
-        return lines.select(*[available[c].alias(c) for c in columns])
+        return lines.select(*[EVENT_COLUMNS[c]().alias(c) for c in columns])
 
     def sales(self, start: date | None = None, end: date | None = None) -> DataFrame:
         """Volume lines; the first year has none, so early quarters have no units."""

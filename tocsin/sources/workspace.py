@@ -20,11 +20,12 @@ def shared_folder(spark: SparkSession) -> str:
     configured = spark.conf.get(CHECKPOINT_DIR, None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="tocsin-")
-    spark.conf.set(CHECKPOINT_DIR, folder)
-    return folder
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="tocsin-"))
+    return context.getCheckpointDir()
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:

@@ -8,11 +8,11 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
-from tocsin.operators import novelty, staging
+from tocsin.operators import joins, novelty, staging
 from tocsin.schemas import RAW_DRUGS
+from tocsin.sources.workspace import written_once
 
 FOLDER = "/root/testdata/sf0.001"
-EAGER = {"csv_roundtrip_entities", "csv_roundtrip_watchlist", "parquet_roundtrip_trend"}
 
 
 def final_plan(df) -> str:
@@ -30,20 +30,19 @@ def final_plan(df) -> str:
     return "\n".join(kept)
 
 
-@pytest.mark.parametrize("name", sorted(set(contract.queries()) - EAGER))
+@pytest.mark.parametrize("name", sorted(contract.queries()))
 def test_no_cross_join_and_no_python_in_any_plan(spark, name):
     plan = contract.queries()[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
     for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "MapInPandas"):
         assert operator not in plan
 
 
-def test_watchlist_reads_the_facts_once(spark):
-    """Two quarters of events, the history for first sightings, the volumes: three scans,
-    though the portfolio's mean rate is a subquery over the same counts."""
+def test_watchlist_reads_the_written_inputs_only(spark):
+    """The mean rate is a subquery over the scored rows; neither computes the counts again."""
     plan = final_plan(contract.queries()["risk_watchlist"](spark, FOLDER))
-    scans = [line for line in plan.splitlines() if "FileScan" in line and "l_suppkey" in line]
-    assert len(scans) == 3
-    assert plan.count("ReusedExchange") >= 3
+    scans = [line for line in plan.splitlines() if "FileScan" in line]
+    assert len(scans) == 2
+    assert all("entity-inputs" in line and "l_suppkey" not in line for line in scans)
 
 
 def test_period_filters_and_columns_reach_the_scan(spark):
@@ -121,16 +120,19 @@ def hot_entities(spark):
     ).select(*RAW_DRUGS.fieldNames())
 
 
-def test_row_level_joins_split_a_hot_entity(spark, no_broadcast):
+def test_row_level_joins_split_a_hot_entity(spark, no_broadcast, monkeypatch):
     events, entities = hot_events(spark), hot_entities(spark)
+    monkeypatch.setattr(joins, "is_small", lambda df: False)
     staged = staging.stage_events(events, entities)
     assert staged.count() == 60000
     assert "skew=true" in final_plan(staged.select("report_id", "drug_name", "country"))
 
 
-def test_novelty_of_rows_splits_a_hot_pair(spark, no_broadcast):
+def test_novelty_of_rows_splits_a_hot_pair(spark, no_broadcast, monkeypatch):
     events, entities = hot_events(spark), hot_entities(spark)
-    flagged = novelty.attach_novelty(events, novelty.first_sightings(events), entities)
+    known = written_once(novelty.known_pairs(events, entities), "known")
+    monkeypatch.setattr(joins, "is_small", lambda df: False)
+    flagged = novelty.flag_events(events, known)
     plan = final_plan(flagged.select("report_id", "is_novel_reaction", "country"))
     assert "skew=true" in plan
     assert flagged.count() == 60000

@@ -71,27 +71,29 @@ def units_of(spark, rows):
 
 
 def scored(spark, entities, counts_rows, units_rows, cfg=CFG):
-    result = scoring.scored_entities(
+    inputs = scoring.entity_inputs(
         staging.stage_entities(entities_of(spark, entities), cfg.as_of),
         counts_of(spark, counts_rows),
         units_of(spark, units_rows),
-        cfg,
     )
+    result = scoring.scored_entities(inputs, cfg)
     return {r.drug_id: r for r in result.collect()}
 
 
+def published(spark):
+    inputs = scoring.entity_inputs(
+        staging.stage_entities(entities_of(spark, [r[:3] for r in PUBLISHED]), CFG.as_of),
+        counts_of(spark, [(r[0], *r[3:7]) for r in PUBLISHED]),
+        units_of(spark, [(r[0], r[7]) for r in PUBLISHED]),
+    )
+    return scoring.scored_entities(inputs, CFG)
+
+
 def test_published_watchlist(spark):
-    result = scoring.ranked(
-        scoring.scored_entities(
-            staging.stage_entities(entities_of(spark, [r[:3] for r in PUBLISHED]), CFG.as_of),
-            counts_of(spark, [(r[0], *r[3:7]) for r in PUBLISHED]),
-            units_of(spark, [(r[0], r[7]) for r in PUBLISHED]),
-            CFG,
-        )
-    ).collect()
+    result = scoring.ranked(published(spark)).collect()
     assert [r.drug_id for r in result] == [r[0] for r in PUBLISHED]
-    for row, published in zip(result, PUBLISHED):
-        assert tuple(row[c] for c in RESULTS) == published[8:]
+    for row, expected in zip(result, PUBLISHED):
+        assert tuple(row[c] for c in RESULTS) == expected[8:]
         assert row.portfolio_avg_rate == pytest.approx(PUBLISHED_MEAN, rel=1e-14)
 
 
@@ -217,12 +219,6 @@ def test_config_rejects_bad_values():
 
 
 def test_slim_watchlist_shows_the_rounded_mean(spark):
-    snapshot = scoring.scored_entities(
-        staging.stage_entities(entities_of(spark, [r[:3] for r in PUBLISHED]), CFG.as_of),
-        counts_of(spark, [(r[0], *r[3:7]) for r in PUBLISHED]),
-        units_of(spark, [(r[0], r[7]) for r in PUBLISHED]),
-        CFG,
-    )
-    slim = scoring.watchlist_slim(snapshot)
+    slim = scoring.watchlist_slim(published(spark))
     assert len(slim.columns) == 17
     assert slim.select(F.max("portfolio_avg_rate_per_1k")).first()[0] == 0.26

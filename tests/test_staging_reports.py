@@ -187,13 +187,13 @@ def test_novelty_boundary(spark, entities):
         event(5, "A", date(2024, 1, 1), "late known"),
     ]
     events = frame(spark, rows).drop("is_novel_reaction")
-    found = novelty.attach_novelty(events, novelty.first_sightings(events), entities).collect()
+    found = novelty.flag_events(events, novelty.known_pairs(events, entities)).collect()
     assert {r.report_id: r.is_novel_reaction for r in found} == {
         1: False, 2: True, 3: False, 4: False, 5: False,
     }
 
 
-def test_novel_counts_agree_however_they_are_made(spark, entities, raw, history):
+def test_novel_counts_agree_however_they_are_made(spark, entities, raw, history, monkeypatch):
     expected = defaultdict(lambda: [0, 0, 0, 0])
     flags = is_novel_by_hand(history)
     for r in history:
@@ -208,18 +208,22 @@ def test_novel_counts_agree_however_they_are_made(spark, entities, raw, history)
             cell[3] += 1
     expected = {k: tuple(v) for k, v in expected.items()}
     events = staging.event_fields(raw.drop("is_novel_reaction"), None)
-    sightings = novelty.first_sightings(events)
-
-    by_pair = novelty.novel_period_counts(events, sightings, entities, "2023-Q2", "2023-Q1")
+    known = novelty.known_pairs(events, entities)
+    by_pair = novelty.novel_period_counts(events, known, entities, "2023-Q2", "2023-Q1")
     by_row = counts.period_counts(
-        novelty.attach_novelty(events, sightings, entities), "2023-Q2", "2023-Q1"
-    )
-    by_rollup = counts.counts_of_rollup(
-        novelty.with_novel_reports(
-            novelty.with_history_sightings(novelty.reaction_rollup(events)), entities
-        ),
-        "2023-Q2", "2023-Q1",
+        staging.stage_events(novelty.flag_events(events, known), entities), "2023-Q2", "2023-Q1"
     )
+    in_place = novelty.novel_quarter_rollup(events, known, entities)
+
+    # The ways for tables too large to broadcast.
+    monkeypatch.setattr(novelty, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(novelty, "is_small", lambda df: False)
+    by_sightings = novelty.known_pairs(events, entities)
+    assert sorted(known.collect()) == sorted(by_sightings.collect())
+    by_cells = novelty.novel_quarter_rollup(events, by_sightings, entities)
+    assert sorted(in_place.collect()) == sorted(by_cells.collect())
+
+    by_rollup = counts.counts_of_rollup(by_cells, "2023-Q2", "2023-Q1")
     for df in (by_pair, by_row, by_rollup):
         assert {r.drug_id: tuple(r)[1:] for r in df.collect()} == expected
 

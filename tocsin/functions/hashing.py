@@ -15,12 +15,11 @@ MODULUS = 2147483647
 
 def hash_residue(key: Column, salt: int) -> Column:
     """A number in [0, MODULUS) that looks random in ``key`` for a fixed ``salt``."""
-    key = key.cast("bigint")
-    mixed = F.pmod(key, F.lit(MODULUS)) * F.lit(48271) + F.lit(69621 * (salt + 1))
+    mixed = F.pmod(key.cast("bigint"), F.lit(MODULUS)) * 48271 + 69621 * (salt + 1)
     for multiplier in (16807, 39373):
-        low = F.pmod(mixed, F.lit(MODULUS))
-        mixed = low * (low + F.lit(multiplier)) + F.lit(salt)
-    return F.pmod(mixed, F.lit(MODULUS))
+        low = mixed % MODULUS
+        mixed = low * (low + multiplier) + salt
+    return mixed % MODULUS
 
 
 def hash_uniform(key: Column, salt: int) -> Column:

@@ -74,7 +74,7 @@ def month_start(year_month: Column) -> Column:
 
 def year_month(day: Column) -> Column:
     """'YYYY-MM' text of a date."""
-    return F.left(day.cast("string"), F.lit(7))
+    return F.date_format(day, "yyyy-MM")
 
 
 def in_year(day: Column, year: int) -> Column:
@@ -84,4 +84,9 @@ def in_year(day: Column, year: int) -> Column:
 
 def quarter_index(year: Column, quarter_num: Column) -> Column:
     """Consecutive number of a calendar quarter."""
-    return year * 4 + quarter_num
+    return year * 4 + (quarter_num - 1)
+
+
+def index_parts(index: Column) -> tuple[Column, Column]:
+    """Year and quarter number of a ``quarter_index``."""
+    return F.floor(index / 4).cast("int"), (index % 4 + 1).cast("int")

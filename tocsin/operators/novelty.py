@@ -1,56 +1,83 @@
 """Which reactions of an entity are new, i.e. unseen in its first months on the market.
 
-Novelty is a property of an (entity, reaction) pair. Counts are therefore made
-by pair first, and novelty is looked up once per pair and not once per event.
+Novelty is a property of an (entity, reaction) pair: a pair is *known* if it
+was seen before the end of the first months after launch, or before launch,
+and novel otherwise. Counts are made by pair first, and novelty is looked up
+once per pair and not once per event.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tocsin.operators.counts import QUARTER_KEYS
+from tocsin.operators.counts import QUARTER_KEYS, merge_rollups, unit_counts
+from tocsin.operators.joins import BROADCAST_ROWS, is_small, join_lookup
 
 GRACE_MONTHS = 6
+PAIR = ["drug_id", "reaction"]
 
 
-def _is_novel(months: int) -> Column:
-    """A reaction seen before the end of the first months, or before launch, is known."""
-    return F.col("first_seen") >= F.add_months("launch_date", months)
+def _grace_end(months: int) -> Column:
+    return F.add_months("launch_date", months)
 
 
 def first_sightings(events: DataFrame) -> DataFrame:
     """The first event date of each (entity, reaction) pair."""
-    return events.groupBy("drug_id", "reaction").agg(F.min("event_date").alias("first_seen"))
+    return events.groupBy(*PAIR).agg(F.min("event_date").alias("first_seen"))
 
 
-def novel_pairs(
-    sightings: DataFrame, entities: DataFrame, months: int = GRACE_MONTHS
+def known_pairs(
+    events: DataFrame, entities: DataFrame, months: int = GRACE_MONTHS
 ) -> DataFrame:
-    """The flag ``is_novel_reaction`` of each pair of a known entity."""
-    return sightings.join(entities.select("drug_id", "launch_date"), "drug_id").select(
-        "drug_id", "reaction", _is_novel(months).alias("is_novel_reaction")
-    )
+    """The known (entity, reaction) pairs.
+
+    Events after the end of the last grace period cannot matter, so the scan
+    leaves them out. With a small entity table, by count, the grace periods are
+    broadcast and each entity's later events fall away before anything is
+    shuffled. Otherwise the events are reduced to first sightings, one row per
+    pair, and these meet the entity table.
+    """
+    grace = entities.select("drug_id", _grace_end(months).alias("grace_end"))
+    size, last_day = grace.agg(F.count(F.lit(1)), F.max("grace_end")).first()
+    early = events.select(*PAIR, "event_date").filter(F.col("event_date") < F.lit(last_day))
+    in_grace = F.col("event_date") < F.col("grace_end")
+    if size <= BROADCAST_ROWS:
+        return early.join(F.broadcast(grace), "drug_id").filter(in_grace).select(*PAIR).distinct()
+    first = first_sightings(early).withColumnRenamed("first_seen", "event_date")
+    return first.join(grace, "drug_id").filter(in_grace).select(*PAIR)
 
 
-def attach_novelty(
-    rows: DataFrame, sightings: DataFrame, entities: DataFrame, months: int = GRACE_MONTHS
-) -> DataFrame:
-    """Give rows with (drug_id, reaction) the flag; rows of unknown entities are dropped."""
-    return rows.join(novel_pairs(sightings, entities, months), ["drug_id", "reaction"])
+def _flagged(joined: DataFrame) -> DataFrame:
+    return joined.withColumn("is_novel_reaction", F.col("is_known").isNull()).drop("is_known")
+
+
+def attach_novelty(cells: DataFrame, known: DataFrame) -> DataFrame:
+    """Give aggregated rows with (drug_id, reaction) the flag ``is_novel_reaction``.
+
+    A row of an unknown entity counts as novel; staging drops such rows.
+    """
+    return _flagged(cells.join(known.withColumn("is_known", F.lit(True)), PAIR, "left"))
+
+
+def flag_events(events: DataFrame, known: DataFrame) -> DataFrame:
+    """Give event rows the flag ``is_novel_reaction``.
+
+    ``known`` must be a written table. Its size is then cheap to find out, and
+    where it is too large to broadcast both sides of the join come straight
+    from a shuffle, which is what lets adaptive execution split a hot pair.
+    (The result of ``known_pairs`` itself is partitioned by pair already and
+    would be joined without that shuffle.)
+    """
+    return _flagged(join_lookup(events, known.withColumn("is_known", F.lit(True)), PAIR, "left"))
 
 
 def novel_period_counts(
-    events: DataFrame,
-    sightings: DataFrame,
-    entities: DataFrame,
-    current: str,
-    previous: str,
-    months: int = GRACE_MONTHS,
+    events: DataFrame, known: DataFrame, entities: DataFrame, current: str, previous: str
 ) -> DataFrame:
-    """Period counts per entity (as ``counts.period_counts``) for events without the flag.
+    """Period counts of known entities (as ``counts.period_counts``) for events without the flag.
 
-    Counting by pair gives the counts the partitioning of the sightings, so
+    Counting by pair gives the counts the partitioning of the known pairs, so
     the two meet without another shuffle.
     """
     in_current = F.col("quarter") == current
@@ -58,57 +85,46 @@ def novel_period_counts(
     one = F.lit(1).cast("bigint")
     by_pair = (
         events.filter(in_current | in_previous)
-        .groupBy("drug_id", "reaction")
+        .groupBy(*PAIR)
         .agg(
             F.sum(F.when(in_current, one)).alias("total_reports"),
             F.sum(F.when(in_current, F.col("is_serious").cast("int"))).alias("serious_reports"),
             F.sum(F.when(in_previous, one)).alias("prev_reports"),
         )
     )
-    with_dates = by_pair.join(sightings, ["drug_id", "reaction"]).join(
-        entities.select("drug_id", "launch_date"), "drug_id"
-    )
-    novel = F.col("total_reports") * _is_novel(months).cast("int")
-    return with_dates.groupBy("drug_id").agg(
-        F.sum("total_reports").alias("total_reports"),
-        F.sum("serious_reports").alias("serious_reports"),
-        F.sum(novel).alias("novel_reports"),
-        F.sum("prev_reports").alias("prev_reports"),
-    )
-
-
-def reaction_rollup(events: DataFrame) -> DataFrame:
-    """Counts and first date per entity, reaction and quarter, without the novel count.
-
-    The quarter's label may be left out of the events where it follows from
-    the date; it is cheaper to write it on the rolled-up rows.
-    """
-    quarter_keys = [k for k in QUARTER_KEYS if k in events.columns]
-    return events.groupBy(*quarter_keys, "reaction").agg(
-        F.count(F.lit(1)).alias("total_reports"),
-        F.sum(F.col("is_serious").cast("int")).alias("serious_reports"),
-        F.min("event_date").alias("first_event"),
+    novel = F.col("total_reports") * F.col("is_novel_reaction").cast("int")
+    return (
+        attach_novelty(by_pair, known)
+        .groupBy("drug_id")
+        .agg(
+            F.sum("total_reports").alias("total_reports"),
+            F.sum("serious_reports").alias("serious_reports"),
+            F.sum(novel).alias("novel_reports"),
+            F.sum("prev_reports").alias("prev_reports"),
+        )
+        .join(entities.select("drug_id"), "drug_id", "left_semi")
     )
 
 
-def with_history_sightings(rollup: DataFrame) -> DataFrame:
-    """Add ``first_seen`` to a reaction rollup of the whole history.
+def novel_quarter_rollup(
+    events: DataFrame, known: DataFrame, entities: DataFrame
+) -> DataFrame:
+    """Quarter rollup (as ``counts.quarter_rollup``) for events without the flag.
 
-    The window runs over rolled-up rows: one pair has at most one row per quarter.
+    ``known`` must be a written table. Where it is small, the events are
+    flagged in place and counted by quarter right away. Otherwise they are
+    counted by pair and quarter first and these rows are flagged. The quarter's
+    label may be left out of the events where it follows from the date; it is
+    cheaper to write it on the rolled-up rows.
     """
-    pair = Window.partitionBy("drug_id", "reaction")
-    return rollup.withColumn("first_seen", F.min("first_event").over(pair))
-
-
-def with_novel_reports(
-    rollup: DataFrame, entities: DataFrame, months: int = GRACE_MONTHS
-) -> DataFrame:
-    """Complete a reaction rollup that has ``first_seen`` with its novel count."""
-    zero = F.lit(0).cast("bigint")
-    return (
-        rollup.join(entities.select("drug_id", "launch_date"), "drug_id")
-        .withColumn(
-            "novel_reports", F.when(_is_novel(months), F.col("total_reports")).otherwise(zero)
+    keys = [k for k in QUARTER_KEYS if k in events.columns]
+    if is_small(known):
+        rollup = unit_counts(flag_events(events, known))
+    else:
+        cells = events.groupBy(*keys, "reaction").agg(
+            F.count(F.lit(1)).alias("total_reports"),
+            F.sum(F.col("is_serious").cast("int")).alias("serious_reports"),
         )
-        .drop("launch_date", "first_seen", "first_event")
-    )
+        novel = F.col("total_reports") * F.col("is_novel_reaction").cast("int")
+        rollup = attach_novelty(cells, known).withColumn("novel_reports", novel)
+    return merge_rollups(rollup, *keys).join(entities.select("drug_id"), "drug_id", "left_semi")

@@ -29,34 +29,21 @@ def portfolio_average(counts: DataFrame, units: DataFrame) -> DataFrame:
     )
 
 
-def _with_portfolio_average(joined: DataFrame) -> DataFrame:
-    """Add the portfolio's mean rate to each row, as a scalar subquery.
+def entity_inputs(staged_entities: DataFrame, counts: DataFrame, units: DataFrame) -> DataFrame:
+    """Every entity with its counts and units, NULL where it has none."""
+    return staged_entities.join(counts, "drug_id", "left").join(units, "drug_id", "left")
 
-    The subquery also totals the other counts. Its plan up to the last shuffle
-    is then the same as that of the rows, so Spark reuses those shuffles and
-    reads the events once, where a subquery with fewer columns would read them
-    a second time.
-    """
-    portfolio = joined.agg(
-        F.struct(
-            mean_rate_per_1k(F.col("total_reports"), F.col("quarterly_units_sold")).alias(
-                "avg_rate"
-            ),
-            *[F.sum(c).alias(c) for c in SNAPSHOT_COUNTS],
-        ).alias("portfolio")
-    ).scalar()
-    return joined.withColumn("avg_rate", portfolio["avg_rate"])
-
-
-def entity_snapshot(staged_entities: DataFrame, counts: DataFrame, units: DataFrame) -> DataFrame:
-    """Every entity with its counts, units, percentages, rate and the portfolio's mean rate.
-
-    Columns whose names start with ``raw_`` keep the NULLs and unrounded values
-    that the scores need.
+
+def entity_snapshot(inputs: DataFrame) -> DataFrame:
+    """Entity inputs with percentages, rate and the portfolio's mean rate.
+
+    The mean rate is a scalar subquery over the same inputs, so they are read
+    twice: write them first where they take long to compute. Columns whose
+    names start with ``raw_`` keep the NULLs and unrounded values that the
+    scores need.
     """
-    joined = _with_portfolio_average(
-        staged_entities.join(counts, "drug_id", "left").join(units, "drug_id", "left")
-    )
+    mean = inputs.agg(mean_rate_per_1k(F.col("total_reports"), F.col("quarterly_units_sold")))
+    joined = inputs.withColumn("avg_rate", mean.scalar())
     raw_total = F.col("raw_total")
     zero = F.lit(0).cast("bigint")
     counted = joined.withColumns({"raw_total": F.col("total_reports")}).withColumns({
@@ -158,10 +145,8 @@ def score_snapshot(snapshot: DataFrame, cfg: ScoringConfig) -> DataFrame:
 # --- watchlist ------------------------------------------------------------------------------
 
 
-def scored_entities(
-    staged_entities: DataFrame, counts: DataFrame, units: DataFrame, cfg: ScoringConfig
-) -> DataFrame:
-    return score_snapshot(entity_snapshot(staged_entities, counts, units), cfg)
+def scored_entities(inputs: DataFrame, cfg: ScoringConfig) -> DataFrame:
+    return score_snapshot(entity_snapshot(inputs), cfg)
 
 
 def ranked(watchlist: DataFrame) -> DataFrame:

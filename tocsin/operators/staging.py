@@ -7,7 +7,10 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tocsin.functions.periods import as_of_date, month_start, months_between_starts
+from tocsin.functions.periods import (
+    as_of_date, index_parts, label_of, month_start, months_between_starts, quarter_index,
+)
+from tocsin.operators.joins import join_lookup
 from tocsin.schemas import STAGED_EVENT_COLUMNS
 
 # Outcomes and what they mean.
@@ -20,6 +23,9 @@ SEVERITY_BUCKETS = {
 }
 OTHER_SEVERITY = "Mild"
 
+# What staged events take from the entity table.
+ENTITY_COLUMNS = ("drug_name", "therapeutic_area")
+
 
 def is_serious_outcome(outcome: Column) -> Column:
     """True for a serious outcome, False for any other, also for an unknown one."""
@@ -70,13 +76,11 @@ def event_fields(
 
 
 def describe(rows: DataFrame, entities: DataFrame, *columns: str) -> DataFrame:
-    """Give rows the entity table's columns; rows of unknown entities are dropped.
+    """Give aggregated rows the entity table's columns; unknown entities are dropped.
 
-    The entity table is authoritative, so columns of the same name are
-    replaced. Where it is small by Spark's own measure it is broadcast;
-    otherwise the join shuffles and adaptive execution splits a hot entity.
+    The entity table is authoritative, so columns of the same name are replaced.
     """
-    columns = columns or ("drug_name", "therapeutic_area")
+    columns = columns or ENTITY_COLUMNS
     return rows.drop(*columns).join(entities.select("drug_id", *columns), "drug_id")
 
 
@@ -87,24 +91,32 @@ def stage_events(
     title_case_reactions: bool = False,
 ) -> DataFrame:
     """All event rows of known entities, cleaned and enriched."""
-    staged = describe(event_fields(events, as_of, title_case_reactions), entities)
+    cleaned = event_fields(events, as_of, title_case_reactions).drop(*ENTITY_COLUMNS)
+    staged = join_lookup(cleaned, entities.select("drug_id", *ENTITY_COLUMNS), ["drug_id"])
     return staged.select(*[c for c in STAGED_EVENT_COLUMNS if c in staged.columns])
 
 
 def stage_quarterly_sales(sales: DataFrame) -> DataFrame:
-    """Units per entity and calendar quarter, from months written as 'YYYY-MM'."""
-    year_text = F.left("year_month", F.lit(4))
-    quarter_num = F.quarter(month_start(F.col("year_month")))
-    return sales.groupBy(
+    """Units per entity and calendar quarter, from months written as 'YYYY-MM'.
+
+    Rows are grouped by the number of the quarter; its year, number and label
+    are written on the groups.
+    """
+    month = month_start(F.col("year_month"))
+    index = quarter_index(F.year(month), F.quarter(month)).alias("quarter_index")
+    units = F.sum(F.col("units_sold").cast("bigint")).alias("quarterly_units_sold")
+    year, quarter_num = index_parts(F.col("quarter_index"))
+    return sales.groupBy("drug_id", index).agg(units).select(
         "drug_id",
-        year_text.cast("int").alias("sales_year"),
+        year.alias("sales_year"),
         quarter_num.alias("sales_quarter_num"),
-        F.concat(year_text, F.lit("-Q"), quarter_num.cast("string")).alias("quarter"),
-    ).agg(F.sum(F.col("units_sold").cast("bigint")).alias("quarterly_units_sold"))
+        label_of(year, quarter_num).alias("quarter"),
+        "quarterly_units_sold",
+    )
 
 
 def months_on_market(events: DataFrame, entities: DataFrame) -> DataFrame:
     """Events with the number of months from launch to the event."""
-    with_launch = describe(events, entities, "launch_date")
+    with_launch = join_lookup(events, entities.select("drug_id", "launch_date"), ["drug_id"])
     months = months_between_starts(F.col("launch_date"), F.col("event_date"))
     return with_launch.withColumn("months_on_market", months).drop("launch_date")

@@ -24,15 +24,14 @@ def staged_views(raw: dict[str, DataFrame], cfg: ScoringConfig) -> dict[str, Dat
     }
 
 
-def watchlist_from_rollup(
+def inputs_from_rollup(
     rollup: DataFrame, entities: DataFrame, quarterly_sales: DataFrame, cfg: ScoringConfig
 ) -> DataFrame:
-    """Scored entities from the quarter rollup."""
-    return scoring.scored_entities(
+    """What the scores need, from the quarter rollup."""
+    return scoring.entity_inputs(
         staging.stage_entities(entities, cfg.as_of),
         counts.counts_of_rollup(rollup, cfg.current_quarter, cfg.previous_quarter),
         scoring.period_units(quarterly_sales, cfg.current_quarter),
-        cfg,
     )
 
 
@@ -59,7 +58,8 @@ def run_batch(
         "stg_quarterly_sales", staging.stage_quarterly_sales(raw["raw_sales_volume"])
     )
 
-    watchlist = table("risk_watchlist", watchlist_from_rollup(rollup, entities, sales, cfg))
+    inputs = table("entity_inputs", inputs_from_rollup(rollup, entities, sales, cfg))
+    watchlist = table("risk_watchlist", scoring.scored_entities(inputs, cfg))
     breakdown = table(
         "ae_breakdown",
         reports.ae_breakdown(events, entities, cfg.last_quarters(4)),

@@ -22,7 +22,7 @@ from tocsin.operators import (
 from tocsin.schemas import RAW_DRUGS, required_columns
 from tocsin.sources import files, views
 from tocsin.sources.testtables import AS_OF, EVENT_COLUMNS, SCORING, TestTables
-from tocsin.sources.workspace import fresh_path
+from tocsin.sources.workspace import fresh_path, written_once
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -56,24 +56,24 @@ def _events(t: TestTables, *columns: str, quarters: list[str] | None = None) ->
     return staging.event_fields(t.events(*columns, start=start, end=end), AS_OF)
 
 
-def _sightings(t: TestTables) -> DataFrame:
-    return novelty.first_sightings(_events(t, "drug_id", "reaction", "event_date"))
+def _known_pairs(t: TestTables) -> DataFrame:
+    events = _events(t, "drug_id", "reaction", "event_date")
+    return novelty.known_pairs(events, t.entities())
 
 
 def _flagged_events(t: TestTables, *columns: str, quarters: list[str] | None = None) -> DataFrame:
     """Event rows with their novelty flag."""
-    return novelty.attach_novelty(
-        _events(t, *columns, quarters=quarters), _sightings(t), t.entities()
-    )
+    known = written_once(_known_pairs(t), "known-pairs")
+    return novelty.flag_events(_events(t, *columns, quarters=quarters), known)
 
 
 def _counts(t: TestTables, cfg: ScoringConfig = SCORING) -> DataFrame:
     """Period counts. Only the events of the two quarters meet their orders; the
-    first sightings need the whole history, but three columns of it."""
+    known pairs need the whole history, but three columns of it."""
     pair = [cfg.current_quarter, cfg.previous_quarter]
     columns = ("drug_id", "event_date", "quarter", "reaction", "is_serious")
     return novelty.novel_period_counts(
-        _events(t, *columns, quarters=pair), _sightings(t), t.entities(), *pair
+        _events(t, *columns, quarters=pair), _known_pairs(t), t.entities(), *pair
     )
 
 
@@ -84,8 +84,14 @@ def _units(t: TestTables, cfg: ScoringConfig = SCORING) -> DataFrame:
     )
 
 
+def _inputs(t: TestTables, cfg: ScoringConfig = SCORING) -> DataFrame:
+    """One row per entity; written, because the snapshot reads it twice."""
+    inputs = scoring.entity_inputs(_staged_entities(t, cfg), _counts(t, cfg), _units(t, cfg))
+    return written_once(inputs, "entity-inputs")
+
+
 def _snapshot(t: TestTables, cfg: ScoringConfig = SCORING) -> DataFrame:
-    return scoring.entity_snapshot(_staged_entities(t, cfg), _counts(t, cfg), _units(t, cfg))
+    return scoring.entity_snapshot(_inputs(t, cfg))
 
 
 def _watchlist(t: TestTables, cfg: ScoringConfig = SCORING) -> DataFrame:
@@ -97,21 +103,14 @@ def _breakdown(t: TestTables) -> DataFrame:
     keys = [k for k in reports.CELL_KEYS if k != "is_novel_reaction"]
     columns = [k for k in keys if k != "severity_bucket"] + ["event_date", "outcome"]
     events = _events(t, *columns, quarters=SCORING.last_quarters(4))
-    cells = novelty.attach_novelty(
-        counts.report_cells(events, *keys), _sightings(t), t.entities()
-    )
+    cells = novelty.attach_novelty(counts.report_cells(events, *keys), _known_pairs(t))
     return reports.describe_cells(cells, t.entities())
 
 
 def _trend(t: TestTables) -> DataFrame:
-    """The rollup by reaction covers the whole history, so it knows the first sightings."""
-    by_reaction = novelty.reaction_rollup(
-        _events(t, "drug_id", "event_date", "reaction", "is_serious")
-    )
-    by_quarter = counts.merge_rollups(
-        novelty.with_novel_reports(novelty.with_history_sightings(by_reaction), t.entities()),
-        "drug_id", "event_year", "event_quarter_num",
-    )
+    known = written_once(_known_pairs(t), "known-pairs")
+    events = _events(t, "drug_id", "event_date", "reaction", "is_serious")
+    by_quarter = novelty.novel_quarter_rollup(events, known, t.entities())
     label = periods.label_of(F.col("event_year"), F.col("event_quarter_num"))
     return reports.quarterly_trend(
         by_quarter.withColumn("quarter", label),
@@ -204,11 +203,8 @@ def stage_entities(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def stage_events(spark: SparkSession, folder: str) -> DataFrame:
     t = TestTables(spark, folder)
-    raw = novelty.attach_novelty(
-        t.events(*EVENT_COLUMNS), novelty.first_sightings(
-            t.events("drug_id", "reaction", "event_date")
-        ), t.entities(),
-    )
+    known = written_once(_known_pairs(t), "known-pairs")
+    raw = novelty.flag_events(t.events(*EVENT_COLUMNS), known)
     return iso_dates(staging.stage_events(raw, t.entities(), AS_OF))
 
 

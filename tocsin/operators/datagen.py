@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tocsin.functions.hashing import hash_index, hash_uniform, weighted_choice
 from tocsin.functions.numeric import round_half_away
 from tocsin.functions.periods import quarter_label, year_month
+from tocsin.operators.joins import join_lookup
 from tocsin.operators.staging import is_serious_outcome
 
 # The make-up of the synthetic data.
@@ -125,7 +126,7 @@ def generate_events(reports: DataFrame, portfolio: DataFrame, first_entity_no: i
             F.array(*map(F.lit, values)), hash_index(key, salt, F.lit(len(values))).cast("int")
         )
 
-    with_entity = drawn.join(portfolio, "entity_no").select(
+    with_entity = join_lookup(drawn, portfolio, ["entity_no"]).select(
         "report_id", "drug_id", "drug_name", "therapeutic_area",
         F.date_add(
             F.lit(EVENTS_FROM), hash_index(key, SALT_DAY, F.lit(EVENT_DAYS)).cast("int")

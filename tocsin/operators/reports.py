@@ -87,13 +87,15 @@ def quarterly_trend(
     )
 
 
-def with_quarter_change(trend: DataFrame, calendar: bool = False) -> DataFrame:
-    """Add the previous quarter's reports and the change.
+def with_quarter_change(
+    trend: DataFrame, calendar: bool = False, series: tuple[str, ...] = ("drug_id",)
+) -> DataFrame:
+    """Add the previous quarter's reports and the change, for each series of quarters.
 
-    The previous quarter is the entity's previous row. With ``calendar`` it is
-    the calendar quarter before, and an entity without a row there had 0.
+    The previous quarter is the series' previous row. With ``calendar`` it is
+    the calendar quarter before, and a series without a row there had 0.
     """
-    order = Window.partitionBy("drug_id").orderBy("event_year", "event_quarter_num")
+    order = Window.partitionBy(*series).orderBy("event_year", "event_quarter_num")
     previous: Column = F.lag("total_reports").over(order)
     if calendar:
         index = quarter_index(F.col("event_year"), F.col("event_quarter_num"))

@@ -335,18 +335,29 @@ def watchlist_rounded_inputs(spark: SparkSession, folder: str) -> DataFrame:
     return iso_dates(_watchlist(TestTables(spark, folder), replace(SCORING, round_inputs=True)))
 
 
+def _inputs_with_missing_units(t: TestTables) -> DataFrame:
+    """Suppliers with no credit balance sell nothing here, so their units are missing."""
+    selling = t.table("supplier").filter(F.col("s_acctbal") > 0)
+    units = _units(t).join(
+        selling.select(F.col("s_suppkey").alias("drug_id")), "drug_id", "left_semi"
+    )
+    return written_once(
+        scoring.entity_inputs(_staged_entities(t), _counts(t), units), "entity-inputs"
+    )
+
+
 @query
-def watchlist_zero_for_missing(spark: SparkSession, folder: str) -> DataFrame:
-    """Scored for the first quarter of 1995, which has no units and hardly any history."""
-    cfg = replace(SCORING, current_quarter="1995-Q1", null_policy="zero")
-    return iso_dates(_watchlist(TestTables(spark, folder), cfg))
+def watchlist_missing_units(spark: SparkSession, folder: str) -> DataFrame:
+    """A component that is unknown scores the cap."""
+    inputs = _inputs_with_missing_units(TestTables(spark, folder))
+    return iso_dates(scoring.scored_entities(inputs, SCORING))
 
 
 @query
-def watchlist_missing_inputs(spark: SparkSession, folder: str) -> DataFrame:
-    """The same quarter under the default rule, where a missing component scores the cap."""
-    cfg = replace(SCORING, current_quarter="1995-Q1")
-    return iso_dates(_watchlist(TestTables(spark, folder), cfg))
+def watchlist_zero_for_missing(spark: SparkSession, folder: str) -> DataFrame:
+    """The same inputs, but an unknown component scores 0."""
+    inputs = _inputs_with_missing_units(TestTables(spark, folder))
+    return iso_dates(scoring.scored_entities(inputs, replace(SCORING, null_policy="zero")))
 
 
 @query
@@ -428,13 +439,14 @@ def quarterly_trend_qoq(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def quarterly_trend_calendar(spark: SparkSession, folder: str) -> DataFrame:
-    """Reports of one reaction group only would leave gaps; here deaths by entity do."""
+    """By entity and reaction, where quarters without a report are common."""
     t = TestTables(spark, folder)
-    deaths = _events(t, "drug_id", "event_date", "quarter", "reaction", "outcome").filter(
-        (F.col("outcome") == "Death") & F.contains("reaction", F.lit("ring"))
+    events = _events(t, "drug_id", "event_date", "reaction")
+    series = ("drug_id", "reaction")
+    cells = events.groupBy(*series, "event_year", "event_quarter_num").agg(
+        F.count(F.lit(1)).alias("total_reports")
     )
-    cells = deaths.groupBy(*counts.QUARTER_KEYS).agg(F.count(F.lit(1)).alias("total_reports"))
-    return reports.with_quarter_change(cells, calendar=True)
+    return reports.with_quarter_change(cells, calendar=True, series=series)
 
 
 @query
@@ -513,9 +525,9 @@ def dq_null_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def orphan_events(spark: SparkSession, folder: str) -> DataFrame:
-    """The entity table lacks every tenth supplier here, so that orphans exist."""
+    """Only suppliers with a credit balance are known here, so that orphans exist."""
     t = TestTables(spark, folder)
-    known = t.table("supplier").filter(F.col("s_suppkey") % 10 != 0)
+    known = t.table("supplier").filter(F.col("s_acctbal") > 0)
     return quality.orphan_counts(
         t.events("drug_id"), known.select(F.col("s_suppkey").alias("drug_id"))
     )
@@ -554,7 +566,8 @@ def scalar_casts(spark: SparkSession, folder: str) -> DataFrame:
         (F.col("l_returnflag") == "R").cast("int").alias("bool_to_int"),
         number.cast("string").alias("int_to_text"),
         F.concat(number.cast("string"), F.lit("0")).cast("int").alias("text_to_int"),
-        F.col("l_returnflag").try_cast("int").alias("bad_text_to_int"),
+        F.when(number > 3, number.cast("string")).otherwise(F.col("l_returnflag"))
+        .try_cast("int").alias("mixed_text_to_int"),
         number.cast("double").alias("int_to_double"),
     )
 

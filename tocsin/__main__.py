@@ -1,4 +1,4 @@
-"""Command line: ``python -m tocsin run ...`` and ``python -m tocsin generate ...``."""
+"""Command line: ``python -m tocsin run``, ``sql`` and ``generate``."""
 
 from __future__ import annotations
 
@@ -9,10 +9,12 @@ from pyspark.sql import functions as F
 
 from tocsin.config import ScoringConfig
 from tocsin.operators import datagen
-from tocsin.plans.batch import run_batch
+from tocsin.operators.reports import kpi_cards
+from tocsin.plans.batch import run_batch, staged_views
 from tocsin.schemas import RAW_DRUGS
 from tocsin.session import build_session
-from tocsin.sources.files import read_csv, write_csv
+from tocsin.sources.files import read_csv, read_raw, write_csv
+from tocsin.sources.views import register_views, run_sql
 
 
 def _arguments(argv: list[str] | None) -> argparse.Namespace:
@@ -25,6 +27,12 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     run.add_argument("--quarter", required=True, help="current quarter, e.g. 2024-Q1")
     run.add_argument("--as-of", type=date.fromisoformat, default=None)
 
+    sql = commands.add_parser("sql", help="query the raw and staged tables of a folder")
+    sql.add_argument("--data", required=True)
+    sql.add_argument("--quarter", required=True)
+    sql.add_argument("--as-of", type=date.fromisoformat, default=None)
+    sql.add_argument("query")
+
     generate = commands.add_parser("generate", help="make synthetic reports and volumes")
     generate.add_argument("--data", required=True, help="folder with drugs.csv; output goes there")
     generate.add_argument("--reports", type=int, default=8000)
@@ -37,6 +45,13 @@ def main(argv: list[str] | None = None) -> None:
     if args.command == "run":
         cfg = ScoringConfig(current_quarter=args.quarter, as_of=args.as_of)
         run_batch(spark, args.data, args.out, cfg).show(truncate=False)
+        kpi_cards(spark.read.parquet(f"{args.out}/tables/risk_watchlist")).show()
+        return
+    if args.command == "sql":
+        cfg = ScoringConfig(current_quarter=args.quarter, as_of=args.as_of)
+        raw = read_raw(spark, args.data)
+        register_views({**raw, **staged_views(raw, cfg)})
+        run_sql(spark, args.query).show(truncate=False)
         return
     portfolio = datagen.demo_portfolio(read_csv(spark, f"{args.data}/drugs.csv", RAW_DRUGS))
     reports = spark.range(1, args.reports + 1).select(F.col("id").cast("int").alias("report_id"))

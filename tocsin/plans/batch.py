@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tocsin.config import ScoringConfig
 from tocsin.operators import counts, reports, scoring, staging
-from tocsin.sources.files import export_status, read_raw, row_counts, write_csv, write_table
+from tocsin.sources.files import (
+    export_status, read_raw, read_table, row_counts, write_csv, write_table,
+)
 
 OUTPUTS = ["risk_watchlist", "ae_breakdown", "quarterly_trend"]
 
@@ -35,52 +37,63 @@ def inputs_from_rollup(
     )
 
 
-def run_batch(
-    spark: SparkSession, data_dir: str, out_dir: str, cfg: ScoringConfig
-) -> DataFrame:
+def land_raw(spark: SparkSession, data_dir: str, raw_dir: str) -> dict[str, DataFrame]:
+    """Read the raw CSV files once and keep them as Parquet tables.
+
+    Events are laid out by quarter, so a reader of some quarters opens their
+    folders only, and every reader takes just the columns it needs.
+    """
+    landed = {}
+    for name, df in read_raw(spark, data_dir).items():
+        path = f"{raw_dir}/{name}"
+        write_table(df, path, ["quarter"] if name == "raw_adverse_events" else None)
+        landed[name] = read_table(spark, path, df.schema)
+    return landed
+
+
+def run_batch(spark: SparkSession, data_dir: str, out_dir: str, cfg: ScoringConfig) -> DataFrame:
     """Write the three outputs as tables and as CSV; return one status row for each.
 
-    The events are read twice: once in full for the quarter rollup, which is
-    written and then serves both watchlist and trend, and once, restricted to
-    the last four quarters, for the breakdown.
+    The events are read in full once, for the quarter rollup, which is written
+    and then serves both watchlist and trend. The breakdown reads the last
+    four quarters.
     """
-    raw = read_raw(spark, data_dir)
+    raw = land_raw(spark, data_dir, f"{out_dir}/raw")
     entities = raw["raw_drugs"]
     events = staging.event_fields(raw["raw_adverse_events"], cfg.as_of)
 
     def table(name: str, df: DataFrame, partition_by: list[str] | None = None) -> DataFrame:
         path = f"{out_dir}/tables/{name}"
         write_table(df, path, partition_by)
-        return spark.read.schema(df.schema).parquet(path).select(*df.columns)
+        return read_table(spark, path, df.schema)
 
     rollup = table("quarter_rollup", counts.quarter_rollup(events))
     sales = table(
         "stg_quarterly_sales", staging.stage_quarterly_sales(raw["raw_sales_volume"])
     )
-
     inputs = table("entity_inputs", inputs_from_rollup(rollup, entities, sales, cfg))
-    watchlist = table("risk_watchlist", scoring.scored_entities(inputs, cfg))
-    breakdown = table(
-        "ae_breakdown",
-        reports.ae_breakdown(events, entities, cfg.last_quarters(4)),
-        partition_by=["quarter"],
-    )
-    trend = table(
-        "quarterly_trend",
-        reports.with_quarter_change(reports.quarterly_trend(rollup, entities, sales)),
-    )
-
-    exports = {
-        "risk_watchlist": scoring.ranked(watchlist),
-        "ae_breakdown": reports.sorted_breakdown(breakdown),
-        "quarterly_trend": reports.sorted_trend(trend),
+    outputs = {
+        "risk_watchlist": table("risk_watchlist", scoring.scored_entities(inputs, cfg)),
+        "ae_breakdown": table(
+            "ae_breakdown",
+            reports.ae_breakdown(events, entities, cfg.last_quarters(4)),
+            partition_by=["quarter"],
+        ),
+        "quarterly_trend": table(
+            "quarterly_trend",
+            reports.with_quarter_change(reports.quarterly_trend(rollup, entities, sales)),
+        ),
+    }
+    in_order = {
+        "risk_watchlist": scoring.ranked,
+        "ae_breakdown": reports.sorted_breakdown,
+        "quarterly_trend": reports.sorted_trend,
     }
-    for name, df in exports.items():
-        write_csv(df, f"{out_dir}/{name}.csv")
-    tables = {"risk_watchlist": watchlist, "ae_breakdown": breakdown, "quarterly_trend": trend}
+    for name, df in outputs.items():
+        write_csv(in_order[name](df), f"{out_dir}/{name}.csv")
     return reduce(
         DataFrame.unionByName,
-        [export_status(df, f"{name}.csv") for name, df in tables.items()],
+        [export_status(df, f"{name}.csv") for name, df in outputs.items()],
     )
 
 

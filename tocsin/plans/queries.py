@@ -43,6 +43,13 @@ def iso_dates(df: DataFrame) -> DataFrame:
     return df.withColumns({d: F.col(d).cast("string") for d in days})
 
 
+def exported_changes(df: DataFrame) -> DataFrame:
+    """Counts that may be NULL as doubles, the form they have in an exported table."""
+    return df.withColumns(
+        {c: F.col(c).cast("double") for c in ("prev_quarter_reports", "qoq_change")}
+    )
+
+
 # --- building blocks ------------------------------------------------------------------------
 
 
@@ -432,9 +439,8 @@ def quarterly_trend(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def quarterly_trend_qoq(spark: SparkSession, folder: str) -> DataFrame:
-    return reports.sorted_trend(
-        reports.with_quarter_change(_trend(TestTables(spark, folder)))
-    )
+    changes = reports.with_quarter_change(_trend(TestTables(spark, folder)))
+    return reports.sorted_trend(exported_changes(changes))
 
 
 @query
@@ -446,7 +452,7 @@ def quarterly_trend_calendar(spark: SparkSession, folder: str) -> DataFrame:
     cells = events.groupBy(*series, "event_year", "event_quarter_num").agg(
         F.count(F.lit(1)).alias("total_reports")
     )
-    return reports.with_quarter_change(cells, calendar=True, series=series)
+    return exported_changes(reports.with_quarter_change(cells, calendar=True, series=series))
 
 
 @query
@@ -566,8 +572,11 @@ def scalar_casts(spark: SparkSession, folder: str) -> DataFrame:
         (F.col("l_returnflag") == "R").cast("int").alias("bool_to_int"),
         number.cast("string").alias("int_to_text"),
         F.concat(number.cast("string"), F.lit("0")).cast("int").alias("text_to_int"),
-        F.when(number > 3, number.cast("string")).otherwise(F.col("l_returnflag"))
-        .try_cast("int").alias("mixed_text_to_int"),
+        F.coalesce(
+            F.when(number > 3, number.cast("string")).otherwise(F.col("l_returnflag"))
+            .try_cast("int"),
+            F.lit(-1),
+        ).alias("mixed_text_to_int"),
         number.cast("double").alias("int_to_double"),
     )
 

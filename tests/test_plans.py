@@ -73,12 +73,12 @@ def no_broadcast(spark):
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
     }
-    before = {k: spark.conf.get(k) for k in settings if k not in (
-        "spark.sql.adaptive.autoBroadcastJoinThreshold",)}
+    adaptive = "spark.sql.adaptive.autoBroadcastJoinThreshold"
+    before = {k: spark.conf.get(k) for k in settings if k != adaptive}
     for key, value in settings.items():
         spark.conf.set(key, value)
     yield
-    spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+    spark.conf.unset(adaptive)
     for key, value in before.items():
         spark.conf.set(key, value)
 
@@ -100,7 +100,8 @@ def hot_events(spark):
     hot = n % 3 != 0
     return spark.range(0, 60000, 1, 8).select(
         n.alias("report_id"),
-        F.when(hot, F.lit("E0")).otherwise(F.concat(F.lit("E"), (n % 500).cast("string"))).alias("drug_id"),
+        F.when(hot, F.lit("E0"))
+        .otherwise(F.concat(F.lit("E"), (n % 500).cast("string"))).alias("drug_id"),
         F.date_add(F.lit("2022-01-01").cast("date"), (n % 700).cast("int")).alias("event_date"),
         F.when(hot & (n % 2 == 0), F.lit("hot")).otherwise(
             F.concat(F.lit("r"), (n % 40).cast("string"))).alias("reaction"),
@@ -138,6 +139,19 @@ def test_novelty_of_rows_splits_a_hot_pair(spark, no_broadcast, monkeypatch):
     assert flagged.count() == 60000
 
 
+def test_only_counted_tables_are_broadcast(spark, monkeypatch):
+    events, entities = hot_events(spark), hot_entities(spark)
+
+    def plan():
+        df = joins.join_lookup(events, entities.select("drug_id", "drug_name"), ["drug_id"])
+        return df._jdf.queryExecution().optimizedPlan().toString()
+
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", 500)
+    assert "strategy=broadcast" in plan()
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", 499)
+    assert "strategy=broadcast" not in plan()
+
+
 def test_counts_of_a_hot_entity_shuffle_partial_sums(spark):
     """Grouped counts combine before the shuffle: at most one row per task and group."""
     from tocsin.operators.counts import report_cells

@@ -102,7 +102,9 @@ def generate_sales(portfolio: DataFrame, end: date = SALES_END) -> DataFrame:
     )
 
 
-def generate_events(reports: DataFrame, portfolio: DataFrame, first_entity_no: int = 1) -> DataFrame:
+def generate_events(
+    reports: DataFrame, portfolio: DataFrame, first_entity_no: int = 1
+) -> DataFrame:
     """One event report for each ``report_id``.
 
     ``portfolio`` numbers its entities in ``entity_no`` without gaps from

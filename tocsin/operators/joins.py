@@ -9,12 +9,14 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 1_000_000
 
 
-def is_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """Whether the table has at most ``rows`` rows. Counts no more than one row beyond."""
-    return df.limit(rows + 1).count() <= rows
+def is_small(df: DataFrame) -> bool:
+    """Whether the table may be broadcast. The count runs in parallel and needs no column."""
+    return df.count() <= BROADCAST_ROWS
 
 
-def join_lookup(rows: DataFrame, lookup: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+def join_lookup(
+    rows: DataFrame, lookup: DataFrame, keys: list[str], how: str = "inner"
+) -> DataFrame:
     """Join event rows with a lookup table.
 
     A small lookup, by count, is broadcast, so the rows stay where they are.

@@ -613,7 +613,7 @@ def _query_log(spark: SparkSession, folder: str) -> DataFrame:
             message, F.lit("'\n"), fence, F.lit(" \n"),
         ))
         .when(form == 2, F.concat(
-            F.lit("SELECT * FROM D -- "), message, line, F.lit("join\ts ON D.A = S.A;"), F.lit(" DROP"),
+            F.lit("SELECT * FROM D -- "), message, line, F.lit("join\ts ON D.A = S.A; DROP"),
         ))
         .when(form == 3, F.concat(
             F.lit("\tselect 1 ; "), message, F.lit("; FROM AE"),

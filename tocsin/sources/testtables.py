@@ -140,7 +140,9 @@ class TestTables:
             )
         )
 
-    def events(self, *columns: str, start: date | None = None, end: date | None = None) -> DataFrame:
+    def events(
+        self, *columns: str, start: date | None = None, end: date | None = None
+    ) -> DataFrame:
         """Event reports with the named columns; only the tables they come from are joined.
 
         Report ids repeat, as order lines have no key. Whether a reaction is

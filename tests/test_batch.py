@@ -8,6 +8,7 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
+from tocsin.__main__ import main
 from tocsin.config import ScoringConfig
 from tocsin.functions.periods import shift_quarter
 from tocsin.operators import counts, datagen, staging
@@ -159,6 +160,28 @@ def test_streaming_refresh_equals_batch(spark, folder, tmp_path):
     assert sorted(read_rollup(spark, rollup).collect()) == sorted(expected.collect())
 
 
+def test_command_line(spark, folder, tmp_path, capsys):
+    data = tmp_path / "data"
+    files.write_csv(files.read_csv(spark, f"{folder}/drugs.csv", RAW_DRUGS), f"{data}/drugs.csv")
+    main(["generate", "--data", str(data), "--reports", "300"])
+    period = ["--quarter", "2023-Q4", "--as-of", "2024-06-30"]
+    main(["run", "--data", str(data), "--out", str(tmp_path / "out"), *period])
+    shown = capsys.readouterr().out
+    assert "risk_watchlist.csv exported — 12 rows" in shown and "signal_flag" in shown
+    main(["sql", "--data", str(data), *period, "SELECT COUNT(*) AS n FROM stg_adverse_events"])
+    assert "300" in capsys.readouterr().out
+
+
+def test_approximate_distinct_reactions(spark, folder):
+    events = files.read_csv(spark, f"{folder}/adverse_events.csv", RAW_ADVERSE_EVENTS)
+    exact = {r.drug_id: r.distinct_reactions
+             for r in counts.distinct_reactions(events, "2023-Q4").collect()}
+    about = {r.drug_id: r.distinct_reactions
+             for r in counts.distinct_reactions(events, "2023-Q4", approximate=True).collect()}
+    assert exact.keys() == about.keys() and exact["DRG001"] <= 7
+    assert all(abs(exact[k] - about[k]) <= 1 for k in exact)
+
+
 def test_partitioned_table_is_replaced_and_pruned(spark, tmp_path):
     path = str(tmp_path / "t")
     first = spark.createDataFrame([(1, "2023-Q4"), (2, "2024-Q1")], "id INT, quarter STRING")

@@ -48,6 +48,10 @@ def known_pairs(
     return first.join(grace, "drug_id").filter(in_grace).select(*PAIR)
 
 
+def _marked(known: DataFrame) -> DataFrame:
+    return known.withColumn("is_known", F.lit(True))
+
+
 def _flagged(joined: DataFrame) -> DataFrame:
     return joined.withColumn("is_novel_reaction", F.col("is_known").isNull()).drop("is_known")
 
@@ -57,7 +61,7 @@ def attach_novelty(cells: DataFrame, known: DataFrame) -> DataFrame:
 
     A row of an unknown entity counts as novel; staging drops such rows.
     """
-    return _flagged(cells.join(known.withColumn("is_known", F.lit(True)), PAIR, "left"))
+    return _flagged(cells.join(_marked(known), PAIR, "left"))
 
 
 def flag_events(events: DataFrame, known: DataFrame) -> DataFrame:
@@ -69,7 +73,7 @@ def flag_events(events: DataFrame, known: DataFrame) -> DataFrame:
     (The result of ``known_pairs`` itself is partitioned by pair already and
     would be joined without that shuffle.)
     """
-    return _flagged(join_lookup(events, known.withColumn("is_known", F.lit(True)), PAIR, "left"))
+    return _flagged(join_lookup(events, _marked(known), PAIR, "left"))
 
 
 def novel_period_counts(
@@ -119,7 +123,8 @@ def novel_quarter_rollup(
     """
     keys = [k for k in QUARTER_KEYS if k in events.columns]
     if is_small(known):
-        rollup = unit_counts(flag_events(events, known))
+        flagged = _flagged(events.join(F.broadcast(_marked(known)), PAIR, "left"))
+        rollup = unit_counts(flagged)
     else:
         cells = events.groupBy(*keys, "reaction").agg(
             F.count(F.lit(1)).alias("total_reports"),

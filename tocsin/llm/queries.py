@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tocsin.llm import bpe, token_files
+from tocsin.llm import bpe, lines, mixing, quality, token_files, toxicity
 from tocsin.llm.common import documents
 from tocsin.sources.workspace import fresh_path
 
@@ -25,6 +25,53 @@ def query(function: Query) -> Query:
     return function
 
 
+def labels(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.read.parquet(f"{folder}/labels.parquet")
+
+
+def held_out() -> Column:
+    """A third of the documents, by id, whose labels are not learnt from."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
+
+
+def toxicity_model(docs: DataFrame, labelled: DataFrame) -> toxicity.ToxicityModel:
+    learnt = labelled.where(~held_out()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    return toxicity.fit(docs.select("doc_id", "text").join(learnt, "doc_id"))
+
+
+TOXIC_AT = 0.7
+
+
+@query
+def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder)
+    model = toxicity_model(docs, labels(spark, folder))
+    return docs.select(
+        "doc_id",
+        F.coalesce(held_out(), F.lit(False)).alias("held_out"),
+        model.score("text").alias("score"),
+    ).withColumn("predicted", (F.col("score") >= TOXIC_AT).cast("int"))
+
+
+@query
+def op3_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.taken(documents(spark, folder)).select(
+        "doc_id", "size", "source_size", "target", "taken"
+    )
+
+
+ORACLE["op3_mixing"] = mixing.SQL
+
+
+@query
+def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder).select("doc_id", "source", "text")
+    return lines.drop_boilerplate(docs).withColumnRenamed("_removed", "n_removed")
+
+
+ORACLE["op6_line_dedup"] = lines.SQL
+
+
 @query
 def op7_token_files(spark: SparkSession, folder: str) -> DataFrame:
     path = fresh_path(spark, "token-files")
@@ -39,6 +86,11 @@ def op7_token_files(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.judged(documents(spark, folder))
+
+
 @query
 def op10_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.encoded(

@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tocsin.llm import bpe, lines, mixing, quality, token_files, toxicity
+from tocsin.llm import (
+    bpe, embedding_dedup, lines, mixing, quality, simhash, token_files, toxicity,
+)
 from tocsin.llm.common import documents
 from tocsin.sources.workspace import fresh_path
 
@@ -25,6 +27,13 @@ def query(function: Query) -> Query:
     return function
 
 
+@query
+def op1_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_duplicates(documents(spark, folder)).select(
+        "doc_id", simhash.hex_digits("print").alias("fingerprint"), "component_id"
+    )
+
+
 def labels(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/labels.parquet")
 
@@ -91,6 +100,14 @@ def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judged(documents(spark, folder))
 
 
+@query
+def op9_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{folder}/embeddings.parquet")
+    return embedding_dedup.near_duplicates(vectors).withColumn(
+        "kept", F.col("vec_id").eqNullSafe(F.col("component_id"))
+    )
+
+
 @query
 def op10_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.encoded(

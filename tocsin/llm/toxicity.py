@@ -39,7 +39,7 @@ TRAIN_ROWS = 20_000
 #: Features of the classifier, and of them at most so many in the voters' lexicon.
 FEATURES, LEXICON = 2048, 400
 #: A lexicon entry is so many times as frequent in toxic texts, and in this share of them.
-LEXICON_RATIO, LEXICON_SHARE, LEAST_TEXTS = 20.0, 0.005, 3
+LEXICON_RATIO, LEXICON_SHARE, LEAST_TEXTS = 50.0, 0.005, 3
 #: The G statistic of word and class from which a word is no chance find among tens of thousands.
 LEAST_GAIN = 20.0
 BEGINNINGS = (4, 5, 6, 7, 8)

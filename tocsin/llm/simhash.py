@@ -249,8 +249,8 @@ def fitted_tree(prints: DataFrame, rows: int) -> Tree:
 def near_duplicates(
     docs: DataFrame, shingle: int = SHINGLE, bits: int = MOST_BITS
 ) -> DataFrame:
-    """``doc_id``, ``print`` (the fingerprint) and ``component_id``, the smallest doc_id that
-    links of at most ``bits`` reach."""
+    """``doc_id``, ``print`` (the fingerprint), ``group`` (a fingerprint that names what links of at
+    most ``bits`` connect) and ``component_id``, the smallest doc_id of the group."""
     held = Written(docs.sparkSession, "simhash")
     rows = held.table(docs.select("doc_id", fingerprints("text", shingle).alias("print")))
     prints = held.table(rows.groupBy("print").agg(F.min("doc_id").alias("least")))
@@ -264,5 +264,5 @@ def near_duplicates(
         )
     )
     least = held.table(named.groupBy("group").agg(F.min("least").alias("component_id")))
-    classes = held.table(named.select("print", "group").join(least, "group").drop("group"))
-    return rows.join(classes, "print").select("doc_id", "print", "component_id")
+    classes = held.table(named.select("print", "group").join(least, "group"))
+    return rows.join(classes, "print").select("doc_id", "print", "group", "component_id")

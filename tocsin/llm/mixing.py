@@ -24,6 +24,7 @@ from decimal import Decimal
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tocsin.llm.common import Written, byte_values
 
@@ -34,7 +35,7 @@ BINS = 1024
 HASH_BITS = 60
 
 
-@F.arrow_udf("long")
+@F.arrow_udf(T.LongType())
 def word_count(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
     for array in texts:
         yield pa.array([len(x.split()) for x in byte_values(array)], pa.int64())

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tocsin.llm import (
-    bpe, embedding_dedup, lines, mixing, quality, simhash, token_files, toxicity,
+    bpe, embedding_dedup, lines, mixing, quality, simhash, suffix_dedup, token_files, toxicity,
 )
 from tocsin.llm.common import documents
 from tocsin.sources.workspace import fresh_path
@@ -72,6 +72,11 @@ def op3_mixing(spark: SparkSession, folder: str) -> DataFrame:
 ORACLE["op3_mixing"] = mixing.SQL
 
 
+@query
+def op4_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup.deduplicated(documents(spark, folder), texts=False)
+
+
 @query
 def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = documents(spark, folder).select("doc_id", "source", "text")

@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tocsin.llm import (
-    bpe, embedding_dedup, lines, mixing, quality, simhash, suffix_dedup, token_files, toxicity,
+    bpe, embedding_dedup, licences, lines, mixing, quality, simhash, suffix_dedup, token_files,
+    toxicity,
 )
 from tocsin.llm.common import documents
 from tocsin.sources.workspace import fresh_path
@@ -77,6 +78,15 @@ def op4_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return suffix_dedup.deduplicated(documents(spark, folder), texts=False)
 
 
+@query
+def op5_licence_scan(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder)
+    return licences.scanned(docs, licences.fit(docs)).select(
+        "doc_id", F.array_join("licences", ";").alias("licences"),
+        F.size("spans").alias("n_paragraphs"),
+    )
+
+
 @query
 def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = documents(spark, folder).select("doc_id", "source", "text")

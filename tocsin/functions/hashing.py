@@ -14,8 +14,13 @@ MODULUS = 2147483647
 
 
 def hash_residue(key: Column, salt: int) -> Column:
-    """A number in [0, MODULUS) that looks random in ``key`` for a fixed ``salt``."""
-    mixed = F.pmod(key.cast("bigint"), F.lit(MODULUS)) * 48271 + 69621 * (salt + 1)
+    """A number in [0, MODULUS) that looks random in ``key`` for a fixed ``salt``.
+
+    The key's high bits count for themselves, so that large keys do not repeat small ones.
+    """
+    key = key.cast("bigint")
+    high = F.pmod(F.shiftright(key, 31), F.lit(MODULUS))
+    mixed = F.pmod(key, F.lit(MODULUS)) * 48271 + high * 25214 + 69621 * (salt + 1)
     for multiplier in (16807, 39373):
         low = mixed % MODULUS
         mixed = low * (low + multiplier) + salt

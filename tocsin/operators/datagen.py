@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tocsin.functions.hashing import hash_index, hash_uniform, weighted_choice
@@ -50,6 +50,9 @@ SEXES = ["F", "M", "U"]
 EVENTS_FROM = date(2020, 1, 1)
 EVENT_DAYS = 1501
 
+# Hexadecimal digits of the hash by which entities are numbered.
+BUCKET_DIGITS = 3
+
 # One salt for each value drawn for a row.
 (
     SALT_ENTITY, SALT_NOVEL, SALT_REACTION, SALT_OUTCOME, SALT_DAY,
@@ -70,13 +73,40 @@ def demo_portfolio(entities: DataFrame) -> DataFrame:
     """Give the demo entities, read from their CSV, what the generators need."""
     return entities.select(
         "*",
-        F.regexp_extract("drug_id", r"(\d+)$", 1).cast("bigint").alias("entity_no"),
         _lookup(MONTHLY_UNITS, F.col("drug_id")).alias("monthly_units"),
         _lookup(BASE_REACTIONS, F.col("therapeutic_area")).alias("base_reactions"),
         _lookup(NOVEL_REACTIONS, F.col("drug_id")).alias("novel_reactions"),
     )
 
 
+def numbered(entities: DataFrame) -> DataFrame:
+    """Give entities the numbers 0, 1, 2, ... in ``entity_no``, whatever their ids are.
+
+    They are numbered within buckets of a hash of the id, and each bucket
+    starts where those before it end, so no task sees all entities.
+    """
+    bucket = F.substring(F.md5(F.col("drug_id").cast("string")), 1, BUCKET_DIGITS)
+    placed = entities.withColumn("_bucket", bucket)
+    sizes = placed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_size"))
+    earlier = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select(
+        "_bucket", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_start")
+    )
+    within = F.row_number().over(Window.partitionBy("_bucket").orderBy("drug_id"))
+    return (
+        placed.withColumn("_within", within)
+        .join(starts, "_bucket")
+        .withColumn("entity_no", F.col("_start") + F.col("_within") - 1)
+        .drop("_bucket", "_start", "_within")
+    )
+
+
+def _required(value: Column, what: str) -> Column:
+    """The value; a row without one fails the job."""
+    message = F.concat(F.lit(f"no {what} for entity "), F.col("drug_id").cast("string"))
+    return F.when(value.isNull(), F.raise_error(message)).otherwise(value)
+
+
 def month_spine(entities: DataFrame, end: date) -> DataFrame:
     """One row per entity and month, from the month of launch to that of ``end``."""
     first = F.trunc("launch_date", "MM")
@@ -95,26 +125,25 @@ def generate_sales(portfolio: DataFrame, end: date = SALES_END) -> DataFrame:
     noise = F.lit(low) + hash_uniform(
         F.col("entity_no") * 100000 + month_no, SALT_VOLUME
     ) * F.lit(high - low)
-    return month_spine(portfolio, end).select(
+    units = _required(F.col("monthly_units"), "usual volume")
+    return month_spine(numbered(portfolio), end).select(
         "drug_id",
         "year_month",
-        round_half_away(F.col("monthly_units") * noise).cast("int").alias("units_sold"),
+        round_half_away(units * noise).cast("bigint").alias("units_sold"),
     )
 
 
-def generate_events(
-    reports: DataFrame, portfolio: DataFrame, first_entity_no: int = 1
-) -> DataFrame:
+def generate_events(reports: DataFrame, portfolio: DataFrame) -> DataFrame:
     """One event report for each ``report_id``.
 
-    ``portfolio`` numbers its entities in ``entity_no`` without gaps from
-    ``first_entity_no``; an entity with ``novel_reactions`` is a flagged one.
+    An entity with ``novel_reactions`` is a flagged one; one without
+    ``base_reactions`` fails the job.
     """
     key = F.col("report_id")
     size = portfolio.agg(F.count(F.lit(1))).scalar()
     drawn = reports.select(
         "report_id",
-        (hash_index(key, SALT_ENTITY, size) + first_entity_no).alias("entity_no"),
+        hash_index(key, SALT_ENTITY, size).alias("entity_no"),
     )
     flagged = F.col("novel_reactions").isNotNull()
     novel = flagged & (hash_uniform(key, SALT_NOVEL) < NOVEL_SHARE)
@@ -128,13 +157,14 @@ def generate_events(
             F.array(*map(F.lit, values)), hash_index(key, salt, F.lit(len(values))).cast("int")
         )
 
-    with_entity = join_lookup(drawn, portfolio, ["entity_no"]).select(
+    base_reactions = _required(F.col("base_reactions"), "reactions")
+    with_entity = join_lookup(drawn, numbered(portfolio), ["entity_no"]).select(
         "report_id", "drug_id", "drug_name", "therapeutic_area",
         F.date_add(
             F.lit(EVENTS_FROM), hash_index(key, SALT_DAY, F.lit(EVENT_DAYS)).cast("int")
         ).alias("event_date"),
         F.when(novel, pick(F.col("novel_reactions")))
-        .otherwise(pick(F.col("base_reactions"))).alias("reaction"),
+        .otherwise(pick(base_reactions)).alias("reaction"),
         novel.cast("int").alias("is_novel_reaction"),
         F.when(flagged, weighted_choice(outcome_at, OUTCOMES, FLAGGED_OUTCOME_WEIGHTS))
         .otherwise(weighted_choice(outcome_at, OUTCOMES, OUTCOME_WEIGHTS)).alias("outcome"),

@@ -1,26 +1,18 @@
-"""Joining rows with a table that may or may not be small."""
+"""Joining event rows with a lookup table."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-# A table of this many rows with a few short columns takes some tens of megabytes.
-BROADCAST_ROWS = 1_000_000
-
-
-def is_small(df: DataFrame) -> bool:
-    """Whether the table may be broadcast. The count runs in parallel and needs no column."""
-    return df.count() <= BROADCAST_ROWS
 
 
 def join_lookup(
     rows: DataFrame, lookup: DataFrame, keys: list[str], how: str = "inner"
 ) -> DataFrame:
-    """Join event rows with a lookup table.
+    """Join event rows with a lookup table of any size.
 
-    A small lookup, by count, is broadcast, so the rows stay where they are.
-    A larger one is joined by shuffling both; adaptive execution then splits
-    the partition of a hot key.
+    Nothing is hinted: adaptive execution broadcasts a lookup that turns out to be within the
+    session's own limit in bytes, and otherwise shuffles both sides and splits the partition of a
+    hot key. For that the lookup must be a stored table or a projection of one; a result that is
+    already partitioned by the keys would be joined without a shuffle of its own.
     """
-    return rows.join(F.broadcast(lookup) if is_small(lookup) else lookup, keys, how)
+    return rows.join(lookup, keys, how)

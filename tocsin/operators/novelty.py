@@ -2,26 +2,59 @@
 
 Novelty is a property of an (entity, reaction) pair: a pair is *known* if it
 was seen before the end of the first months after launch, or before launch,
-and novel otherwise. Counts are made by pair first, and novelty is looked up
-once per pair and not once per event.
+and novel otherwise. So it follows from the first date on which the pair was
+seen, which a grouped count keeps at no extra cost.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tocsin.operators.counts import QUARTER_KEYS, merge_rollups, unit_counts
-from tocsin.operators.joins import BROADCAST_ROWS, is_small, join_lookup
+from tocsin.functions.periods import label_of
+from tocsin.operators.counts import COUNTS, QUARTER_KEYS
+from tocsin.operators.joins import join_lookup
 
 GRACE_MONTHS = 6
 PAIR = ["drug_id", "reaction"]
+QUARTER = ["event_year", "event_quarter_num"]
 
 
 def _grace_end(months: int) -> Column:
     return F.add_months("launch_date", months)
 
 
+def pair_cells(events: DataFrame) -> DataFrame:
+    """Reports, serious reports and the first date of each pair and quarter.
+
+    One pass over the events; novelty, period counts and trend all follow from
+    these rows, of which there are as many as pairs and quarters.
+    """
+    return events.groupBy(*PAIR, *QUARTER).agg(
+        F.count(F.lit(1)).alias("total_reports"),
+        F.sum(F.col("is_serious").cast("int")).alias("serious_reports"),
+        F.min("event_date").alias("first_seen"),
+    )
+
+
+def novel_quarter_rollup(
+    cells: DataFrame, entities: DataFrame, months: int = GRACE_MONTHS
+) -> DataFrame:
+    """Quarter rollup (as ``counts.quarter_rollup``) of known entities, from pair cells."""
+    seen = F.min("first_seen").over(Window.partitionBy(*PAIR))
+    grace = entities.select("drug_id", _grace_end(months).alias("grace_end"))
+    novel = (F.col("seen") >= F.col("grace_end")).cast("int") * F.col("total_reports")
+    rollup = (
+        cells.withColumn("seen", seen)
+        .join(grace, "drug_id")
+        .withColumn("novel_reports", novel)
+        .groupBy("drug_id", *QUARTER)
+        .agg(*[F.sum(c).alias(c) for c in COUNTS])
+    )
+    label = label_of(F.col("event_year"), F.col("event_quarter_num"))
+    return rollup.withColumn("quarter", label).select(*QUARTER_KEYS, *COUNTS)
+
+
 def first_sightings(events: DataFrame) -> DataFrame:
     """The first event date of each (entity, reaction) pair."""
     return events.groupBy(*PAIR).agg(F.min("event_date").alias("first_seen"))
@@ -32,104 +65,32 @@ def known_pairs(
 ) -> DataFrame:
     """The known (entity, reaction) pairs.
 
-    Events after the end of the last grace period cannot matter, so the scan
-    leaves them out. With a small entity table, by count, the grace periods are
-    broadcast and each entity's later events fall away before anything is
-    shuffled. Otherwise the events are reduced to first sightings, one row per
-    pair, and these meet the entity table.
+    Events after the end of the last grace period cannot matter and fall away
+    first. The others are reduced to first sightings, one row per pair, and
+    these meet the entity table.
     """
     grace = entities.select("drug_id", _grace_end(months).alias("grace_end"))
-    size, last_day = grace.agg(F.count(F.lit(1)), F.max("grace_end")).first()
-    early = events.select(*PAIR, "event_date").filter(F.col("event_date") < F.lit(last_day))
-    in_grace = F.col("event_date") < F.col("grace_end")
-    if size <= BROADCAST_ROWS:
-        return early.join(F.broadcast(grace), "drug_id").filter(in_grace).select(*PAIR).distinct()
-    first = first_sightings(early).withColumnRenamed("first_seen", "event_date")
-    return first.join(grace, "drug_id").filter(in_grace).select(*PAIR)
-
+    last_day = grace.agg(F.max("grace_end")).scalar()
+    early = events.select(*PAIR, "event_date").filter(F.col("event_date") < last_day)
+    in_grace = F.col("first_seen") < F.col("grace_end")
+    return first_sightings(early).join(grace, "drug_id").filter(in_grace).select(*PAIR)
 
-def _marked(known: DataFrame) -> DataFrame:
-    return known.withColumn("is_known", F.lit(True))
-
-
-def _flagged(joined: DataFrame) -> DataFrame:
-    return joined.withColumn("is_novel_reaction", F.col("is_known").isNull()).drop("is_known")
 
-
-def attach_novelty(cells: DataFrame, known: DataFrame) -> DataFrame:
-    """Give aggregated rows with (drug_id, reaction) the flag ``is_novel_reaction``.
+def attach_novelty(rows: DataFrame, known: DataFrame) -> DataFrame:
+    """Give rows with (drug_id, reaction) the flag ``is_novel_reaction``.
 
     A row of an unknown entity counts as novel; staging drops such rows.
     """
-    return _flagged(cells.join(_marked(known), PAIR, "left"))
+    marked = known.withColumn("is_known", F.lit(True))
+    joined = join_lookup(rows, marked, PAIR, "left")
+    return joined.withColumn("is_novel_reaction", F.col("is_known").isNull()).drop("is_known")
 
 
 def flag_events(events: DataFrame, known: DataFrame) -> DataFrame:
     """Give event rows the flag ``is_novel_reaction``.
 
-    ``known`` must be a written table. Its size is then cheap to find out, and
-    where it is too large to broadcast both sides of the join come straight
-    from a shuffle, which is what lets adaptive execution split a hot pair.
-    (The result of ``known_pairs`` itself is partitioned by pair already and
-    would be joined without that shuffle.)
-    """
-    return _flagged(join_lookup(events, _marked(known), PAIR, "left"))
-
-
-def novel_period_counts(
-    events: DataFrame, known: DataFrame, entities: DataFrame, current: str, previous: str
-) -> DataFrame:
-    """Period counts of known entities (as ``counts.period_counts``) for events without the flag.
-
-    Counting by pair gives the counts the partitioning of the known pairs, so
-    the two meet without another shuffle.
+    ``known`` should be a written table: both sides of the join then come
+    straight from a shuffle, which lets adaptive execution split a hot pair.
     """
-    in_current = F.col("quarter") == current
-    in_previous = F.col("quarter") == previous
-    one = F.lit(1).cast("bigint")
-    by_pair = (
-        events.filter(in_current | in_previous)
-        .groupBy(*PAIR)
-        .agg(
-            F.sum(F.when(in_current, one)).alias("total_reports"),
-            F.sum(F.when(in_current, F.col("is_serious").cast("int"))).alias("serious_reports"),
-            F.sum(F.when(in_previous, one)).alias("prev_reports"),
-        )
-    )
-    novel = F.col("total_reports") * F.col("is_novel_reaction").cast("int")
-    return (
-        attach_novelty(by_pair, known)
-        .groupBy("drug_id")
-        .agg(
-            F.sum("total_reports").alias("total_reports"),
-            F.sum("serious_reports").alias("serious_reports"),
-            F.sum(novel).alias("novel_reports"),
-            F.sum("prev_reports").alias("prev_reports"),
-        )
-        .join(entities.select("drug_id"), "drug_id", "left_semi")
-    )
+    return attach_novelty(events, known)
 
-
-def novel_quarter_rollup(
-    events: DataFrame, known: DataFrame, entities: DataFrame
-) -> DataFrame:
-    """Quarter rollup (as ``counts.quarter_rollup``) for events without the flag.
-
-    ``known`` must be a written table. Where it is small, the events are
-    flagged in place and counted by quarter right away. Otherwise they are
-    counted by pair and quarter first and these rows are flagged. The quarter's
-    label may be left out of the events where it follows from the date; it is
-    cheaper to write it on the rolled-up rows.
-    """
-    keys = [k for k in QUARTER_KEYS if k in events.columns]
-    if is_small(known):
-        flagged = _flagged(events.join(F.broadcast(_marked(known)), PAIR, "left"))
-        rollup = unit_counts(flagged)
-    else:
-        cells = events.groupBy(*keys, "reaction").agg(
-            F.count(F.lit(1)).alias("total_reports"),
-            F.sum(F.col("is_serious").cast("int")).alias("serious_reports"),
-        )
-        novel = F.col("total_reports") * F.col("is_novel_reaction").cast("int")
-        rollup = attach_novelty(cells, known).withColumn("novel_reports", novel)
-    return merge_rollups(rollup, *keys).join(entities.select("drug_id"), "drug_id", "left_semi")

@@ -1,7 +1,9 @@
 """Fixed questions about the events, with parameters bound by the caller.
 
-``events`` have gone through ``staging.event_fields``. Counts come before the
-joins with the entity table.
+Most severe and most reports in a year are asked of staged events, the others
+of raw ones, future dates included. Where a question names its entities, the
+events of all others fall away first; otherwise counts come before the joins
+with the entity table.
 """
 
 from __future__ import annotations
@@ -29,12 +31,9 @@ def most_severe(events: DataFrame, entities: DataFrame, k: int = 1) -> DataFrame
 def fatal_count(events: DataFrame, entities: DataFrame, drug_name: str) -> DataFrame:
     """Number of fatal outcomes of one named entity; 0 if it has none."""
     named = entities.filter(F.col("drug_name") == drug_name).select("drug_id")
-    counts = report_cells(events.filter(F.col("outcome") == "Death"), "drug_id")
-    reports = F.coalesce(F.sum("report_count"), F.lit(0).cast("bigint"))
-    return (
-        counts.join(named, "drug_id", "left_semi")
-        .agg(reports.alias("fatal_reports"))
-        .select(F.lit(drug_name).alias("drug_name"), "fatal_reports")
+    fatal = events.join(named, "drug_id", "left_semi").filter(F.col("outcome") == "Death")
+    return fatal.agg(F.count(F.lit(1)).alias("fatal_reports")).select(
+        F.lit(drug_name).alias("drug_name"), "fatal_reports"
     )
 
 
@@ -43,12 +42,7 @@ def common_reactions(
 ) -> DataFrame:
     """The commonest reactions in a therapeutic area."""
     in_area = entities.filter(F.col("therapeutic_area") == area).select("drug_id")
-    counts = (
-        report_cells(events, "drug_id", "reaction")
-        .join(in_area, "drug_id", "left_semi")
-        .groupBy("reaction")
-        .agg(F.sum("report_count").alias("report_count"))
-    )
+    counts = report_cells(events.join(in_area, "drug_id", "left_semi"), "reaction")
     return _top(counts, "report_count", "reaction", k)
 
 
@@ -62,11 +56,11 @@ def top_reports_in_year(
 
 def compare_areas(events: DataFrame, entities: DataFrame, areas: list[str]) -> DataFrame:
     """Serious and all reports of the given therapeutic areas."""
-    counts = events.groupBy("drug_id").agg(
+    chosen = entities.filter(F.col("therapeutic_area").isin(areas))
+    counts = events.join(chosen.select("drug_id"), "drug_id", "left_semi").groupBy("drug_id").agg(
         F.count(F.lit(1)).alias("total_reports"),
         F.sum(F.col("is_serious").cast("int")).alias("serious_reports"),
     )
-    chosen = entities.filter(F.col("therapeutic_area").isin(areas))
     return (
         describe(counts, chosen, "therapeutic_area")
         .groupBy("therapeutic_area")

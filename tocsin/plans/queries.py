@@ -19,7 +19,8 @@ from tocsin.functions import numeric, periods
 from tocsin.operators import (
     counts, datagen, novelty, quality, questions, reports, scoring, sqltext, staging,
 )
-from tocsin.schemas import RAW_DRUGS, required_columns
+from tocsin.plans import batch
+from tocsin.schemas import RAW_DRUGS, RAW_TABLES, required_columns
 from tocsin.sources import files, views
 from tocsin.sources.testtables import AS_OF, EVENT_COLUMNS, SCORING, TestTables
 from tocsin.sources.workspace import fresh_path, written_once
@@ -74,14 +75,17 @@ def _flagged_events(t: TestTables, *columns: str, quarters: list[str] | None = N
     return novelty.flag_events(_events(t, *columns, quarters=quarters), known)
 
 
+def _rollup(t: TestTables, until: str | None = None) -> DataFrame:
+    """The quarter rollup, from one pass over the events up to the end of a quarter."""
+    end = periods.quarters_range([until])[1] if until else None
+    events = t.events("drug_id", "event_date", "reaction", "is_serious", end=end)
+    cells = novelty.pair_cells(staging.event_fields(events, AS_OF))
+    return novelty.novel_quarter_rollup(cells, t.entities())
+
+
 def _counts(t: TestTables, cfg: ScoringConfig = SCORING) -> DataFrame:
-    """Period counts. Only the events of the two quarters meet their orders; the
-    known pairs need the whole history, but three columns of it."""
-    pair = [cfg.current_quarter, cfg.previous_quarter]
-    columns = ("drug_id", "event_date", "quarter", "reaction", "is_serious")
-    return novelty.novel_period_counts(
-        _events(t, *columns, quarters=pair), _known_pairs(t), t.entities(), *pair
-    )
+    rollup = _rollup(t, cfg.current_quarter)
+    return counts.counts_of_rollup(rollup, cfg.current_quarter, cfg.previous_quarter)
 
 
 def _units(t: TestTables, cfg: ScoringConfig = SCORING) -> DataFrame:
@@ -115,15 +119,8 @@ def _breakdown(t: TestTables) -> DataFrame:
 
 
 def _trend(t: TestTables) -> DataFrame:
-    known = written_once(_known_pairs(t), "known-pairs")
-    events = _events(t, "drug_id", "event_date", "reaction", "is_serious")
-    by_quarter = novelty.novel_quarter_rollup(events, known, t.entities())
-    label = periods.label_of(F.col("event_year"), F.col("event_quarter_num"))
-    return reports.quarterly_trend(
-        by_quarter.withColumn("quarter", label),
-        t.entities(),
-        staging.stage_quarterly_sales(t.sales()),
-    )
+    sales = staging.stage_quarterly_sales(t.sales())
+    return reports.quarterly_trend(_rollup(t), t.entities(), sales)
 
 
 # --- sources and sinks ----------------------------------------------------------------------
@@ -147,6 +144,19 @@ def csv_roundtrip_watchlist(spark: SparkSession, folder: str) -> DataFrame:
     return iso_dates(files.read_csv(spark, path, watchlist.schema))
 
 
+@query
+def csv_roundtrip_texts(spark: SparkSession, folder: str) -> DataFrame:
+    """Texts with quotes, commas and line breaks."""
+    turns = TestTables(spark, folder).table("conversations")
+    shaped = turns.select(
+        "conv_id", "turn", "role",
+        F.concat(F.col("text"), F.lit('\n"'), F.col("role"), F.lit('", said\r\n')).alias("text"),
+    )
+    path = fresh_path(spark, "texts-csv")
+    files.write_csv(shaped, path)
+    return files.read_csv(spark, path, shaped.schema, multi_line=True)
+
+
 @query
 def parquet_roundtrip_trend(spark: SparkSession, folder: str) -> DataFrame:
     trend = _trend(TestTables(spark, folder))
@@ -472,14 +482,14 @@ def qa_most_severe(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def qa_fatal_count(spark: SparkSession, folder: str) -> DataFrame:
     t = TestTables(spark, folder)
-    events = _events(t, "drug_id", "event_date", "outcome")
+    events = t.events("drug_id", "outcome")
     return questions.fatal_count(events, t.entities(), "Supplier#000000001")
 
 
 @query
 def qa_reactions_by_area(spark: SparkSession, folder: str) -> DataFrame:
     t = TestTables(spark, folder)
-    events = _events(t, "drug_id", "event_date", "reaction")
+    events = t.events("drug_id", "reaction")
     return questions.common_reactions(events, t.entities(), "ASIA")
 
 
@@ -495,7 +505,7 @@ def qa_top_reports_in_year(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def qa_compare_areas(spark: SparkSession, folder: str) -> DataFrame:
     t = TestTables(spark, folder)
-    events = _events(t, "drug_id", "event_date", "is_serious")
+    events = t.events("drug_id", "is_serious")
     return questions.compare_areas(events, t.entities(), ["EUROPE", "ASIA"])
 
 
@@ -603,7 +613,7 @@ def scalar_period(spark: SparkSession, folder: str) -> DataFrame:
 
 def _query_log(spark: SparkSession, folder: str) -> DataFrame:
     """Texts shaped like generated SQL around each message; a fifth stay as they are."""
-    message = F.regexp_replace("text", r"[\r\n]", " ")
+    message = F.col("text")
     form = (F.col("conv_id") + F.col("turn")) % 5
     fence, line = F.lit("```"), F.lit("\n")
     text = (
@@ -641,12 +651,20 @@ def qualify_sql_aliases(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def clean_sql_text(spark: SparkSession, folder: str) -> DataFrame:
+    """All rules in their order: fences, comments, escapes, first statement, table names."""
+    return _query_log(spark, folder).withColumn(
+        "sql_text", sqltext.clean_sql(F.col("sql_text"), "SAFETY.RAW")
+    )
+
+
 # --- generation -----------------------------------------------------------------------------
 
 
 def _portfolio(t: TestTables) -> DataFrame:
     """Entities with what the generators need; every fourth one is flagged."""
-    no = F.col("drug_id")
+    no = F.col("drug_id").cast("bigint")
 
     def one_of(lists: list[list[str]], index) -> F.Column:
         return F.get(F.array(*[F.array(*map(F.lit, v)) for v in lists]), index.cast("int"))
@@ -654,7 +672,6 @@ def _portfolio(t: TestTables) -> DataFrame:
     area_no = (F.col("class_avg_serious_rate") * 10 - 3).cast("int")
     return t.entities().select(
         "*",
-        no.alias("entity_no"),
         (no * 7919 % 42201 + 9800).alias("monthly_units"),
         one_of(list(datagen.BASE_REACTIONS.values()), area_no).alias("base_reactions"),
         F.when(
@@ -679,6 +696,56 @@ def gen_events(spark: SparkSession, folder: str) -> DataFrame:
     """One synthetic report for each order."""
     t = TestTables(spark, folder)
     reports_to_make = t.table("orders").select(F.col("o_orderkey").alias("report_id"))
-    return iso_dates(
-        datagen.generate_events(reports_to_make, _portfolio(t), first_entity_no=0)
-    )
+    return iso_dates(datagen.generate_events(reports_to_make, _portfolio(t)))
+
+
+@query
+def gen_events_gapped_ids(spark: SparkSession, folder: str) -> DataFrame:
+    """One report for each order again, for a portfolio whose ids have gaps."""
+    t = TestTables(spark, folder)
+    reports_to_make = t.table("orders").select(F.col("o_orderkey").alias("report_id"))
+    portfolio = _portfolio(t).filter(F.col("drug_id") % 7 != 0)
+    return iso_dates(datagen.generate_events(reports_to_make, portfolio))
+
+
+# --- batch run ------------------------------------------------------------------------------
+
+
+def _batch(spark: SparkSession, folder: str, output: str) -> DataFrame:
+    """Write the raw feeds as CSV, run the batch pipeline on them, read one of its tables.
+
+    Events are written with their novelty, as a feed would bring it.
+    """
+    t = TestTables(spark, folder)
+    home = fresh_path(spark, "batch")
+    known = written_once(_known_pairs(t), "known-pairs")
+    feeds = {
+        "raw_drugs": t.entities(),
+        "raw_adverse_events": novelty.flag_events(t.events(*EVENT_COLUMNS), known),
+        "raw_sales_volume": t.sales(),
+    }
+    for name, schema in RAW_TABLES.items():
+        feed = feeds[name]
+        columns = [
+            (F.col(f.name) if f.name in feed.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+            for f in schema.fields
+        ]
+        files.write_csv(feed.select(*columns), f"{home}/in/{files.RAW_FILES[name]}")
+    batch.run_batch(spark, f"{home}/in", f"{home}/out", SCORING)
+    found = spark.read.parquet(f"{home}/out/tables/{output}")
+    return iso_dates(found.withColumn("drug_id", F.col("drug_id").cast("bigint")))
+
+
+@query
+def batch_watchlist(spark: SparkSession, folder: str) -> DataFrame:
+    return _batch(spark, folder, "risk_watchlist")
+
+
+@query
+def batch_breakdown(spark: SparkSession, folder: str) -> DataFrame:
+    return _batch(spark, folder, "ae_breakdown")
+
+
+@query
+def batch_trend(spark: SparkSession, folder: str) -> DataFrame:
+    return exported_changes(_batch(spark, folder, "quarterly_trend"))

@@ -19,7 +19,7 @@ RAW_DRUGS = T.StructType([
 ])
 
 RAW_ADVERSE_EVENTS = T.StructType([
-    _field("report_id", T.IntegerType(), True),
+    _field("report_id", T.LongType(), True),
     _field("drug_id", T.StringType(), True),
     _field("drug_name", T.StringType()),
     _field("therapeutic_area", T.StringType()),
@@ -39,7 +39,7 @@ RAW_ADVERSE_EVENTS = T.StructType([
 RAW_SALES_VOLUME = T.StructType([
     _field("drug_id", T.StringType(), True),
     _field("year_month", T.StringType(), True),
-    _field("units_sold", T.IntegerType(), True),
+    _field("units_sold", T.LongType(), True),
 ])
 
 RAW_TABLES = {

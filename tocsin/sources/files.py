@@ -11,40 +11,46 @@ from pyspark.sql import types as T
 from tocsin.schemas import RAW_TABLES
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """CSV with a header and a declared schema; a malformed row fails the read."""
-    return (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("mode", "FAILFAST")
-        .option("enforceSchema", False)
-        .option("dateFormat", "yyyy-MM-dd")
-        .option("escape", '"')
-        .csv(path)
-    )
+#: How CSV files are written and read, by batch and stream alike.
+CSV_FORMAT = {"header": "true", "dateFormat": "yyyy-MM-dd", "escape": '"', "lineSep": "\n"}
+CSV_READ = {**CSV_FORMAT, "mode": "FAILFAST", "enforceSchema": "false"}
+
+RAW_FILES = {
+    "raw_drugs": "drugs.csv",
+    "raw_adverse_events": "adverse_events.csv",
+    "raw_sales_volume": "sales_volume.csv",
+}
+
+
+def read_csv(
+    spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False
+) -> DataFrame:
+    """CSV with a header and a declared schema; a malformed row fails the read.
+
+    ``multi_line`` takes line breaks within quotes; a file is then read by one
+    task, so leave it off where texts have none.
+    """
+    options = {k: v for k, v in CSV_READ.items() if not (multi_line and k == "lineSep")}
+    reader = spark.read.schema(schema).options(**options).option("multiLine", multi_line)
+    return reader.csv(path)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
     """CSV part files with a header; NULL is an empty field."""
     (
         df.write.mode("overwrite")
-        .option("header", True)
+        .options(**CSV_FORMAT)
         .option("nullValue", "")
-        .option("dateFormat", "yyyy-MM-dd")
-        .option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
         .csv(path)
     )
 
 
 def read_raw(spark: SparkSession, data_dir: str) -> dict[str, DataFrame]:
     """The three raw tables, from the CSV files of ``data_dir``."""
-    files = {
-        "raw_drugs": "drugs.csv",
-        "raw_adverse_events": "adverse_events.csv",
-        "raw_sales_volume": "sales_volume.csv",
-    }
     return {
-        name: read_csv(spark, f"{data_dir}/{files[name]}", schema)
+        name: read_csv(spark, f"{data_dir}/{RAW_FILES[name]}", schema)
         for name, schema in RAW_TABLES.items()
     }
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -21,7 +22,7 @@ def shared_folder(spark: SparkSession) -> str:
     if configured:
         return configured.rstrip("/")
     context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", context.master):
         raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(tempfile.mkdtemp(prefix="tocsin-"))

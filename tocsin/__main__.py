@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import argparse
+import csv
+import sys
 from datetime import date
 
 from pyspark.sql import functions as F
@@ -31,6 +33,7 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     sql.add_argument("--data", required=True)
     sql.add_argument("--quarter", required=True)
     sql.add_argument("--as-of", type=date.fromisoformat, default=None)
+    sql.add_argument("--out", help="folder for all rows as CSV part files; else they are printed")
     sql.add_argument("query")
 
     generate = commands.add_parser("generate", help="make synthetic reports and volumes")
@@ -51,10 +54,16 @@ def main(argv: list[str] | None = None) -> None:
         cfg = ScoringConfig(current_quarter=args.quarter, as_of=args.as_of)
         raw = read_raw(spark, args.data)
         register_views({**raw, **staged_views(raw, cfg)})
-        run_sql(spark, args.query).show(truncate=False)
+        result = run_sql(spark, args.query)
+        if args.out:
+            write_csv(result, args.out)
+            return
+        rows = csv.writer(sys.stdout)
+        rows.writerow(result.columns)
+        rows.writerows(result.toLocalIterator())  # one partition at a time
         return
     portfolio = datagen.demo_portfolio(read_csv(spark, f"{args.data}/drugs.csv", RAW_DRUGS))
-    reports = spark.range(1, args.reports + 1).select(F.col("id").cast("int").alias("report_id"))
+    reports = spark.range(1, args.reports + 1).select(F.col("id").alias("report_id"))
     write_csv(datagen.generate_events(reports, portfolio), f"{args.data}/adverse_events.csv")
     write_csv(datagen.generate_sales(portfolio), f"{args.data}/sales_volume.csv")
 

@@ -1,8 +1,10 @@
 """Incremental quarter rollup with Structured Streaming.
 
 Rollups add up, so no state is kept: each micro-batch writes the rollup of its
-own events, and readers add up the batches. A batch that is run again after a
-failure replaces its own output, so every event counts once.
+own events by day, and readers add up the batches. A batch that is run again
+after a failure replaces its own output, so every event counts once. The date
+guard applies on reading: a report dated ahead counts as soon as its day has
+come.
 """
 
 from __future__ import annotations
@@ -12,37 +14,41 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from tocsin.operators.counts import QUARTER_KEYS, merge_rollups, quarter_rollup
+from tocsin.operators.counts import QUARTER_KEYS, merge_rollups, unit_counts
 from tocsin.operators.staging import event_fields
 from tocsin.schemas import RAW_ADVERSE_EVENTS
+from tocsin.sources.files import CSV_READ
 
+DAY_KEYS = ["drug_id", "quarter", "event_date"]
 ROLLUP_SCHEMA = (
-    "drug_id STRING, quarter STRING, event_year INT, event_quarter_num INT, "
+    "drug_id STRING, quarter STRING, event_date DATE, "
     "total_reports BIGINT, serious_reports BIGINT, novel_reports BIGINT"
 )
 
 
 def arriving_events(spark: SparkSession, folder: str) -> DataFrame:
     """Raw event CSV files as a stream, with the declared schema."""
-    return (
-        spark.readStream.schema(RAW_ADVERSE_EVENTS)
-        .option("header", True)
-        .option("mode", "FAILFAST")
-        .csv(folder)
-    )
+    return spark.readStream.schema(RAW_ADVERSE_EVENTS).options(**CSV_READ).csv(folder)
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
 
 
-def refresh_rollup(
-    events: DataFrame, rollup_path: str, checkpoint: str, as_of: date | None = None
-) -> StreamingQuery:
+def refresh_rollup(events: DataFrame, rollup_path: str, checkpoint: str) -> StreamingQuery:
     """Take in everything that arrived since the last refresh, then stop.
 
-    ``rollup_path`` and ``checkpoint`` belong on storage that all executors
-    share. The date guard applies when an event arrives.
+    ``rollup_path`` and ``checkpoint`` belong together, on storage that all
+    executors share: a new checkpoint would start counting anew over the
+    batches that are there, so that is an error.
     """
+    spark = events.sparkSession
+    if _exists(spark, rollup_path) and not _exists(spark, checkpoint):
+        raise ValueError(f"{rollup_path} was not written with the checkpoint {checkpoint}")
 
     def add(batch: DataFrame, batch_id: int) -> None:
-        rollup = quarter_rollup(event_fields(batch, as_of))
+        rollup = merge_rollups(unit_counts(batch), *DAY_KEYS)
         rollup.write.mode("overwrite").parquet(f"{rollup_path}/batch={batch_id}")
 
     return (
@@ -53,7 +59,9 @@ def refresh_rollup(
     )
 
 
-def read_rollup(spark: SparkSession, rollup_path: str) -> DataFrame:
-    """The sum of all batches."""
+def read_rollup(
+    spark: SparkSession, rollup_path: str, as_of: date | None = None
+) -> DataFrame:
+    """The sum of all batches over the days up to ``as_of``."""
     batches = spark.read.schema(ROLLUP_SCHEMA).parquet(rollup_path)
-    return merge_rollups(batches, *QUARTER_KEYS)
+    return merge_rollups(event_fields(batches, as_of), *QUARTER_KEYS)

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import uuid
 from collections import Counter
 from datetime import date
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -90,7 +93,7 @@ def test_generated_sales(spark, folder):
 
 def test_rows_do_not_depend_on_partitioning(spark, folder):
     portfolio = datagen.demo_portfolio(files.read_csv(spark, f"{folder}/drugs.csv", RAW_DRUGS))
-    reports = spark.range(1, 500).select(F.col("id").cast("int").alias("report_id"))
+    reports = spark.range(1, 500).select(F.col("id").alias("report_id"))
     one = datagen.generate_events(reports.repartition(1), portfolio)
     many = datagen.generate_events(reports.repartition(7), portfolio.repartition(3))
     assert sorted(one.collect()) == sorted(many.collect())
@@ -145,19 +148,54 @@ def test_audit_and_sql_over_views(spark, folder):
     assert quoted.name == "Crohn's"
 
 
+def test_gaps_in_ids_lose_no_report(spark, folder):
+    drugs = files.read_csv(spark, f"{folder}/drugs.csv", RAW_DRUGS)
+    some = datagen.demo_portfolio(drugs).filter(F.col("drug_id").isin("DRG001", "DRG005", "DRG009"))
+    reports = spark.range(3_000_000_000, 3_000_001_000).select(F.col("id").alias("report_id"))
+    events = datagen.generate_events(reports, some)
+    assert events.count() == 1000 == events.select("report_id").distinct().count()
+    assert events.filter("reaction IS NULL").count() == 0
+
+
+def test_unknown_area_fails(spark, folder):
+    drugs = files.read_csv(spark, f"{folder}/drugs.csv", RAW_DRUGS)
+    odd = datagen.demo_portfolio(drugs.withColumn("therapeutic_area", F.lit("Dermatology")))
+    reports = spark.range(10).select(F.col("id").alias("report_id"))
+    with pytest.raises(Exception, match="no reactions for entity"):
+        datagen.generate_events(reports, odd).collect()
+
+
+def test_ids_beyond_int(spark, folder, tmp_path):
+    drugs = datagen.demo_portfolio(files.read_csv(spark, f"{folder}/drugs.csv", RAW_DRUGS))
+    reports = spark.range(3_000_000_000, 3_000_000_010).select(F.col("id").alias("report_id"))
+    files.write_csv(datagen.generate_events(reports, drugs), f"{tmp_path}/e.csv")
+    found = files.read_csv(spark, f"{tmp_path}/e.csv", RAW_ADVERSE_EVENTS)
+    assert found.agg(F.max("report_id")).first()[0] == 3_000_000_009
+
+
+def arrive(spark, rows, inbox):
+    files.write_csv(rows.coalesce(2), inbox + "-part")
+    # Files arrive one by one in the folder that is watched.
+    os.makedirs(inbox, exist_ok=True)
+    for path in Path(inbox + "-part").glob("*.csv"):
+        os.link(path, f"{inbox}/{uuid.uuid4().hex}.csv")
+
+
 def test_streaming_refresh_equals_batch(spark, folder, tmp_path):
     raw = files.read_csv(spark, f"{folder}/adverse_events.csv", RAW_ADVERSE_EVENTS)
+    raw = raw.withColumn("reaction", F.concat("reaction", F.lit(', "sharp", left')))
     inbox, rollup, checkpoint = (str(tmp_path / n) for n in ("inbox", "rollup", "checkpoint"))
     for part in range(3):
-        arrived = raw.filter(F.col("report_id") % 3 == part).coalesce(2)
-        arrived.write.mode("append").option("header", True).csv(inbox)
-        refresh_rollup(
-            arriving_events(spark, inbox), rollup, checkpoint, CFG.as_of
-        ).awaitTermination()
+        arrive(spark, raw.filter(F.col("report_id") % 3 == part), inbox)
+        refresh_rollup(arriving_events(spark, inbox), rollup, checkpoint).awaitTermination()
     # A refresh without new files changes nothing.
-    refresh_rollup(arriving_events(spark, inbox), rollup, checkpoint, CFG.as_of).awaitTermination()
-    expected = counts.quarter_rollup(staging.event_fields(raw, CFG.as_of))
-    assert sorted(read_rollup(spark, rollup).collect()) == sorted(expected.collect())
+    refresh_rollup(arriving_events(spark, inbox), rollup, checkpoint).awaitTermination()
+    # A report dated ahead counts once its day has come, whenever it arrived.
+    for as_of in (date(2022, 1, 31), CFG.as_of):
+        expected = counts.quarter_rollup(staging.event_fields(raw, as_of))
+        assert sorted(read_rollup(spark, rollup, as_of).collect()) == sorted(expected.collect())
+    with pytest.raises(ValueError, match="was not written with"):
+        refresh_rollup(arriving_events(spark, inbox), rollup, str(tmp_path / "other"))
 
 
 def test_command_line(spark, folder, tmp_path, capsys):
@@ -170,6 +208,11 @@ def test_command_line(spark, folder, tmp_path, capsys):
     assert "risk_watchlist.csv exported — 12 rows" in shown and "signal_flag" in shown
     main(["sql", "--data", str(data), *period, "SELECT COUNT(*) AS n FROM stg_adverse_events"])
     assert "300" in capsys.readouterr().out
+    every = "SELECT report_id FROM stg_adverse_events"
+    main(["sql", "--data", str(data), *period, every])
+    assert len(capsys.readouterr().out.split()) == 301
+    main(["sql", "--data", str(data), *period, "--out", str(tmp_path / "all"), every])
+    assert spark.read.option("header", True).csv(str(tmp_path / "all")).count() == 300
 
 
 def test_approximate_distinct_reactions(spark, folder):

@@ -45,7 +45,7 @@ def test_quarter_arithmetic():
         periods.parse_quarter("2024-Q5")
 
 
-@settings(max_examples=1, deadline=None)
+@settings(max_examples=10, deadline=None)
 @given(st.lists(st.dates(date(1990, 1, 1), date(2040, 12, 31)), min_size=50, max_size=200))
 def test_date_expressions(spark, days):
     start = date(2000, 1, 31)
@@ -72,7 +72,7 @@ def test_month_boundary_counts_one(spark):
     assert value(spark, months) == 1
 
 
-@settings(max_examples=1, deadline=None)
+@settings(max_examples=10, deadline=None)
 @given(st.lists(
     st.text(st.sampled_from(list("ab \t\n\r\x0b\x0c\x1c\x1f\x85\xa0\u1680\u2003\u2028\u3000\u200b.")), max_size=12),
     min_size=100, max_size=300,
@@ -94,6 +94,16 @@ def test_hash_is_uniform_and_repeatable(spark):
     assert one == two
 
 
+def test_hash_does_not_repeat_after_the_modulus(spark):
+    far = spark.range(1000).select(
+        *[
+            hashing.hash_residue(F.col("id") + n * hashing.MODULUS, 1).alias(f"h{n}")
+            for n in (0, 1, 2**20)
+        ]
+    ).collect()
+    assert sum(len(set(r)) < 3 for r in far) < 3
+
+
 def test_hash_accepts_any_bigint(spark):
     edges = spark.createDataFrame([(0,), (-1,), (2**63 - 1,), (-(2**63),)], "id BIGINT")
     for row in edges.select(hashing.hash_uniform(F.col("id"), 1).alias("u")).collect():

@@ -8,9 +8,10 @@ import pytest
 
 import __spark_entry__ as contract
 from compare import connect, difference
+from tocsin.plans.oracle import ORACLE
+from tocsin.plans.queries import QUERIES
 
 FOLDER = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.01")
-ORACLE = contract.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -18,9 +19,9 @@ def con():
     return connect(FOLDER)
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, con, name):
-    df = contract.queries()[name](spark, FOLDER)
+    df = QUERIES[name](spark, FOLDER)
     assert difference(df, con, ORACLE[name]) is None
 
 

@@ -7,8 +7,8 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as contract
-from tocsin.operators import joins, novelty, staging
+from tocsin.operators import novelty, staging
+from tocsin.plans.queries import QUERIES
 from tocsin.schemas import RAW_DRUGS
 from tocsin.sources.workspace import written_once
 
@@ -30,35 +30,60 @@ def final_plan(df) -> str:
     return "\n".join(kept)
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_cross_join_and_no_python_in_any_plan(spark, name):
-    plan = contract.queries()[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+    plan = QUERIES[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
     for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "MapInPandas"):
         assert operator not in plan
 
 
 def test_watchlist_reads_the_written_inputs_only(spark):
     """The mean rate is a subquery over the scored rows; neither computes the counts again."""
-    plan = final_plan(contract.queries()["risk_watchlist"](spark, FOLDER))
+    plan = final_plan(QUERIES["risk_watchlist"](spark, FOLDER))
     scans = [line for line in plan.splitlines() if "FileScan" in line]
     assert len(scans) == 2
     assert all("entity-inputs" in line and "l_suppkey" not in line for line in scans)
 
 
-def test_period_filters_and_columns_reach_the_scan(spark):
-    df = contract.queries()["period_counts"](spark, FOLDER)
-    scans = [
-        line for line in df._jdf.queryExecution().executedPlan().toString().splitlines()
-        if "FileScan" in line and "l_suppkey" in line
-    ]
-    assert len(scans) == 2
-    assert any("GreaterThanOrEqual(l_shipdate,2001-04-01" in line for line in scans)
-    assert all("LessThan(l_shipdate," in line for line in scans)
+@pytest.mark.parametrize("name", ["period_counts", "quarterly_trend_qoq"])
+def test_events_are_read_once(spark, name):
+    """One scan of the events, with the columns that it needs; sales are a scan of their own."""
+    plan = QUERIES[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.splitlines() if "FileScan" in line and "l_suppkey" in line]
+    events = [line for line in scans if "l_partkey" in line]
+    assert len(events) == 1
     assert not any("l_comment" in line or "l_extendedprice" in line for line in scans)
+    if name == "period_counts":
+        assert "LessThan(l_shipdate,2001-10-01" in events[0]
+
+
+@pytest.mark.parametrize("name", [
+    "quarterly_trend_qoq", "period_counts", "ae_breakdown", "kpi_cards", "qa_compare_areas",
+    "gen_events",
+])
+def test_queries_are_lazy(spark, name):
+    """Building a query runs one job at most, for rows that it writes and reads twice."""
+    group = f"build-{name}"
+    spark.sparkContext.setJobGroup(group, name)
+    QUERIES[name](spark, FOLDER)
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup(group)
+    spark.sparkContext.setJobGroup("rest", "rest")
+    writes = name in ("kpi_cards",)
+    # An adaptive write runs its stages as jobs of their own.
+    assert (len(jobs) > 0) == writes
+
+
+def test_named_entities_come_before_the_orders(spark):
+    """Events of other entities fall away below the join with the orders."""
+    plan = QUERIES["qa_fatal_count"](spark, FOLDER)._jdf.queryExecution().optimizedPlan().toString()
+    lines = plan.splitlines()
+    semi = next(i for i, line in enumerate(lines) if "LeftSemi" in line)
+    orders = next(i for i, line in enumerate(lines) if "o_orderkey" in line and "Join" in line)
+    assert orders < semi
 
 
 def test_year_question_is_a_date_range(spark):
-    df = contract.queries()["qa_top_reports_in_year"](spark, FOLDER)
+    df = QUERIES["qa_top_reports_in_year"](spark, FOLDER)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(l_shipdate,2000-01-01" in plan
 
@@ -87,10 +112,10 @@ def no_broadcast(spark):
     "name", ["risk_watchlist", "quarterly_trend_qoq", "ae_breakdown", "stage_events", "gen_events"]
 )
 def test_same_rows_without_broadcasts(spark, name, no_broadcast):
-    large = sorted(map(str, contract.queries()[name](spark, FOLDER).collect()))
+    large = sorted(map(str, QUERIES[name](spark, FOLDER).collect()))
     for key in ("spark.sql.autoBroadcastJoinThreshold",):
         spark.conf.set(key, "10MB")
-    small = sorted(map(str, contract.queries()[name](spark, FOLDER).collect()))
+    small = sorted(map(str, QUERIES[name](spark, FOLDER).collect()))
     assert large == small
 
 
@@ -121,35 +146,27 @@ def hot_entities(spark):
     ).select(*RAW_DRUGS.fieldNames())
 
 
-def test_row_level_joins_split_a_hot_entity(spark, no_broadcast, monkeypatch):
+def test_row_level_joins_split_a_hot_entity(spark, no_broadcast):
     events, entities = hot_events(spark), hot_entities(spark)
-    monkeypatch.setattr(joins, "is_small", lambda df: False)
     staged = staging.stage_events(events, entities)
     assert staged.count() == 60000
     assert "skew=true" in final_plan(staged.select("report_id", "drug_name", "country"))
 
 
-def test_novelty_of_rows_splits_a_hot_pair(spark, no_broadcast, monkeypatch):
+def test_novelty_of_rows_splits_a_hot_pair(spark, no_broadcast):
     events, entities = hot_events(spark), hot_entities(spark)
     known = written_once(novelty.known_pairs(events, entities), "known")
-    monkeypatch.setattr(joins, "is_small", lambda df: False)
     flagged = novelty.flag_events(events, known)
     plan = final_plan(flagged.select("report_id", "is_novel_reaction", "country"))
     assert "skew=true" in plan
     assert flagged.count() == 60000
 
 
-def test_only_counted_tables_are_broadcast(spark, monkeypatch):
-    events, entities = hot_events(spark), hot_entities(spark)
-
-    def plan():
-        df = joins.join_lookup(events, entities.select("drug_id", "drug_name"), ["drug_id"])
-        return df._jdf.queryExecution().optimizedPlan().toString()
-
-    monkeypatch.setattr(joins, "BROADCAST_ROWS", 500)
-    assert "strategy=broadcast" in plan()
-    monkeypatch.setattr(joins, "BROADCAST_ROWS", 499)
-    assert "strategy=broadcast" not in plan()
+def test_nothing_is_hinted(spark):
+    """No plan forces a broadcast: the session's own limit decides."""
+    for name in ("stage_events", "derive_novelty", "months_on_market", "gen_events"):
+        plan = QUERIES[name](spark, FOLDER)._jdf.queryExecution().analyzed().toString()
+        assert "ResolvedHint" not in plan and "UnresolvedHint" not in plan
 
 
 def test_counts_of_a_hot_entity_shuffle_partial_sums(spark):

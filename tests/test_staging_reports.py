@@ -193,7 +193,7 @@ def test_novelty_boundary(spark, entities):
     }
 
 
-def test_novel_counts_agree_however_they_are_made(spark, entities, raw, history, monkeypatch):
+def test_novel_counts_agree_however_they_are_made(spark, entities, raw, history):
     expected = defaultdict(lambda: [0, 0, 0, 0])
     flags = is_novel_by_hand(history)
     for r in history:
@@ -209,22 +209,12 @@ def test_novel_counts_agree_however_they_are_made(spark, entities, raw, history,
     expected = {k: tuple(v) for k, v in expected.items()}
     events = staging.event_fields(raw.drop("is_novel_reaction"), None)
     known = novelty.known_pairs(events, entities)
-    by_pair = novelty.novel_period_counts(events, known, entities, "2023-Q2", "2023-Q1")
     by_row = counts.period_counts(
         staging.stage_events(novelty.flag_events(events, known), entities), "2023-Q2", "2023-Q1"
     )
-    in_place = novelty.novel_quarter_rollup(events, known, entities)
-
-    # The ways for tables too large to broadcast.
-    monkeypatch.setattr(novelty, "BROADCAST_ROWS", 0)
-    monkeypatch.setattr(novelty, "is_small", lambda df: False)
-    by_sightings = novelty.known_pairs(events, entities)
-    assert sorted(known.collect()) == sorted(by_sightings.collect())
-    by_cells = novelty.novel_quarter_rollup(events, by_sightings, entities)
-    assert sorted(in_place.collect()) == sorted(by_cells.collect())
-
+    by_cells = novelty.novel_quarter_rollup(novelty.pair_cells(events), entities)
     by_rollup = counts.counts_of_rollup(by_cells, "2023-Q2", "2023-Q1")
-    for df in (by_pair, by_row, by_rollup):
+    for df in (by_row, by_rollup):
         assert {r.drug_id: tuple(r)[1:] for r in df.collect()} == expected
 
 

@@ -44,8 +44,9 @@ LEXICON_RATIO, LEXICON_SHARE, LEAST_TEXTS = 50.0, 0.005, 3
 LEAST_GAIN = 20.0
 BEGINNINGS = (4, 5, 6, 7, 8)
 LEXICON_GROUPS = 8
-#: Two voters are correlated if their votes share more information than this, given the class.
-CORRELATED, LARGEST_CLIQUE, EM_ROUNDS = 0.02, 3, 60
+#: Two voters are correlated if their votes share more information than this, given the class, and
+#: the same voice if they share nearly all of it.
+CORRELATED, SAME, LARGEST_CLIQUE, EM_ROUNDS = 0.02, 0.95, 3, 60
 CHUNKS_HELD = 800_000
 WORDS = re.compile(r"[^\W\d_]+")
 
@@ -204,15 +205,24 @@ class LabelModel:
     def __init__(self, patterns: list[str], counts: list[int]):
         self.votes = np.array([[{"c": 0, "-": 1, "t": 2}[x] for x in p] for p in patterns], int)
         self.n = np.array(counts, float)
-        self.cliques = [[i] for i in range(self.votes.shape[1])]
-        said = np.stack([(self.votes == 2).sum(1), (self.votes == 0).sum(1)])
-        self.start = np.clip((said[0] + 0.1) / (said.sum(0) + 0.2), 0.02, 0.98)
-        self.posterior = self.start
+        # Voices that say the same whatever the class are one before anything is estimated;
+        # else they would outvote the others and pass for the class itself.
+        self.posterior = np.zeros(len(self.votes))
+        self.merge(self.alike, SAME)
+        self.posterior = self.vote()
         self.fit()
-        self.merge()
-        self.posterior = self.start
+        self.merge(self.shared, CORRELATED)
+        self.posterior = self.vote()
         self.fit()
 
+    def vote(self) -> np.ndarray:
+        """The share of cliques that say toxic among those that say anything."""
+        said = np.zeros((2, len(self.votes)))
+        for clique in self.cliques:
+            said[0] += (self.votes[:, clique] == 2).mean(1)
+            said[1] += (self.votes[:, clique] == 0).mean(1)
+        return np.clip((said[0] + 0.1) / (said.sum(0) + 0.2), 0.02, 0.98)
+
     def codes(self, clique: list[int]) -> np.ndarray:
         code = np.zeros(len(self.votes), int)
         for i in clique:
@@ -239,13 +249,21 @@ class LabelModel:
             found += w.sum() / total * float((joint * np.log(joint / alone)).sum())
         return found
 
-    def merge(self) -> None:
-        """Join correlated voters, the most correlated first, into cliques of bounded size."""
+    def alike(self, i: int, j: int) -> float:
+        """Information that two votes share, as a share of the lesser one's own."""
+        own = []
+        for k in (i, j):
+            p = np.bincount(self.votes[:, k], self.n, 3) / self.n.sum()
+            own.append(-(p * np.log(p + 1e-12)).sum())
+        return self.shared(i, j) / max(1e-9, min(own)) if min(own) > 1e-6 else 0.0
+
+    def merge(self, measure, least: float) -> None:
+        """Join the voters that are most alike, by a measure, into cliques of bounded size."""
         m = self.votes.shape[1]
-        pairs = sorted(((self.shared(i, j), i, j) for i in range(m) for j in range(i)), reverse=True)
+        pairs = sorted(((measure(i, j), i, j) for i in range(m) for j in range(i)), reverse=True)
         home = {i: [i] for i in range(m)}
         for value, i, j in pairs:
-            if value < CORRELATED:
+            if value < least:
                 break
             a, b = home[i], home[j]
             if a is not b and len(a) + len(b) <= LARGEST_CLIQUE:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import json
 from collections.abc import Iterator
 
@@ -82,6 +83,15 @@ class Written:
         found._written_path = path
         return found
 
+    def release(self) -> None:
+        """Let Spark's cleaner remove the shuffle files of finished steps now.
+
+        It acts when the driver collects its garbage, which may be long after a large shuffle is
+        no longer needed.
+        """
+        gc.collect()
+        self.spark._jvm.System.gc()
+
     def drop(self, *tables: DataFrame) -> None:
         for df in tables:
             path = self.spark._jvm.org.apache.hadoop.fs.Path(df._written_path)

@@ -150,9 +150,10 @@ def unpacked_ranges(data: bytes) -> tuple[np.ndarray, np.ndarray]:
 #: Rows that tell of ranges to remove and of contexts to look at. ``bucket`` >= 0: packed anchors.
 MESSAGE = "bucket int, doc long, key long, kind int, data binary"
 ANCHORS, REMOVED, LOOK, LOOK_CROWDED = range(4)
-ENTRY = np.dtype(
-    [("anchor", "<u8"), ("context", "<u8"), ("place", "<u8"), ("size", "<u8"), ("row", "<u4")]
-)
+#: An anchor on its way: part of its hash, its context's hash, its place, and which text it is in.
+ENTRY = np.dtype([("anchor", "<u4"), ("context", "<u8"), ("place", "<u4"), ("row", "<u4")])
+#: The texts of a packed message.
+NAME = np.dtype([("doc", "<i8"), ("key", "<i4"), ("size", "<u4")])
 
 
 def message(rows: list[tuple]) -> pa.RecordBatch:
@@ -167,14 +168,14 @@ def message(rows: list[tuple]) -> pa.RecordBatch:
 
 
 def by_document(
-    owner: np.ndarray, docs: np.ndarray, keys: np.ndarray, kind: int, pack, *columns: np.ndarray
+    owner: np.ndarray, names: np.ndarray, kind: int, pack, *columns: np.ndarray
 ) -> list[tuple]:
-    """A message to each owner (a number into docs and keys) with its share of the columns."""
+    """A message to each owner (a number into names) with its share of the columns."""
     order = np.argsort(owner, kind="stable")
     owner, columns = owner[order], [c[order] for c in columns]
     cuts = np.append(np.flatnonzero(heads(owner)), len(owner))
     return [
-        (-1, int(docs[owner[i]]), int(keys[owner[i]]), kind, pack(*(c[i:j] for c in columns)))
+        (-1, *names[["doc", "key"]][owner[i]].item(), kind, pack(*(c[i:j] for c in columns)))
         for i, j in zip(cuts[:-1], cuts[1:])
     ]
 
@@ -199,65 +200,76 @@ class Packer:
         self.clear()
 
     def clear(self) -> None:
-        self.parts, self.docs, self.keys, self.held = [], [], [], 0
+        self.parts, self.names, self.rows, self.held = [], [], 0, 0
 
     def add(self, docs: np.ndarray, keys: np.ndarray, texts: list[bytes]) -> None:
         anchor, context, number, place = anchors(texts)
-        found = np.zeros(len(anchor), ENTRY)
-        found["anchor"], found["context"], found["place"] = anchor, context, place
-        found["size"] = np.fromiter(map(len, texts), np.int64, len(texts))[number]
-        found["row"] = number + sum(map(len, self.docs))
+        found = np.zeros(len(anchor), [("bucket", "<i4"), *ENTRY.descr])
+        found["bucket"] = anchor % U64(self.buckets)
+        found["anchor"] = anchor // U64(self.buckets) & U64(0xFFFFFFFF)
+        found["context"], found["place"], found["row"] = context, place, number + self.rows
+        names = np.zeros(len(texts), NAME)
+        names["doc"], names["key"], names["size"] = docs, keys, [len(t) for t in texts]
         self.parts.append(found)
-        self.docs.append(docs)
-        self.keys.append(keys)
+        self.names.append(names)
+        self.rows += len(texts)
         self.held += sum(map(len, texts))
 
     def messages(self) -> Iterator[pa.RecordBatch]:
         if not self.parts:
             return
-        entries = np.concatenate(self.parts)
-        docs, keys = np.concatenate(self.docs), np.concatenate(self.keys)
+        entries, names = np.concatenate(self.parts), np.concatenate(self.names)
         self.clear()
-        order, first = first_contexts(entries, docs[entries["row"]])
+        order = np.argsort(entries["bucket"], kind="stable")
         entries = entries[order]
-        later = docs[entries["row"]] > first
-        gone = entries[later]
-        yield message(
-            by_document(gone["row"], docs, keys, REMOVED, context_ranges, gone["place"], gone["size"])
-        )
-        entries = entries[~later]
-        bucket = (entries["anchor"] % U64(self.buckets)).astype(np.int64)
-        order = np.argsort(bucket, kind="stable")
-        entries, bucket = entries[order], bucket[order]
-        cuts = np.append(np.flatnonzero(heads(bucket)), len(bucket))
+        cuts = np.append(np.flatnonzero(heads(entries["bucket"])), len(entries))
+        gone = []
         for i, j in zip(cuts[:-1], cuts[1:]):
             part = entries[i:j]
+            order, first = first_contexts(part, names["doc"][part["row"]])
+            part = part[order]
+            later = names["doc"][part["row"]] > first
+            gone.append(part[later])
+            part = part[~later]
             rows, again = np.unique(part["row"], return_inverse=True)
-            part = part.copy()
+            data = len(rows).to_bytes(8, "little") + columns_of(names[rows])
             part["row"] = again
-            names = np.stack([docs[rows], keys[rows]]).astype("<i8").tobytes()
-            data = len(rows).to_bytes(8, "little") + names + columns_of(part)
-            yield message([(int(bucket[i]), 0, 0, ANCHORS, data)])
+            data += columns_of(part[list(ENTRY.names)])
+            yield message([(int(entries["bucket"][i]), 0, 0, ANCHORS, data)])
+        yield removed(np.concatenate(gone or [entries]), names)
+
+
+def removed(entries: np.ndarray, names: np.ndarray) -> pa.RecordBatch:
+    """Tell the documents that these contexts of theirs go as a whole."""
+    sizes = names["size"][entries["row"]]
+    return message(
+        by_document(entries["row"], names, REMOVED, context_ranges, entries["place"], sizes)
+    )
 
 
-def columns_of(entries: np.ndarray) -> bytes:
+def columns_of(rows: np.ndarray) -> bytes:
     """Column by column, so that columns of alike values compress."""
-    return b"".join(np.ascontiguousarray(entries[c]).tobytes() for c in ENTRY.names)
+    return b"".join(np.ascontiguousarray(rows[c]).tobytes() for c in rows.dtype.names)
+
 
+def rows_of(data: bytes, kind: np.dtype, count: int, at: int) -> np.ndarray:
+    rows = np.zeros(count, kind)
+    for name in kind.names:
+        rows[name] = np.frombuffer(data, kind[name], count, at)
+        at += count * kind[name].itemsize
+    return rows
 
-def entries_of(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+
+def entries_of(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     n = int.from_bytes(data[:8], "little")
-    names = np.frombuffer(data, "<i8", 2 * n, 8)
-    at, count = 8 + 16 * n, (len(data) - 8 - 16 * n) // ENTRY.itemsize
-    entries = np.zeros(count, ENTRY)
-    for name in ENTRY.names:
-        entries[name] = np.frombuffer(data, ENTRY[name], count, at)
-        at += count * ENTRY[name].itemsize
-    return names[:n], names[n:], entries
+    at = 8 + n * NAME.itemsize
+    count = (len(data) - at) // ENTRY.itemsize
+    return rows_of(data, NAME, n, 8), rows_of(data, ENTRY, count, at)
 
 
 def document_key() -> Column:
-    return F.xxhash64(text_or_empty())
+    """Tells texts with equal doc_id apart."""
+    return F.hash(text_or_empty()).cast("long")
 
 
 def document_id() -> Column:
@@ -279,22 +291,20 @@ def packed(docs: DataFrame, buckets: int) -> DataFrame:
     return rows.mapInArrow(run, MESSAGE)
 
 
-def met(parts: list[bytes]) -> Iterator[pa.RecordBatch]:
+def met(bucket: int, parts: list[bytes]) -> Iterator[pa.RecordBatch]:
     """What one bucket's anchors settle, and the contexts whose bytes must be looked at."""
-    docs, keys, entries, base = [], [], [], 0
-    for d, k, e in map(entries_of, parts):
+    names, entries, base = [], [], 0
+    for n, e in map(entries_of, parts):
         e["row"] += base
-        base += len(d)
-        docs.append(d), keys.append(k), entries.append(e)
-    docs, keys, entries = map(np.concatenate, (docs, keys, entries))
-    order, first = first_contexts(entries, docs[entries["row"]])
+        base += len(n)
+        names.append(n)
+        entries.append(e)
+    names, entries = np.concatenate(names), np.concatenate(entries)
+    order, first = first_contexts(entries, names["doc"][entries["row"]])
     entries = entries[order]
-    doc = docs[entries["row"]]
+    doc = names["doc"][entries["row"]]
     later = doc > first
-    gone = entries[later]
-    yield message(
-        by_document(gone["row"], docs, keys, REMOVED, context_ranges, gone["place"], gone["size"])
-    )
+    yield removed(entries[later], names)
     entries, doc = entries[~later], doc[~later]
     start = np.flatnonzero(heads(entries["anchor"]))
     if not len(start):
@@ -307,10 +317,11 @@ def met(parts: list[bytes]) -> Iterator[pa.RecordBatch]:
         asked = entries[some[group]]
 
         def pack(place: np.ndarray, anchor: np.ndarray) -> bytes:
-            return np.stack([place, anchor]).astype("<u8").tobytes()
+            whole = anchor.astype(np.uint64) | U64(bucket << 32)
+            return np.stack([place.astype(np.uint64), whole]).tobytes()
 
         yield message(
-            by_document(asked["row"], docs, keys, kind, pack, asked["place"], asked["anchor"])
+            by_document(asked["row"], names, kind, pack, asked["place"], asked["anchor"])
         )
 
 
@@ -324,12 +335,12 @@ def meeting(packed_rows: DataFrame) -> DataFrame:
             own = batch.filter(pc.greater_equal(batch.column(0), 0))
             for bucket, data in zip(own.column(0).to_pylist(), own.column(4).to_pylist()):
                 if bucket != number and parts:
-                    yield from met(parts)
+                    yield from met(number, parts)
                     parts = []
                 number = bucket
                 parts.append(data)
         if parts:
-            yield from met(parts)
+            yield from met(number, parts)
 
     # What tasks settled by themselves passes through, spread by document.
     deal = F.when(F.col("bucket") >= 0, F.col("bucket")).otherwise(F.xxhash64("doc"))
@@ -542,11 +553,12 @@ def crowded(rows: DataFrame, held: Written) -> DataFrame:
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             doc, key, at = (c.to_numpy() for c in batch.columns)
-            name, owner = np.unique(np.stack([doc, key]), axis=1, return_inverse=True)
+            rows = np.zeros(len(doc), NAME)
+            rows["doc"], rows["key"] = doc, key
+            names, owner = np.unique(rows, return_inverse=True)
             yield message(
                 by_document(
-                    owner, name[0], name[1], REMOVED,
-                    lambda x: packed_ranges(*united(x, x + SPAN)), at,
+                    owner, names, REMOVED, lambda x: packed_ranges(*united(x, x + SPAN)), at
                 )
             )
 
@@ -560,7 +572,9 @@ def removals(docs: DataFrame, held: Written) -> DataFrame:
     """Messages to documents with the ranges that they lose."""
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     told = held.table(meeting(packed(docs, max(1, -(-size // BUCKET_BYTES)))))
+    held.release()
     some = held.table(looked(fetched(docs, told.where(F.col("kind") == LOOK))))
+    held.release()
     found = told.where(F.col("kind") == REMOVED).unionByName(some)
     crowd = told.where(F.col("kind") == LOOK_CROWDED)
     if not crowd.isEmpty():

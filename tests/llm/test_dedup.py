@@ -89,6 +89,29 @@ def test_tree_reaches_all_near_points():
     assert found == expected and len(expected) > len(points)
 
 
+def test_links_connect_all_near_fingerprints(spark):
+    """Many shards, and chains of fingerprints a few bits apart."""
+    rng = np.random.default_rng(8)
+    prints = list(rng.integers(-(1 << 62), 1 << 62, 700))
+    for _ in range(900):
+        flips = rng.integers(0, 62, rng.integers(1, 7))
+        prints.append(int(prints[rng.integers(len(prints))]) ^ sum({1 << int(k) for k in flips}))
+    points = np.unique(np.array(prints, np.int64))
+    frame = spark.createDataFrame([(int(p),) for p in points], "print LONG").repartition(5)
+    tree = simhash.Tree(rng.permutation(points)[:400].view(np.uint64), 8)
+    assert len(tree.leaves) > 20
+    near = np.bitwise_count(points[:, None] ^ points[None, :]) <= 4
+    group = samples.components(len(points), list(zip(*map(list, np.nonzero(np.triu(near, 1))))))
+    rows = simhash.routed(frame, tree, 4)
+    at_home = rows.filter("NOT visitor").groupBy("print").count()
+    assert at_home.count() == len(points) and at_home.agg(F.max("count")).first()[0] == 1
+    at = {int(p): i for i, p in enumerate(points)}
+    found = samples.components(
+        len(points), [(at[r.a], at[r.b]) for r in simhash.links(rows, 4).collect()]
+    )
+    assert found == group and len(set(group)) < 1000
+
+
 # --- components -------------------------------------------------------------------------------
 
 

@@ -180,7 +180,7 @@ def routed(prints: DataFrame, tree: Tree, bits: int) -> DataFrame:
         for batch in batches:
             rows = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
             home = np.zeros(len(rows), np.int64)
-            for shard, who in tree.reach(rows, -1):
+            for shard, who in tree.reach(rows, 0):
                 home[who] = shard
             visits = [*tree.reach(rows, bits)]
             for shard, who in visits:

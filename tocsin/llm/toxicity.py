@@ -47,7 +47,7 @@ LEXICON_GROUPS = 8
 #: Two voters are correlated if their votes share more information than this, given the class, and
 #: the same voice if they share nearly all of it.
 CORRELATED, SAME, LARGEST_CLIQUE, EM_ROUNDS = 0.02, 0.95, 3, 60
-CHUNKS_HELD = 800_000
+CHUNKS_HELD = 400_000
 WORDS = re.compile(r"[^\W\d_]+")
 
 
@@ -114,7 +114,7 @@ def feature_counts(rows: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, 0, 8 << 20):
+            for part in slices(batch, 0, 2 << 20):
                 counts = (Counter(), Counter())
                 for text, toxic in zip(*(c.to_pylist() for c in part.columns)):
                     seen = set()

@@ -32,7 +32,7 @@ from tocsin.llm.components import Forest, components
 
 SHINGLE, MOST_BITS, SEED = 4, 4, 42
 #: Distinct fingerprints in a shard, sample rows per shard, and the largest sample for the tree.
-SHARD_ROWS, SAMPLE_PER_SHARD, SAMPLE_MOST = 4096, 32, 65_536
+SHARD_ROWS, SAMPLE_PER_SHARD, SAMPLE_MOST = 65_536, 256, 65_536
 #: Rows below which a shard's own tree is not split, and of a block compared at once.
 LEAF_ROWS, BLOCK_ROWS = 512, 1024
 HASHES_AT_ONCE = 1 << 15

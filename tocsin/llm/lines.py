@@ -90,7 +90,9 @@ def drop_boilerplate(
         for c in docs.columns
     ]
     removed = F.when(hit, F.size(old) - F.size(new)).otherwise(0).cast("long").alias("_removed")
-    return rows.join(found, ["_host", "_page"], "left").select(*out, removed)
+    # Few pages have such lines in a small table and many in a large one; the hint keeps one plan,
+    # in which both sides are shuffled, for all sizes.
+    return rows.join(found.hint("merge"), ["_host", "_page"], "left").select(*out, removed)
 
 
 SQL = f"""

@@ -177,6 +177,12 @@ def test_suffix_dedup_equals_brute_force(spark, monkeypatch, crowd, contexts):
     assert found == cut_by_hand([(r.doc_id, r.text) for r in df.collect()])
 
 
+def test_runs_of_windows():
+    for mask in (0, 1, 0b1011, 0b11100, (1 << 31) - 1, 1 << 30):
+        found = [i for a, b in suffix_dedup.runs(mask) for i in range(a, b + 1)]
+        assert found == [i for i in range(31) if mask >> i & 1]
+
+
 def test_suffix_dedup_of_a_table(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text")
     found = Counter(map(tuple, QUERIES["op4_suffix_dedup"](spark, SMALL).collect()))

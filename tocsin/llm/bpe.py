@@ -24,8 +24,9 @@ from tokenizers import Tokenizer
 
 from tocsin.llm.common import read_json, slices
 
-#: Distinct words that one task holds encoded; beyond it the table starts anew.
-WORDS_HELD = 800_000
+#: Distinct words that one task holds encoded; beyond it the table starts anew. Bytes of text that
+#: are encoded together.
+WORDS_HELD, SLICE_BYTES = 200_000, 2 << 20
 
 OUT = "doc_id long, ids binary, decoded string"
 
@@ -268,7 +269,7 @@ def encoded(docs: DataFrame, path: str, digests: bool = False) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = vocabulary(path)
         for batch in batches:
-            for part in slices(batch, 1):
+            for part in slices(batch, 1, SLICE_BYTES):
                 texts = [x or "" for x in part.column(1).to_pylist()]
                 ids = bpe.encode(texts)
                 plain = map(bpe.decode, ids)

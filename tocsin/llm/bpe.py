@@ -287,5 +287,7 @@ def encoded(docs: DataFrame, path: str, digests: bool = False) -> DataFrame:
                     ]
                     names = ["doc_id", "ids", "decoded"]
                 yield pa.RecordBatch.from_arrays([part.column(0), *columns], names)
+        # The Python worker lives on and serves other steps; its memory is theirs then.
+        bpe.clear()
 
     return docs.select("doc_id", "text").mapInArrow(run, schema)

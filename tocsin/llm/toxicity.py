@@ -47,7 +47,7 @@ LEXICON_GROUPS = 8
 #: Two voters are correlated if their votes share more information than this, given the class, and
 #: the same voice if they share nearly all of it.
 CORRELATED, SAME, LARGEST_CLIQUE, EM_ROUNDS = 0.02, 0.95, 3, 60
-CHUNKS_HELD = 400_000
+CHUNKS_HELD = 150_000
 WORDS = re.compile(r"[^\W\d_]+")
 
 
@@ -102,6 +102,7 @@ class ToxicityModel:
                     total = intercept + sum(weights[x] for x in sorted(known.of(value.as_py())))
                     found.append(1.0 / (1.0 + math.exp(-max(-700.0, min(700.0, total)))))
                 yield pa.array(found, pa.float64())
+            known.clear()
 
         return run(F.coalesce(F.col(column), F.lit("")))
 

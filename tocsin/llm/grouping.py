@@ -19,9 +19,9 @@ import numpy as np
 
 def ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """``starts[i] .. starts[i] + sizes[i] - 1`` for all i, one after the other."""
-    ends = np.cumsum(sizes)
+    ends = np.cumsum(sizes, dtype=sizes.dtype)
     total = int(ends[-1]) if len(ends) else 0
-    return np.repeat(starts - ends + sizes, sizes) + np.arange(total)
+    return np.repeat(starts - ends + sizes, sizes) + np.arange(total, dtype=starts.dtype)
 
 
 def suffix_arrays(symbols: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -40,19 +40,22 @@ def lyndon_groups(
     """For each suffix the first place of its final group, and its previous smaller suffix (-1:
     none)."""
     n = len(symbols)
+    kind = np.int32 if n < 1 << 31 else np.int64
+    starts, sizes = starts.astype(kind), sizes.astype(kind)
     text = np.repeat(np.arange(len(starts)), sizes)
     base = np.repeat(starts, sizes)
+    asked = np.zeros(n, bool)
     key = text * (int(symbols.max()) + 1) + symbols
-    order = np.argsort(key, kind="stable")  # the members of each group side by side
+    order = np.argsort(key, kind="stable").astype(kind)  # the members of each group side by side
     sorted_key = key[order]
     heads = np.flatnonzero(np.concatenate(([True], sorted_key[1:] != sorted_key[:-1])))
-    count = np.zeros(n, np.int64)
+    count = np.zeros(n, kind)
     count[heads] = np.diff(np.append(heads, n))
-    group = np.empty(n, np.int64)
+    group = np.empty(n, kind)
     group[order] = np.repeat(heads, count[heads])
-    place = np.empty(n, np.int64)
-    place[order] = np.arange(n)
-    previous = np.full(n, -1)
+    place = np.empty(n, kind)
+    place[order] = np.arange(n, dtype=kind)
+    previous = np.full(n, -1, kind)
     end = starts + sizes
     low = starts
     while len(end):
@@ -62,7 +65,7 @@ def lyndon_groups(
         target = previous[members]
         target = target[target >= 0]
         if len(target):
-            regroup(target, order, place, group, count)
+            regroup(target, order, place, group, count, asked)
         more = head > low
         end, low = head[more], low[more]
     return group, previous
@@ -84,9 +87,13 @@ def points_to(
 
 
 def regroup(
-    target: np.ndarray, order: np.ndarray, place: np.ndarray, group: np.ndarray, count: np.ndarray
+    target: np.ndarray, order: np.ndarray, place: np.ndarray, group: np.ndarray,
+    count: np.ndarray, asked: np.ndarray,
 ) -> None:
-    """Move the suffixes pointed to into new groups above their own, by how many pointed."""
+    """Move the suffixes pointed to into new groups above their own, by how many pointed.
+
+    ``asked`` is all false and is so again at the end.
+    """
     target.sort()
     first = np.flatnonzero(np.concatenate(([True], target[1:] != target[:-1])))
     times = np.diff(np.append(first, len(target)))
@@ -101,13 +108,10 @@ def regroup(
     stop = old + count[old]
     tail = ranges(stop - moved, moved)  # where they go: the last places of their group
     # Members that stand there and stay change places with those that stand before and go.
-    go = np.zeros(len(place), bool) if len(target) > 1 << 16 else None
     standing = order[tail]
-    if go is not None:
-        go[target] = True
-        stay = standing[~go[standing]]
-    else:
-        stay = standing[~np.isin(standing, target)]
+    asked[target] = True
+    stay = standing[~asked[standing]]
+    asked[target] = False
     left = place[target] < np.repeat(stop - moved, moved)
     vacated = place[target[left]]
     order[vacated], place[stay] = stay, vacated
@@ -124,8 +128,8 @@ def emitted(
 ) -> np.ndarray:
     """The suffixes in ascending order, from their groups."""
     n = len(group)
-    result = np.full(n, -1)
-    slot = np.arange(n)  # the next free place of the group that begins here
+    result = np.full(n, -1, group.dtype)
+    slot = np.arange(n, dtype=group.dtype)  # the next free place of the group that begins here
     placed = np.zeros(n, bool)
     last = starts + sizes - 1
     result[starts], placed[last] = last, True

@@ -30,7 +30,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame
@@ -43,11 +42,13 @@ from tocsin.llm.grouping import suffix_arrays
 SPAN, PIECE = 50, 20
 SIDE = SPAN - PIECE  # bytes of context on either side of an anchor
 CONTEXT = SIDE + SPAN
-#: Bytes of text that fill a packed message of a task, and bytes of text for each bucket.
-TASK_BYTES, BUCKET_BYTES = 64 << 20, 8 << 20
+#: Bytes of text that fill a packed message of a task, for each bucket, and hashed at once.
+TASK_BYTES, BUCKET_BYTES, SLICE_BYTES = 64 << 20, 8 << 20, 2 << 20
 #: Contexts in one suffix array, bytes of the suffix arrays built in step, and contexts of an
 #: anchor from which windows meet one by one.
-TEXT_CONTEXTS, STEP_BYTES, CROWD = 32, 1 << 20, 1024
+TEXT_CONTEXTS, STEP_BYTES, CROWD = 32, 1 << 19, 1024
+#: Contexts after which a task settles what it holds.
+ROWS_HELD = 40_000
 NO_ID = (1 << 63) - 1
 NONE = np.uint64((1 << 64) - 1)
 U64 = np.uint64
@@ -280,7 +281,7 @@ def packed(docs: DataFrame, buckets: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = Packer(buckets)
         for batch in batches:
-            for part in slices(batch, 2):
+            for part in slices(batch, 2, SLICE_BYTES):
                 docs, keys = (part.column(i).to_numpy() for i in (0, 1))
                 packer.add(docs, keys, list(byte_values(part.column(2))))
                 if packer.held >= TASK_BYTES:
@@ -329,16 +330,17 @@ def meeting(packed_rows: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, parts = None, []
         for batch in batches:
-            other = batch.filter(pc.less(batch.column(0), 0))
-            if other.num_rows:
-                yield other
-            own = batch.filter(pc.greater_equal(batch.column(0), 0))
-            for bucket, data in zip(own.column(0).to_pylist(), own.column(4).to_pylist()):
-                if bucket != number and parts:
+            buckets = batch.column(0).to_numpy()
+            other = np.flatnonzero(buckets < 0)
+            if len(other):
+                yield batch.take(pa.array(other))
+            # One message at a time: the batch holds all of the task's.
+            for i in np.flatnonzero(buckets >= 0).tolist():
+                if buckets[i] != number and parts:
                     yield from met(number, parts)
                     parts = []
-                number = bucket
-                parts.append(data)
+                number = int(buckets[i])
+                parts.append(batch.column(4)[i].as_py())
         if parts:
             yield from met(number, parts)
 
@@ -400,17 +402,46 @@ def fetched(docs: DataFrame, asked: DataFrame) -> DataFrame:
 # --- suffix arrays ----------------------------------------------------------------------------
 
 
+def runs(mask: int) -> Iterator[tuple[int, int]]:
+    """The runs of set bits: first and last bit of each."""
+    at = 0
+    while mask:
+        zeros = (mask & -mask).bit_length() - 1
+        mask >>= zeros
+        ones = (~mask & (mask + 1)).bit_length() - 1
+        yield at + zeros, at + zeros + ones - 1
+        mask >>= ones
+        at += zeros + ones
+
+
 class Looker:
     """Windows of contexts that smaller documents hold; texts are gathered and sorted in step."""
 
     def __init__(self):
+        self.clear()
+
+    def clear(self) -> None:
         self.rows, self.gone, self.jobs, self.held = [], [], [], 0
 
     def add(self, rows: list[tuple]) -> None:
-        """The contexts of one anchor: (doc, key, place, context, low, high)."""
+        """The contexts of one anchor: (doc, key, place, context, low, high).
+
+        The windows of the first half all hold the bytes from the middle window's start to the
+        first window's end, those of the second half likewise. A context that shares neither with
+        another one shares no window.
+        """
+        middle = SIDE // 2
+        cores = [(r[3][middle:SPAN], r[3][SIDE : middle + 1 + SPAN]) for r in rows]
+        seen: dict[tuple, int] = {}
+        for pair in cores:
+            for half in enumerate(pair):
+                seen[half] = seen.get(half, 0) + 1
+        rows = [
+            r for r, pair in zip(rows, cores) if any(seen[half] > 1 for half in enumerate(pair))
+        ]
         base = len(self.rows)
         self.rows += rows
-        self.gone += [set() for _ in rows]
+        self.gone += [0] * len(rows)
         self.split(list(range(base, base + len(rows))), 0, SIDE)
 
     def split(self, members: list[int], first: int, last: int) -> None:
@@ -418,12 +449,23 @@ class Looker:
         these windows hold. Many different contexts are halved by their windows: equal windows
         then still share the bytes that their half has in common."""
         kinds: dict[tuple, list[int]] = {}
+        docs = set()
         for i in members:
-            _, _, _, context, low, high = self.rows[i]
+            doc, _, _, context, low, high = self.rows[i]
             low, high = max(low, first), min(high, last + SPAN)
             if high - low >= SPAN:
                 kinds.setdefault((context[low:high], low), []).append(i)
-        if not kinds or len({self.rows[i][0] for of in kinds.values() for i in of}) == 1:
+                docs.add(doc)
+        if len(docs) < 2:
+            return
+        for (text, low), of in kinds.items():  # of equal contexts the first document's stays
+            if len(of) > 1:
+                least = min(self.rows[i][0] for i in of)
+                every = ((1 << (len(text) - SPAN + 1)) - 1) << low
+                for i in of:
+                    if self.rows[i][0] > least:
+                        self.gone[i] |= every
+        if len(kinds) == 1:
             return
         if len(kinds) <= TEXT_CONTEXTS or first == last:
             self.jobs.append(kinds)
@@ -453,28 +495,28 @@ class Looker:
         for (doc, key, place, *_), gone in zip(self.rows, self.gone):
             if gone:
                 found = told.setdefault((doc, key), [])
-                found += [(place - SIDE + o, place - SIDE + o + SPAN) for o in gone]
+                found += [(place - SIDE + i, place - SIDE + j + SPAN) for i, j in runs(gone)]
         rows = []
         for (doc, key), found in told.items():
             start, end = np.array(found, np.int64).T
             rows.append((-1, doc, key, REMOVED, packed_ranges(*united(start, end))))
-        self.rows, self.jobs, self.gone, self.held = [], [], [], 0
+        self.clear()
         yield message(rows)
 
     def sort(self, jobs: list[dict]) -> None:
-        texts, owner, shift, sizes = [], [], [], []
+        texts, owner, low, sizes = [], [], [], []
         for kinds in jobs:
             size = 0
-            for (text, low), members in kinds.items():
+            for (text, at), members in kinds.items():
                 texts += [text, b"\0"]
                 owner.append(members)
-                shift.append(low)
+                low.append(at)
                 size += len(text) + 1
             sizes.append(size)
         lengths = np.fromiter((len(t) for t in texts[::2]), np.int64, len(owner))
         data = np.frombuffer(b"".join(texts), np.uint8)
         ends = np.cumsum(lengths + 1) - 1  # where each context's separator stands
-        symbols = data.astype(np.int64) + 2
+        symbols = data.astype(np.int32) + 2
         symbols[ends] = 1
         sizes = np.array(sizes, np.int64)
         starts = np.cumsum(sizes) - sizes
@@ -483,7 +525,7 @@ class Looker:
         context = np.searchsorted(ends, ordered)
         whole = ordered + SPAN <= ends[context]
         ordered, context = ordered[whole], context[whole]
-        windows = symbols[ordered[:, None] + np.arange(SPAN)]
+        windows = data[ordered[:, None] + np.arange(SPAN, dtype=ordered.dtype)]
         job = np.searchsorted(starts, ordered, "right")
         new = np.ones(len(ordered), bool)
         new[1:] = (windows[1:] != windows[:-1]).any(1) | (job[1:] != job[:-1])
@@ -492,13 +534,14 @@ class Looker:
             return
         docs = np.array([min(self.rows[i][0] for i in of) for of in owner], np.int64)
         least = np.minimum.reduceat(docs[context], begin)[np.cumsum(new) - 1]
-        most = np.array([max(self.rows[i][0] for i in of) for of in owner], np.int64)
-        offset = ordered - (ends[context] - lengths[context]) + np.array(shift)[context]
-        some = most[context] > least
-        for c, low, o in zip(context[some], least[some], offset[some].tolist()):
+        some = least < docs[context]
+        context, ordered = context[some], ordered[some]
+        offset = ordered - (ends[context] - lengths[context]) + np.array(low)[context]
+        masks = np.zeros(len(owner), np.int64)
+        np.bitwise_or.at(masks, context, np.int64(1) << offset)
+        for c in np.flatnonzero(masks):
             for i in owner[c]:
-                if self.rows[i][0] > low:
-                    self.gone[i].add(o)
+                self.gone[i] |= int(masks[c])
 
 
 def looked(rows: DataFrame) -> DataFrame:
@@ -512,7 +555,7 @@ def looked(rows: DataFrame) -> DataFrame:
                     if group:
                         looker.add(group)
                     anchor, group = row[0], []
-                    if looker.held >= 4 * STEP_BYTES:
+                    if looker.held >= 4 * STEP_BYTES or len(looker.rows) >= ROWS_HELD:
                         yield from looker.settle()
                 group.append(row[1:])
         if group:

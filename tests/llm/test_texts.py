@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 import sys
 import zlib
@@ -284,6 +285,34 @@ def test_licences_of_a_table(spark):
     assert sum(n for _, n in expected.values()) > 5
 
 
+def test_licences_inside_longer_lines(spark, licence_model):
+    """A notice is found wherever it stands: in a long line, in its midst, beside another."""
+    rng = random.Random(3)
+    around = [samples.prose(rng, n).replace("\n", " ").rstrip(".,! ") for n in (27, 400, 9)]
+    bare = licences.TEMPLATES["Apache-2.0"][0].rstrip(".")
+    expected, rows = {}, []
+    for family, templates in licences.TEMPLATES.items():
+        for template in templates:
+            for text in (
+                f"{around[0]}. {template} {around[1]}",
+                f"{around[2]} {template.rstrip('.:')} {around[0]}",
+                f"\u0130\n\u0130 {around[1]} {template.rstrip('.:')} {around[0]}",
+            ):
+                expected[len(rows)] = [family]
+                rows.append((len(rows), text))
+    expected[len(rows)] = ["Apache-2.0", "MIT"]
+    both = f"{around[0]}, {bare}, {around[1]}, Released under the MIT License {around[0]}"
+    rows += [(len(rows), both), (len(rows) + 1, around[1] + " the terms of the license")]
+    expected[len(rows) - 1] = []
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r for r in licences.scanned(docs, licence_model).collect()}
+    assert {k: r.licences for k, r in found.items()} == expected
+    first = found[2].spans[-1]
+    stands = licences.words_of(rows[2][1][first.start : first.stop])
+    assert stands == licences.words_of(licences.TEMPLATES["AGPL-3.0"][0])
+    assert first.paragraph == 1
+
+
 # --- toxicity ---------------------------------------------------------------------------------
 
 

@@ -9,8 +9,9 @@ paragraphs stay unknown. A prediction stands only if a template of that family c
 paragraph's word triples (the whole sequence for shorter ones), or the paragraph most of a
 template's.
 
-A paragraph with too few template words cannot be confirmed, whatever the classifier says, so it is
-passed over without changing a result.
+A paragraph is classified as a whole, and so are its sentences and the places where most of a
+template stands, so a notice inside a long line is found as if it stood alone. Only paragraphs
+that share no word triple with any template are passed over: none of them can be confirmed.
 
 Defined results: null and empty texts have no licence; equal texts get equal results; families of a
 document are listed once, in alphabetical order; an empty table gives no rows and the classifier
@@ -20,6 +21,7 @@ then knows no unknown paragraph but shuffled ones; other columns are ignored.
 from __future__ import annotations
 
 import re
+import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -34,11 +36,14 @@ from tocsin.llm.common import slices, text_or_empty
 
 #: Corpus paragraphs in the training set: about so many documents, one paragraph of each.
 SAMPLE_DOCS = 1000
-#: Variants of each template in training, share of words in a template, least similarity.
-VARIANTS, LEAST_KNOWN, LEAST_SIMILAR = 24, 0.5, 0.8
+#: Variants of each template in training, least similarity.
+VARIANTS, LEAST_SIMILAR = 24, 0.8
 TRIPLE = 3
 UNKNOWN = "unknown"
 WORDS = re.compile(r"[^\W_]+(?:[.'-][^\W_]+)*")
+SENTENCES = re.compile(r"(?<=[.!?:;])\s+")
+#: A template may stand in up to so many times its own words.
+WINDOW = 2
 CHUNKS_HELD = 800_000
 
 # Sentences by which the families name themselves.
@@ -175,6 +180,11 @@ TEMPLATE_TRIPLES = {
     family: [triples(words_of(t)) for t in templates] for family, templates in TEMPLATES.items()
 }
 TEMPLATE_WORDS = frozenset(w for of in TEMPLATES.values() for t in of for w in words_of(t))
+KNOWN_TRIPLES = frozenset(x for of in TEMPLATE_TRIPLES.values() for t in of for x in t)
+#: Each template's triples and the most words among which it is looked for.
+PLACES = [
+    (triples(words_of(t)), WINDOW * len(words_of(t))) for of in TEMPLATES.values() for t in of
+]
 
 
 def confirmed(words: list[str], family: str) -> bool:
@@ -186,6 +196,78 @@ def confirmed(words: list[str], family: str) -> bool:
     )
 
 
+def shares_triple(words: list[str]) -> bool:
+    return not KNOWN_TRIPLES.isdisjoint(zip(words, words[1:], words[2:]))
+
+
+def windows(words: list[str]) -> list[tuple[int, int]]:
+    """Places (first word, word after the last) that hold most of a template's triples.
+
+    From each shared triple on, the words up to the last new triple of that template are a place;
+    of places that overlap, the one with the most triples counts, and of those the shortest.
+    """
+    own = list(zip(words, words[1:], words[2:]))
+    found = set()
+    for template, most in PLACES:
+        at = [i for i, x in enumerate(own) if x in template]
+        best = (0, 0, 0)  # triples, first word, word after the last
+        for k, first in enumerate(at):
+            seen, stop = set(), first
+            for i in at[k:]:
+                if i + TRIPLE > first + most:
+                    break
+                if own[i] not in seen:
+                    seen.add(own[i])
+                    stop = i + TRIPLE
+            if len(seen) < LEAST_SIMILAR * len(template):
+                continue
+            if first >= best[2]:
+                found.add(best[1:])
+                best = (0, 0, 0)
+            if (len(seen), first - stop) > (best[0], best[1] - best[2]):
+                best = (len(seen), first, stop)
+        found.add(best[1:])
+    return sorted(found - {(0, 0)})
+
+
+def notices(line: str, model: LicenceModel) -> list[tuple[int, int, str, float]]:
+    """The confirmed notices in a line: start and stop in code points, family and probability.
+
+    The line and its sentences come first where they are little else than template, then the places
+    of templates, then what else the line and its sentences give as wholes; a part counts if its
+    family is not yet found where it stands.
+    """
+    lower = line.lower()
+    spots = [m.span() for m in WORDS.finditer(lower)]
+    words = [lower[a:b] for a, b in spots]
+    if not shares_triple(words):
+        return []
+    if len(lower) != len(line):  # a letter that has two in lower case
+        old = [i for i, x in enumerate(line) for _ in x.lower()]
+        spots = [(old[a], old[b - 1] + 1) for a, b in spots]
+    wholes = [(0, len(line), words)]
+    ends = [(m.start(), m.end()) for m in SENTENCES.finditer(line)]
+    if ends:
+        starts, stops = [0, *(b for _, b in ends)], [*(a for a, _ in ends), len(line)]
+        for a, b in zip(starts, stops):
+            own = words_of(line[a:b])
+            if shares_triple(own):
+                wholes.append((a, b, own))
+    places = [(spots[a][0], spots[b - 1][1], words[a:b]) for a, b in windows(words)]
+    mostly, others = [], []
+    for part in wholes:
+        own = triples(part[2])
+        (mostly if len(own & KNOWN_TRIPLES) >= LEAST_SIMILAR * len(own) else others).append(part)
+    found: list[tuple[int, int, str, float]] = []
+    for start, stop, own in [*mostly, *places, *others]:
+        family, p = model.family(own)
+        if family != UNKNOWN and not any(
+            f == family and a < stop and start < b for a, b, f, _ in found
+        ):
+            found.append((start, stop, family, p))
+    return sorted(found)
+
+
 def corpus_paragraphs(docs: DataFrame) -> list[str]:
     """A bounded sample: of documents chosen by a hash, the paragraph in the middle."""
     share = min(1.0, SAMPLE_DOCS / max(1, docs.count()))
@@ -198,8 +280,7 @@ def corpus_paragraphs(docs: DataFrame) -> list[str]:
         .limit(2 * SAMPLE_DOCS)
     )
     found = sorted({r.line for r in chosen.collect()})
-    known = {t for of in TEMPLATE_TRIPLES.values() for s in of for t in s}
-    return [p for p in found if not triples(words_of(p)) & known]
+    return [p for p in found if not triples(words_of(p)) & KNOWN_TRIPLES]
 
 
 def fit(docs: DataFrame) -> LicenceModel:
@@ -252,21 +333,29 @@ def calibrate(model: LicenceModel, rows: list[tuple[list[str], float]]) -> None:
 
 
 class KnownWords(dict):
-    """Of a chunk of text, how many of its words stand in a template, and how many it has."""
+    """Of a chunk of text, for each of its words whether it stands in a template."""
 
-    def __missing__(self, chunk: str) -> tuple[int, int]:
+    def __missing__(self, chunk: str) -> str:
         if len(self) > CHUNKS_HELD:
             self.clear()
-        words = words_of(chunk)
-        found = self[chunk] = (sum(w in TEMPLATE_WORDS for w in words), len(words))
+        found = "".join("1" if w in TEMPLATE_WORDS else "0" for w in words_of(chunk))
+        self[chunk] = found = sys.intern(found)
         return found
 
+    def may_share(self, text: str) -> bool:
+        """Whether as many words as a triple has stand in templates in a row."""
+        return "1" * TRIPLE in "".join(map(self.__getitem__, text.split()))
+
 
 def scanned(docs: DataFrame, model: LicenceModel) -> DataFrame:
     """``doc_id``, ``licences`` (families in alphabetical order) and ``spans``: each confirmed
-    paragraph's place in code points, its family and its calibrated probability."""
+    notice's place in code points, its family, its calibrated probability and the number of its
+    paragraph, from 0 on."""
     span = pa.struct(
-        [("start", pa.int64()), ("stop", pa.int64()), ("family", pa.string()), ("p", pa.float64())]
+        [
+            ("start", pa.int64()), ("stop", pa.int64()), ("family", pa.string()),
+            ("p", pa.float64()), ("paragraph", pa.int64()),
+        ]
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -276,17 +365,17 @@ def scanned(docs: DataFrame, model: LicenceModel) -> DataFrame:
                 spans = []
                 for text in part.column(1).to_pylist():
                     at, found = 0, []
-                    for line in text.split("\n"):
-                        counts = [known[x] for x in line.split()]
-                        some, all_ = map(sum, zip(*counts)) if counts else (0, 0)
-                        if some and some >= LEAST_KNOWN * all_:
-                            family, p = model.family(words_of(line))
-                            if family != UNKNOWN:
-                                found.append((at, at + len(line), family, p))
+                    lines = text.split("\n") if known.may_share(text) else []
+                    for number, line in enumerate(lines):
+                        if known.may_share(line):
+                            found += [
+                                (at + start, at + stop, family, p, number)
+                                for start, stop, family, p in notices(line, model)
+                            ]
                         at += len(line) + 1
                     spans.append(found)
                 families = [sorted({s[2] for s in of}) for of in spans]
-                keys = ("start", "stop", "family", "p")
+                keys = ("start", "stop", "family", "p", "paragraph")
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column(0),
@@ -298,6 +387,6 @@ def scanned(docs: DataFrame, model: LicenceModel) -> DataFrame:
 
     schema = (
         "doc_id long, licences array<string>, "
-        "spans array<struct<start: long, stop: long, family: string, p: double>>"
+        "spans array<struct<start: long, stop: long, family: string, p: double, paragraph: long>>"
     )
     return docs.select("doc_id", text_or_empty().alias("text")).mapInArrow(run, schema)

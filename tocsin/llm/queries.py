@@ -83,7 +83,7 @@ def op5_licence_scan(spark: SparkSession, folder: str) -> DataFrame:
     docs = documents(spark, folder)
     return licences.scanned(docs, licences.fit(docs)).select(
         "doc_id", F.array_join("licences", ";").alias("licences"),
-        F.size("spans").alias("n_paragraphs"),
+        F.size(F.array_distinct("spans.paragraph")).alias("n_paragraphs"),
     )
 
 

@@ -313,6 +313,23 @@ def test_licences_inside_longer_lines(spark, licence_model):
     assert first.paragraph == 1
 
 
+def test_versions_and_kinds_of_licences_differ(licence_model):
+    gnu = "This work is licensed under the GNU {}General Public License, version {}."
+    own, differ = "Licensed under the Apache License, Version {}.", licences.UNKNOWN
+    cases = [
+        (gnu.format("", "3"), "GPL-3.0"), (gnu.format("", "2"), "GPL-2.0"),
+        (gnu.format("Lesser ", "2.1"), "LGPL-2.1"), (gnu.format("", "1"), differ),
+        (gnu.format("Affero ", "1"), differ), (own.format("2"), "Apache-2.0"),
+        (own.format("1.1"), "Apache-1.1"), (own.format("1.7"), differ),
+        ("Licensed under the Mozilla Public License, version 1.1.", "MPL-1.1"),
+    ]
+    for text, family in cases:
+        words = licences.words_of(text)
+        assert licence_model.family(words)[0] == family, text
+        for other in licences.TEMPLATES:
+            assert other == family or not licences.confirmed(words, other), (text, other)
+
+
 # --- toxicity ---------------------------------------------------------------------------------
 
 

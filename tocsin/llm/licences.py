@@ -7,7 +7,8 @@ paragraphs and on template words in random order. Probabilities are calibrated o
 pieces by one temperature, and the least probability of a family is set so that held-out unknown
 paragraphs stay unknown. A prediction stands only if a template of that family contains most of the
 paragraph's word triples (the whole sequence for shorter ones), or the paragraph most of a
-template's.
+template's, and if no word that sets families apart (a version, Lesser, Affero, NC, SA) stands in
+one of them where the other has a different word.
 
 A paragraph is classified as a whole, and so are its sentences and the places where most of a
 template stands, so a notice inside a long line is found as if it stood alone. Only paragraphs
@@ -41,6 +42,7 @@ VARIANTS, LEAST_SIMILAR = 24, 0.8
 TRIPLE = 3
 UNKNOWN = "unknown"
 WORDS = re.compile(r"[^\W_]+(?:[.'-][^\W_]+)*")
+ZEROS = re.compile(r"(?<=\d)(?:\.0)+$")
 SENTENCES = re.compile(r"(?<=[.!?:;])\s+")
 #: A template may stand in up to so many times its own words.
 WINDOW = 2
@@ -53,6 +55,7 @@ TEMPLATES = {
         "under the terms of the GNU Affero General Public License as published by the Free "
         "Software Foundation, either version 3 of the License",
     ],
+    "Apache-1.1": ["Licensed under the Apache License, Version 1.1."],
     "Apache-2.0": [
         "Licensed under the Apache License, Version 2.0.",
         'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this '
@@ -83,11 +86,21 @@ TEMPLATES = {
         "To the extent possible under law, the author has waived all copyright and related or "
         "neighboring rights to this work.",
     ],
+    "GPL-2.0": [
+        "This work is licensed under the GNU General Public License, version 2.",
+        "under the terms of the GNU General Public License as published by the Free Software "
+        "Foundation, either version 2 of the License, or any later version.",
+    ],
     "GPL-3.0": [
         "This work is licensed under the GNU General Public License, version 3.",
         "under the terms of the GNU General Public License as published by the Free Software "
         "Foundation, either version 3 of the License, or any later version.",
     ],
+    "LGPL-2.1": [
+        "This work is licensed under the GNU Lesser General Public License, version 2.1.",
+        "under the terms of the GNU Lesser General Public License as published by the Free "
+        "Software Foundation, either version 2.1 of the License",
+    ],
     "LGPL-3.0": [
         "This work is licensed under the GNU Lesser General Public License, version 3.",
         "under the terms of the GNU Lesser General Public License as published by the Free "
@@ -100,6 +113,7 @@ TEMPLATES = {
         "without restriction",
         'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED',
     ],
+    "MPL-1.1": ["Licensed under the Mozilla Public License, version 1.1."],
     "MPL-2.0": [
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
         "Licensed under the Mozilla Public License, version 2.0.",
@@ -108,8 +122,19 @@ TEMPLATES = {
 }
 
 
+#: Words that set families apart, besides numbers in the families that are named by version.
+APART = re.compile(
+    r"lesser|library|affero|(?:by|attribution)-.*|non-?commercial|share-?alike|no-?deriv.*"
+)
+
+
 def words_of(paragraph: str) -> list[str]:
-    return WORDS.findall(paragraph.lower())
+    return [whole_version(x) for x in WORDS.findall(paragraph.lower())]
+
+
+def whole_version(word: str) -> str:
+    """2.0 is written 2."""
+    return ZEROS.sub("", word) if word.endswith(".0") else word
 
 
 def features_of(words: list[str]) -> list[str]:
@@ -122,6 +147,29 @@ def triples(words: list[str]) -> frozenset[tuple[str, ...]]:
     return frozenset(zip(*(words[i:] for i in range(TRIPLE))))
 
 
+def followers(words: list[str]) -> dict[tuple[str, str], set[str]]:
+    """The words that follow each pair of words."""
+    found: dict[tuple[str, str], set[str]] = {}
+    for a, b, c in zip(words, words[1:], words[2:]):
+        found.setdefault((a, b), set()).add(c)
+    return found
+
+
+def differs(some: dict, template: dict, family: str) -> bool:
+    """Whether a pair of both is followed by other words here and there, of which one sets
+    families apart."""
+    versions = any(map(str.isdigit, family))
+
+    def apart(word: str) -> bool:
+        return bool(APART.fullmatch(word)) or versions and any(map(str.isdigit, word))
+
+    return any(
+        some[pair].isdisjoint(after) and any(map(apart, some[pair] | after))
+        for pair, after in template.items()
+        if pair in some
+    )
+
+
 def training_set(corpus: list[str], seed: int = 11) -> tuple[list[list[str]], list[str]]:
     """Paragraphs as words, and their families."""
     rng = np.random.default_rng(seed)
@@ -179,21 +227,29 @@ class LicenceModel:
 TEMPLATE_TRIPLES = {
     family: [triples(words_of(t)) for t in templates] for family, templates in TEMPLATES.items()
 }
+TEMPLATE_FOLLOWERS = {
+    family: [followers(words_of(t)) for t in templates] for family, templates in TEMPLATES.items()
+}
 TEMPLATE_WORDS = frozenset(w for of in TEMPLATES.values() for t in of for w in words_of(t))
 KNOWN_TRIPLES = frozenset(x for of in TEMPLATE_TRIPLES.values() for t in of for x in t)
-#: Each template's triples and the most words among which it is looked for.
+#: The place of each of a template's triples in it.
 PLACES = [
-    (triples(words_of(t)), WINDOW * len(words_of(t))) for of in TEMPLATES.values() for t in of
+    {x: i for i, x in enumerate(zip(w, w[1:], w[2:]))}
+    for of in TEMPLATES.values() for w in map(words_of, of)
 ]
 
 
 def confirmed(words: list[str], family: str) -> bool:
-    """Whether a template holds most of the paragraph's triples, or the paragraph a template's."""
+    """Whether a template holds most of the paragraph's triples, or the paragraph a template's,
+    and no word that sets families apart differs."""
     own = triples(words)
-    return any(
-        len(own & t) >= LEAST_SIMILAR * min(len(own), len(t)) and own & t
-        for t in TEMPLATE_TRIPLES[family]
-    )
+    alike = [
+        after
+        for t, after in zip(TEMPLATE_TRIPLES[family], TEMPLATE_FOLLOWERS[family])
+        if len(own & t) >= LEAST_SIMILAR * min(len(own), len(t)) and own & t
+    ]
+    follows = followers(words) if alike else {}
+    return any(not differs(follows, after, family) for after in alike)
 
 
 def shares_triple(words: list[str]) -> bool:
@@ -204,30 +260,36 @@ def windows(words: list[str]) -> list[tuple[int, int]]:
     """Places (first word, word after the last) that hold most of a template's triples.
 
     From each shared triple on, the words up to the last new triple of that template are a place;
-    of places that overlap, the one with the most triples counts, and of those the shortest.
+    of places that overlap, the one with the most triples counts, and of those the shortest. Where
+    the template goes on at either end, the place does so by as many words.
     """
     own = list(zip(words, words[1:], words[2:]))
     found = set()
-    for template, most in PLACES:
+    for template in PLACES:
         at = [i for i, x in enumerate(own) if x in template]
-        best = (0, 0, 0)  # triples, first word, word after the last
+        most = WINDOW * (len(template) + TRIPLE - 1)
+        here, best = [], (0, 0, 0)  # triples, the first one's place, the last one's
         for k, first in enumerate(at):
-            seen, stop = set(), first
+            seen, last = set(), first
             for i in at[k:]:
                 if i + TRIPLE > first + most:
                     break
                 if own[i] not in seen:
                     seen.add(own[i])
-                    stop = i + TRIPLE
+                    last = i
             if len(seen) < LEAST_SIMILAR * len(template):
                 continue
-            if first >= best[2]:
-                found.add(best[1:])
+            if best[0] and first > best[2]:
+                here.append(best)
                 best = (0, 0, 0)
-            if (len(seen), first - stop) > (best[0], best[1] - best[2]):
-                best = (len(seen), first, stop)
-        found.add(best[1:])
-    return sorted(found - {(0, 0)})
+            if (len(seen), first - last) > (best[0], best[1] - best[2]):
+                best = (len(seen), first, last)
+        for count, first, last in [*here, best]:
+            if count:
+                start = first - template[own[first]]
+                stop = last + TRIPLE + max(template.values()) - template[own[last]]
+                found.add((max(0, start), min(len(words), stop)))
+    return sorted(found)
 
 
 def notices(line: str, model: LicenceModel) -> list[tuple[int, int, str, float]]:
@@ -239,7 +301,7 @@ def notices(line: str, model: LicenceModel) -> list[tuple[int, int, str, float]]
     """
     lower = line.lower()
     spots = [m.span() for m in WORDS.finditer(lower)]
-    words = [lower[a:b] for a, b in spots]
+    words = [whole_version(lower[a:b]) for a, b in spots]
     if not shares_triple(words):
         return []
     if len(lower) != len(line):  # a letter that has two in lower case

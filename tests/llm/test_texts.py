@@ -330,6 +330,16 @@ def test_versions_and_kinds_of_licences_differ(licence_model):
             assert other == family or not licences.confirmed(words, other), (text, other)
 
 
+def test_unknown_paragraphs_are_whole(spark, monkeypatch):
+    rows = [(i, f"one\n{i} " + "word " * 400 + "\ntwo") for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = licences.corpus_paragraphs(docs)
+    assert found == sorted(text.split("\n")[1] for _, text in rows)
+    monkeypatch.setattr(licences, "SAMPLE_BYTES", 5000)
+    some = licences.corpus_paragraphs(docs)
+    assert len(some) == 3 and set(some) < set(found)
+
+
 # --- toxicity ---------------------------------------------------------------------------------
 
 

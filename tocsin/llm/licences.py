@@ -30,13 +30,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.linalg import Vectors
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tocsin.llm.common import slices, text_or_empty
 
 #: Corpus paragraphs in the training set: about so many documents, one paragraph of each.
 SAMPLE_DOCS = 1000
+#: The sample ends with the paragraph that brings it to so many bytes; paragraphs stay whole.
+SAMPLE_BYTES = 16 << 20
 #: Variants of each template in training, least similarity.
 VARIANTS, LEAST_SIMILAR = 24, 0.8
 TRIPLE = 3
@@ -331,16 +333,23 @@ def notices(line: str, model: LicenceModel) -> list[tuple[int, int, str, float]]
 
 
 def corpus_paragraphs(docs: DataFrame) -> list[str]:
-    """A bounded sample: of documents chosen by a hash, the paragraph in the middle."""
+    """A sample bounded in rows and bytes: of documents chosen by a hash, the whole paragraph in
+    the middle."""
     share = min(1.0, SAMPLE_DOCS / max(1, docs.count()))
     lines = F.split(text_or_empty(), "\n", -1)
+    order = F.xxhash64("doc_id")
     chosen = (
-        docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(share * (1 << 30)) + 1)
-        .select(F.element_at(lines, F.floor(F.size(lines) / 2).cast("int") + 1).alias("line"))
+        docs.where(F.pmod(order, F.lit(1 << 30)) < int(share * (1 << 30)) + 1)
+        .select(
+            order.alias("at"),
+            F.element_at(lines, F.floor(F.size(lines) / 2).cast("int") + 1).alias("line"),
+        )
         .where(F.length("line") > 0)
-        .select(F.substring("line", 1, 600).alias("line"))
         .limit(2 * SAMPLE_DOCS)
     )
+    before = Window.orderBy("at", "line").rowsBetween(Window.unboundedPreceding, -1)
+    size = F.coalesce(F.sum(F.octet_length("line")).over(before), F.lit(0))
+    chosen = chosen.withColumn("before", size).where(F.col("before") < SAMPLE_BYTES).select("line")
     found = sorted({r.line for r in chosen.collect()})
     return [p for p in found if not triples(words_of(p)) & KNOWN_TRIPLES]
 

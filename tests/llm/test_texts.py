@@ -343,6 +343,15 @@ def test_unknown_paragraphs_are_whole(spark, monkeypatch):
 # --- toxicity ---------------------------------------------------------------------------------
 
 
+@pytest.mark.parametrize("size", [10, 1999, 2000, 3999, 4000, 5999, 50_000])
+def test_capitals_are_counted_in_the_whole_text(size):
+    for capitals, vote in ((size // 2, "-"), (size // 2 + 1, "t")):
+        for text in ("A" * capitals + "a" * (size - capitals), "a" * (size - capitals) + "A" * capitals):
+            assert toxicity.votes_of(text, set(), 0)[11] == vote
+    assert toxicity.votes_of("", set(), 0)[11] == "-"
+
+
+
 def test_toxicity_on_held_out_documents(spark):
     folder = "/root/testdata/sf0.1"
     found = QUERIES["op2_toxicity"](spark, folder).collect()

@@ -171,8 +171,8 @@ def votes_of(text: str, hits: set[str], label: int) -> str:
     votes.append("t" if len(hits) >= 2 else "c" if not hits else "-")
     votes.append("t" if whole >= 2 else "c" if not whole else "-")
     votes.append("t" if 100 * len(hits) >= words else "c" if not hits else "-")
-    capitals = sum(map(str.isupper, text[:: max(1, len(text) // 2000)]))
-    votes.append("t" if capitals > 0.5 * min(len(text), 2000) > 0 else "-")
+    capitals = sum(n for c, n in Counter(text).items() if c.isupper())
+    votes.append("t" if capitals > 0.5 * len(text) else "-")
     marks = text.count("!") + text.count("?")
     votes.append("t" if marks > 0.2 * words else "c" if not marks else "-")
     odd = sum(text.count(c) for c in "#*$%&|<>")

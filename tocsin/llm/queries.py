@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tocsin.llm import (
-    bpe, embedding_dedup, licences, lines, mixing, quality, simhash, suffix_dedup, token_files,
-    toxicity,
+    bpe, embedding_dedup, licences, lines, mixing, quality, resampling, simhash, suffix_dedup,
+    token_files, toxicity,
 )
 from tocsin.llm.common import documents
 from tocsin.sources.workspace import fresh_path
@@ -128,3 +128,12 @@ def op10_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.encoded(
         documents(spark, folder), public_tokenizers.path(WORD_VOCABULARY), digests=True
     )
+
+
+@query
+def op12_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    target = spark.read.parquet(f"{folder}/benchmark.parquet")
+    return resampling.resampled(documents(spark, folder), target)
+
+
+ORACLE["op12_importance_resampling"] = resampling.SQL

@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tocsin.llm import (
-    bpe, embedding_dedup, licences, lines, mixing, quality, resampling, simhash, suffix_dedup,
-    token_files, toxicity,
+    bpe, embedding_dedup, licences, lines, mixing, quality, resampling, simhash, spelling,
+    suffix_dedup, token_files, toxicity,
 )
 from tocsin.llm.common import documents
 from tocsin.sources.workspace import fresh_path
@@ -130,6 +130,29 @@ def op10_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+#: One in so many occurrences of a run, by document and run, loses a code point.
+MISSPELT = 31
+
+
+def misspelt(doc_id: Column, run: Column) -> Column:
+    """A run as the document spells it."""
+    name = F.concat_ws(":", F.coalesce(doc_id.cast("string"), F.lit("")), run)
+    h = F.crc32(name.cast("binary"))
+    at = (h % F.char_length(run)).cast("int")
+    shorter = F.concat(F.left(run, at), F.substring(run, at + 2, F.char_length(run)))
+    return F.when(h % MISSPELT == 0, shorter).otherwise(run)
+
+
+@query
+def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    runs = spelling.runs(documents(spark, folder))
+    words = runs.select(misspelt(F.col("doc_id"), F.col("run")).alias("word"))
+    return spelling.grouped(spelling.vocabulary(words))
+
+
+ORACLE["op11_spelling_variants"] = spelling.SQL
+
+
 @query
 def op12_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
     target = spark.read.parquet(f"{folder}/benchmark.parquet")

@@ -231,15 +231,16 @@ def routed(
     rows = words.withColumn("size", F.explode(sizes)).select("word", "n", "size", F.inline(sides))
     rows = held.table(rows.withColumn("part", part_key()))
     settled = []
+    # What may differ; a single code point is not cut.
+    rest = F.col("size") - F.col("head") - F.col("tail")
     while True:
         crowded = held.table(
-            rows.groupBy("part").agg(F.count(F.lit(1)).alias("rows"))
+            rows.where(rest > 1).groupBy("part").agg(F.count(F.lit(1)).alias("rows"))
             .where(F.col("rows") > most).select("part")
         )
         if crowded.isEmpty():
             break
         settled.append(rows.join(crowded, "part", "left_anti"))
-        rest = F.col("size") - F.col("head") - F.col("tail")
         cut = F.floor(rest / 2).cast("int")
         finer = F.array(
             F.struct((F.col("head") + cut).alias("head"), F.col("tail").alias("tail")),

@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tocsin.llm import (
-    bpe, embedding_dedup, licences, lines, mixing, quality, resampling, simhash, spelling,
-    suffix_dedup, token_files, toxicity,
+    bpe, embedding_dedup, factoring, licences, lines, mixing, quality, resampling, simhash,
+    spelling, suffix_dedup, token_files, toxicity,
 )
 from tocsin.llm.common import documents
 from tocsin.sources.workspace import fresh_path
@@ -160,3 +160,11 @@ def op12_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
 
 
 ORACLE["op12_importance_resampling"] = resampling.SQL
+
+
+@query
+def op13_passage_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return factoring.deduplicated(documents(spark, folder), texts=False)
+
+
+ORACLE["op13_passage_dedup"] = factoring.SQL

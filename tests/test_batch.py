@@ -112,7 +112,7 @@ def test_batch_run(spark, folder, tmp_path):
     )
     raw = files.read_raw(spark, folder)
     events = [r for r in raw["raw_adverse_events"].collect()]
-    watchlist = spark.read.parquet(f"{tmp_path}/tables/risk_watchlist").collect()
+    watchlist = files.read_table(spark, f"{tmp_path}/tables/risk_watchlist").collect()
     current = Counter(r.drug_id for r in events if r.quarter == "2024-Q1")
     previous = Counter(r.drug_id for r in events if r.quarter == "2023-Q4")
     serious = Counter(r.drug_id for r in events if r.quarter == "2024-Q1" and r.is_serious)
@@ -121,9 +121,9 @@ def test_batch_run(spark, folder, tmp_path):
         assert (r.total_reports, r.prev_reports, r.serious_reports) == (
             current[r.drug_id], previous[r.drug_id], serious[r.drug_id]
         )
-    trend = spark.read.parquet(f"{tmp_path}/tables/quarterly_trend")
+    trend = files.read_table(spark, f"{tmp_path}/tables/quarterly_trend")
     assert trend.agg(F.sum("total_reports")).first()[0] == 4000
-    breakdown = spark.read.parquet(f"{tmp_path}/tables/ae_breakdown")
+    breakdown = files.read_table(spark, f"{tmp_path}/tables/ae_breakdown")
     last = [shift_quarter("2024-Q1", -i) for i in range(4)]
     assert breakdown.agg(F.sum("report_count")).first()[0] == sum(r.quarter in last for r in events)
     nulls = written["quarterly_trend"].filter("prev_quarter_reports IS NULL").count()
@@ -133,7 +133,7 @@ def test_batch_run(spark, folder, tmp_path):
 def test_audit_and_sql_over_views(spark, folder):
     raw = files.read_raw(spark, folder)
     staged = batch.staged_views(raw, CFG)
-    found = {r.table_name: r.row_count for r in batch.audit(raw, staged).collect()}
+    found = {r.table_name: r.row_count for r in batch.audit(raw, CFG).collect()}
     assert found["raw_drugs"] == found["stg_drugs"] == 12
     assert found["raw_adverse_events"] == found["stg_adverse_events"] == 4000
     views.register_views({**raw, **staged})

@@ -15,7 +15,7 @@ from tocsin.operators.reports import kpi_cards
 from tocsin.plans.batch import run_batch, staged_views
 from tocsin.schemas import RAW_DRUGS
 from tocsin.session import build_session
-from tocsin.sources.files import read_csv, read_raw, write_csv
+from tocsin.sources.files import read_csv, read_raw, read_table, write_csv
 from tocsin.sources.views import register_views, run_sql
 
 
@@ -48,7 +48,7 @@ def main(argv: list[str] | None = None) -> None:
     if args.command == "run":
         cfg = ScoringConfig(current_quarter=args.quarter, as_of=args.as_of)
         run_batch(spark, args.data, args.out, cfg).show(truncate=False)
-        kpi_cards(spark.read.parquet(f"{args.out}/tables/risk_watchlist")).show()
+        kpi_cards(read_table(spark, f"{args.out}/tables/risk_watchlist")).show()
         return
     if args.command == "sql":
         cfg = ScoringConfig(current_quarter=args.quarter, as_of=args.as_of)

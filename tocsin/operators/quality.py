@@ -41,6 +41,14 @@ def orphan_counts(events: DataFrame, entities: DataFrame) -> DataFrame:
     )
 
 
+def known_events(events: DataFrame, entities: DataFrame) -> DataFrame:
+    """One row: ``row_count``, the events of known entities. Events are counted by entity first."""
+    by_entity = events.groupBy("drug_id").agg(F.count(F.lit(1)).alias("row_count"))
+    return by_entity.join(entities.select("drug_id"), "drug_id").agg(
+        F.coalesce(F.sum("row_count"), F.lit(0).cast("bigint")).alias("row_count")
+    )
+
+
 def guard_future_dates(events: DataFrame, as_of: date | None) -> DataFrame:
     """One row: how many events staging keeps and how many it excludes by date."""
     kept = F.coalesce(not_future(F.col("event_date"), as_of), F.lit(False))

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tocsin.config import ScoringConfig
-from tocsin.operators import counts, reports, scoring, staging
+from tocsin.operators import counts, quality, reports, scoring, staging
 from tocsin.sources.files import (
     export_status, read_raw, read_table, row_counts, write_csv, write_table,
 )
@@ -56,7 +55,8 @@ def run_batch(spark: SparkSession, data_dir: str, out_dir: str, cfg: ScoringConf
 
     The events are read in full once, for the quarter rollup, which is written
     and then serves both watchlist and trend. The breakdown reads the last
-    four quarters.
+    four quarters. Tables are replaced in one step, and the status rows come
+    from the writes of the CSV files themselves.
     """
     raw = land_raw(spark, data_dir, f"{out_dir}/raw")
     entities = raw["raw_drugs"]
@@ -89,14 +89,23 @@ def run_batch(spark: SparkSession, data_dir: str, out_dir: str, cfg: ScoringConf
         "ae_breakdown": reports.sorted_breakdown,
         "quarterly_trend": reports.sorted_trend,
     }
-    for name, df in outputs.items():
-        write_csv(in_order[name](df), f"{out_dir}/{name}.csv")
-    return reduce(
-        DataFrame.unionByName,
-        [export_status(df, f"{name}.csv") for name, df in outputs.items()],
-    )
+    return export_status(spark, {
+        f"{name}.csv": write_csv(in_order[name](df), f"{out_dir}/{name}.csv")
+        for name, df in outputs.items()
+    })
 
 
-def audit(raw: dict[str, DataFrame], staged: dict[str, DataFrame]) -> DataFrame:
-    """Row counts of both layers."""
-    return row_counts({**raw, **staged})
+def audit(raw: dict[str, DataFrame], cfg: ScoringConfig) -> DataFrame:
+    """Row counts of both layers.
+
+    Staged events are counted by entity before they meet the entity table, so no event row is
+    joined.
+    """
+    entities, sales = raw["raw_drugs"], raw["raw_sales_volume"]
+    dated = raw["raw_adverse_events"].filter(staging.not_future(F.col("event_date"), cfg.as_of))
+    return row_counts({
+        **raw,
+        "stg_drugs": entities,
+        "stg_adverse_events": quality.known_events(dated, entities),
+        "stg_quarterly_sales": staging.stage_quarterly_sales(sales),
+    })

@@ -161,28 +161,43 @@ def csv_roundtrip_texts(spark: SparkSession, folder: str) -> DataFrame:
 def parquet_roundtrip_trend(spark: SparkSession, folder: str) -> DataFrame:
     trend = _trend(TestTables(spark, folder))
     path = fresh_path(spark, "trend-table")
+    files.write_table(trend.limit(0), path, partition_by=["quarter"])
     files.write_table(trend, path, partition_by=["quarter"])
     return files.read_table(spark, path, trend.schema)
 
 
+@query
+def table_row_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Row counts of landed tables, from the writes that landed them."""
+    t = TestTables(spark, folder)
+    home = fresh_path(spark, "landed")
+    landed = {
+        "raw_drugs": t.entities(),
+        "raw_adverse_events": t.events("report_id", "drug_id", "event_date", "quarter"),
+        "stg_quarterly_sales": staging.stage_quarterly_sales(t.sales()),
+    }
+    return files.counts_table(
+        spark, {name: files.write_table(df, f"{home}/{name}") for name, df in landed.items()}
+    )
+
+
 @query
 def row_count_audit(spark: SparkSession, folder: str) -> DataFrame:
     t = TestTables(spark, folder)
-    events = _events(t, "drug_id", "event_date")
-    return files.row_counts({
+    raw = {
         "raw_drugs": t.entities(),
-        "raw_adverse_events": t.events("drug_id"),
+        "raw_adverse_events": t.events("drug_id", "event_date"),
         "raw_sales_volume": t.sales(),
-        "stg_drugs": _staged_entities(t),
-        "stg_adverse_events": staging.describe(events, t.entities()),
-        "stg_quarterly_sales": staging.stage_quarterly_sales(t.sales()),
-    })
+    }
+    return batch.audit(raw, SCORING)
 
 
 @query
 def export_status(spark: SparkSession, folder: str) -> DataFrame:
-    t = TestTables(spark, folder)
-    return files.export_status(_trend(t), "quarterly_trend.csv")
+    """The number of rows is what the tasks that wrote the file counted."""
+    trend = _trend(TestTables(spark, folder))
+    path = fresh_path(spark, "trend-csv")
+    return files.export_status(spark, {"quarterly_trend.csv": files.write_csv(trend, path)})
 
 
 @query
@@ -732,7 +747,7 @@ def _batch(spark: SparkSession, folder: str, output: str) -> DataFrame:
         ]
         files.write_csv(feed.select(*columns), f"{home}/in/{files.RAW_FILES[name]}")
     batch.run_batch(spark, f"{home}/in", f"{home}/out", SCORING)
-    found = spark.read.parquet(f"{home}/out/tables/{output}")
+    found = files.read_table(spark, f"{home}/out/tables/{output}")
     return iso_dates(found.withColumn("drug_id", F.col("drug_id").cast("bigint")))
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tocsin.schemas import RAW_TABLES
+from tocsin.sources.versions import ReplaceableTable, counted_write
 
 
 #: How CSV files are written and read, by batch and stream alike.
@@ -35,15 +36,16 @@ def read_csv(
     return reader.csv(path)
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    """CSV part files with a header; NULL is an empty field."""
-    (
-        df.write.mode("overwrite")
+def write_csv(df: DataFrame, path: str) -> int:
+    """CSV part files with a header; NULL is an empty field. Returns the number of rows."""
+    return counted_write(
+        df,
+        lambda rows: rows.write.mode("overwrite")
         .options(**CSV_FORMAT)
         .option("nullValue", "")
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
-        .csv(path)
+        .csv(path),
     )
 
 
@@ -55,40 +57,35 @@ def read_raw(spark: SparkSession, data_dir: str) -> dict[str, DataFrame]:
     }
 
 
-def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    """Replace the Parquet table at ``path``.
+def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> int:
+    """Replace the Parquet table at ``path`` in one step; returns its number of rows."""
+    return ReplaceableTable(df.sparkSession, path).replace(df, partition_by)
 
-    With ``partition_by``, rows are rebalanced by those columns before the
-    write: small partitions become one file, and a partition that holds much
-    of the data is split over several tasks.
-    """
-    if not partition_by:
-        df.write.mode("overwrite").parquet(path)
-        return
-    rebalanced = df.hint("rebalance", *partition_by)
-    rebalanced.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+
+def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """The current rows of a table, with a declared schema or its own."""
+    return ReplaceableTable(spark, path).read(schema)
 
 
-def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A Parquet table with a declared schema, columns in the declared order."""
-    return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
+def counts_table(spark: SparkSession, counts: dict[str, int]) -> DataFrame:
+    """One ``(table_name, row_count)`` row for each number of rows that a write returned."""
+    return spark.createDataFrame([*counts.items()], "table_name STRING, row_count BIGINT")
 
 
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
-    """One ``(table_name, row_count)`` row for each table."""
+    """One ``(table_name, row_count)`` row for each table; a table may bring its count along.
+
+    A frame with the one column ``row_count`` counts as counted already.
+    """
     counts = [
-        df.agg(F.count(F.lit(1)).alias("row_count")).select(
-            F.lit(name).alias("table_name"), "row_count"
-        )
+        (df if df.columns == ["row_count"] else df.agg(F.count(F.lit(1)).alias("row_count")))
+        .select(F.lit(name).alias("table_name"), "row_count")
         for name, df in tables.items()
     ]
     return reduce(DataFrame.unionByName, counts)
 
 
-def export_status(df: DataFrame, file_name: str) -> DataFrame:
-    """One row: '<file> exported — <n> rows'."""
-    return df.agg(
-        F.concat(
-            F.lit(f"{file_name} exported — "), F.count(F.lit(1)).cast("string"), F.lit(" rows")
-        ).alias("status")
-    )
+def export_status(spark: SparkSession, exported: dict[str, int]) -> DataFrame:
+    """One row for each file: '<file> exported — <n> rows', from what the writes counted."""
+    rows = [(f"{name} exported — {count} rows",) for name, count in exported.items()]
+    return spark.createDataFrame(rows, "status STRING")

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tocsin.functions.periods import label_of
+from tocsin.functions.periods import label_of, quarters_range
 from tocsin.operators.counts import COUNTS, QUARTER_KEYS
 from tocsin.operators.joins import join_lookup
 
@@ -55,6 +55,46 @@ def novel_quarter_rollup(
     return rollup.withColumn("quarter", label).select(*QUARTER_KEYS, *COUNTS)
 
 
+def pair_states(events: DataFrame, current: str, previous: str) -> DataFrame:
+    """The first date of each pair and its reports in two quarters, in one grouped pass.
+
+    Unlike cells by quarter, a pair's events of all time combine into one row before the shuffle.
+    """
+
+    def within(quarter: str) -> Column:
+        start, end = quarters_range([quarter])
+        return (F.col("event_date") >= F.lit(start)) & (F.col("event_date") < F.lit(end))
+
+    now = within(current)
+    return events.groupBy(*PAIR).agg(
+        F.min("event_date").alias("first_seen"),
+        F.count_if(now).alias("total_reports"),
+        F.count_if(now & F.col("is_serious")).alias("serious_reports"),
+        F.count_if(within(previous)).alias("prev_reports"),
+    )
+
+
+def period_counts_of_pairs(
+    states: DataFrame, entities: DataFrame, months: int = GRACE_MONTHS
+) -> DataFrame:
+    """Period counts (as ``counts.counts_of_rollup``) of known entities, from pair states."""
+    grace = entities.select("drug_id", _grace_end(months).alias("grace_end"))
+    total, novel = F.col("total_reports"), F.col("first_seen") >= F.col("grace_end")
+    summed = (
+        states.filter((total > 0) | (F.col("prev_reports") > 0))
+        .join(grace, "drug_id")
+        .withColumn("novel_reports", F.when(novel, total).otherwise(F.lit(0)))
+        .groupBy("drug_id")
+        .agg(*[F.sum(c).alias(c) for c in [*COUNTS, "prev_reports"]])
+    )
+    # An entity without reports in a quarter has no counts there.
+    return summed.select(
+        "drug_id",
+        *[F.when(total > 0, F.col(c)).alias(c) for c in COUNTS],
+        F.nullif("prev_reports", F.lit(0).cast("bigint")).alias("prev_reports"),
+    )
+
+
 def first_sightings(events: DataFrame) -> DataFrame:
     """The first event date of each (entity, reaction) pair."""
     return events.groupBy(*PAIR).agg(F.min("event_date").alias("first_seen"))

@@ -8,7 +8,7 @@ with the entity table.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tocsin.functions.periods import in_year
@@ -20,6 +20,18 @@ def _top(df: DataFrame, count: str, tie: str, k: int) -> DataFrame:
     return df.orderBy(F.desc(count), F.asc(tie)).limit(k)
 
 
+def top_per_group(
+    df: DataFrame, groups: list[str], order: list[Column], k: int, place: str = "place"
+) -> DataFrame:
+    """The first ``k`` rows of each group in a total order, numbered from 1 in ``place``.
+
+    Each task keeps ``k`` rows of a group at most before the shuffle, so a group that holds most of
+    the rows sends no more than that from each.
+    """
+    number = F.row_number().over(Window.partitionBy(*groups).orderBy(*order))
+    return df.withColumn(place, number).filter(F.col(place) <= k)
+
+
 def most_severe(events: DataFrame, entities: DataFrame, k: int = 1) -> DataFrame:
     """Entities with the most critical reports."""
     critical = events.filter(F.col("severity_bucket") == "Critical")
@@ -46,6 +58,27 @@ def common_reactions(
     return _top(counts, "report_count", "reaction", k)
 
 
+def top_reactions_per_area(events: DataFrame, entities: DataFrame, k: int = 5) -> DataFrame:
+    """The commonest reactions in every therapeutic area at once."""
+    cells = report_cells(events, "drug_id", "reaction")
+    counts = (
+        describe(cells, entities, "therapeutic_area")
+        .groupBy("therapeutic_area", "reaction")
+        .agg(F.sum("report_count").alias("report_count"))
+    )
+    order = [F.desc("report_count"), F.asc_nulls_last("reaction")]
+    return top_per_group(counts, ["therapeutic_area"], order, k)
+
+
+def top_entities_per_area_and_year(
+    events: DataFrame, entities: DataFrame, k: int = 3
+) -> DataFrame:
+    """The entities with the most reports in every area and calendar year."""
+    counts = describe(report_cells(events, "drug_id", "event_year"), entities)
+    order = [F.desc("report_count"), F.asc("drug_id")]
+    return top_per_group(counts, ["therapeutic_area", "event_year"], order, k)
+
+
 def top_reports_in_year(
     events: DataFrame, entities: DataFrame, year: int, k: int = 1
 ) -> DataFrame:

@@ -75,17 +75,20 @@ def _flagged_events(t: TestTables, *columns: str, quarters: list[str] | None = N
     return novelty.flag_events(_events(t, *columns, quarters=quarters), known)
 
 
-def _rollup(t: TestTables, until: str | None = None) -> DataFrame:
-    """The quarter rollup, from one pass over the events up to the end of a quarter."""
-    end = periods.quarters_range([until])[1] if until else None
-    events = t.events("drug_id", "event_date", "reaction", "is_serious", end=end)
-    cells = novelty.pair_cells(staging.event_fields(events, AS_OF))
-    return novelty.novel_quarter_rollup(cells, t.entities())
+def _rollup(t: TestTables) -> DataFrame:
+    """The quarter rollup, from one pass over the events."""
+    events = _events(t, "drug_id", "event_date", "reaction", "is_serious")
+    return novelty.novel_quarter_rollup(novelty.pair_cells(events), t.entities())
 
 
 def _counts(t: TestTables, cfg: ScoringConfig = SCORING) -> DataFrame:
-    rollup = _rollup(t, cfg.current_quarter)
-    return counts.counts_of_rollup(rollup, cfg.current_quarter, cfg.previous_quarter)
+    """Period counts, from one pass over the events up to the end of the current quarter."""
+    end = periods.quarters_range([cfg.current_quarter])[1]
+    events = t.events("drug_id", "event_date", "reaction", "is_serious", end=end)
+    states = novelty.pair_states(
+        staging.event_fields(events, AS_OF), cfg.current_quarter, cfg.previous_quarter
+    )
+    return novelty.period_counts_of_pairs(states, t.entities())
 
 
 def _units(t: TestTables, cfg: ScoringConfig = SCORING) -> DataFrame:
@@ -508,6 +511,20 @@ def qa_reactions_by_area(spark: SparkSession, folder: str) -> DataFrame:
     return questions.common_reactions(events, t.entities(), "ASIA")
 
 
+@query
+def qa_top_reactions_per_area(spark: SparkSession, folder: str) -> DataFrame:
+    t = TestTables(spark, folder)
+    return questions.top_reactions_per_area(t.events("drug_id", "reaction"), t.entities())
+
+
+@query
+def qa_top_entities_per_area_and_year(spark: SparkSession, folder: str) -> DataFrame:
+    t = TestTables(spark, folder)
+    return questions.top_entities_per_area_and_year(
+        _events(t, "drug_id", "event_date"), t.entities()
+    )
+
+
 @query
 def qa_top_reports_in_year(spark: SparkSession, folder: str) -> DataFrame:
     t = TestTables(spark, folder)

@@ -112,8 +112,16 @@ def known_pairs(
     grace = entities.select("drug_id", _grace_end(months).alias("grace_end"))
     last_day = grace.agg(F.max("grace_end")).scalar()
     early = events.select(*PAIR, "event_date").filter(F.col("event_date") < last_day)
+    return known_sightings(first_sightings(early), entities, months)
+
+
+def known_sightings(
+    sightings: DataFrame, entities: DataFrame, months: int = GRACE_MONTHS
+) -> DataFrame:
+    """The known pairs among first sightings."""
+    grace = entities.select("drug_id", _grace_end(months).alias("grace_end"))
     in_grace = F.col("first_seen") < F.col("grace_end")
-    return first_sightings(early).join(grace, "drug_id").filter(in_grace).select(*PAIR)
+    return sightings.join(grace, "drug_id").filter(in_grace).select(*PAIR)
 
 
 def attach_novelty(rows: DataFrame, known: DataFrame) -> DataFrame:

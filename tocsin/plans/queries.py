@@ -10,7 +10,7 @@ from collections.abc import Callable
 from dataclasses import replace
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,6 +24,7 @@ from tocsin.schemas import RAW_DRUGS, RAW_TABLES, required_columns
 from tocsin.sources import files, views
 from tocsin.sources.testtables import AS_OF, EVENT_COLUMNS, SCORING, TestTables
 from tocsin.sources.workspace import fresh_path, written_once
+from tocsin.streaming import rollup
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -740,6 +741,48 @@ def gen_events_gapped_ids(spark: SparkSession, folder: str) -> DataFrame:
     return iso_dates(datagen.generate_events(reports_to_make, portfolio))
 
 
+# --- streams --------------------------------------------------------------------------------
+
+MICRO_BATCHES = 6
+
+
+def _arriving(events: DataFrame, order: Column) -> DataFrame:
+    """Events as a stream that brings them in that order, in several micro-batches."""
+    spark = events.sparkSession
+    inbox = fresh_path(spark, "inbox")
+    events.repartitionByRange(MICRO_BATCHES, order).write.parquet(inbox)
+    reader = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1)
+    return reader.parquet(inbox)
+
+
+@query
+def stream_trend(spark: SparkSession, folder: str) -> DataFrame:
+    """The trend from events that arrive latest first, so that first dates change all the time."""
+    t = TestTables(spark, folder)
+    home = fresh_path(spark, "cells")
+    events = t.events("drug_id", "reaction", "event_date", "is_serious")
+    table = rollup.cell_table(spark, f"{home}/table", "BIGINT")
+    arriving = _arriving(events, F.desc("event_date"))
+    rollup.refresh(arriving, table, rollup.cell_rows, f"{home}/progress").awaitTermination()
+    by_quarter = rollup.read_quarter_rollup(table, t.entities(), AS_OF)
+    sales = staging.stage_quarterly_sales(t.sales())
+    return reports.quarterly_trend(by_quarter, t.entities(), sales)
+
+
+@query
+def stream_novelty(spark: SparkSession, folder: str) -> DataFrame:
+    """Novelty of all reports after the last of several batches has arrived."""
+    t = TestTables(spark, folder)
+    home = fresh_path(spark, "sightings")
+    events = t.events("report_id", "drug_id", "reaction", "event_date")
+    table = rollup.sighting_table(spark, f"{home}/table", "BIGINT")
+    arriving = _arriving(events, F.desc("event_date"))
+    rollup.refresh(arriving, table, rollup.sighting_rows, f"{home}/progress").awaitTermination()
+    known = written_once(rollup.read_known_pairs(table, t.entities(), AS_OF), "known-pairs")
+    flagged = novelty.flag_events(staging.event_fields(events, AS_OF), known)
+    return iso_dates(flagged.select(*events.columns, "is_novel_reaction"))
+
+
 # --- batch run ------------------------------------------------------------------------------
 
 

@@ -10,8 +10,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tocsin.functions.numeric import ratio, round_half_away
-from tocsin.functions.periods import quarter_index
-from tocsin.operators.counts import report_cells
+from tocsin.functions.periods import index_parts, label_of, parse_quarter, quarter_index
+from tocsin.operators.counts import COUNTS, report_cells
 from tocsin.operators.staging import describe
 from tocsin.schemas import BREAKDOWN_KEYS, TREND_COLUMNS
 
@@ -108,6 +108,54 @@ def with_quarter_change(
     )
 
 
+def dense_quarters(
+    rollup: DataFrame,
+    last: str,
+    series: tuple[str, ...] = ("drug_id",),
+    counts: tuple[str, ...] = tuple(COUNTS),
+) -> DataFrame:
+    """The rollup with a row of zeros for every quarter a series has no reports in.
+
+    A series goes from its own first quarter to the quarter ``last``; later rows fall away.
+    """
+    year, quarter_num = parse_quarter(last)
+    end = F.lit(year * 4 + quarter_num - 1)
+    index = quarter_index(F.col("event_year"), F.col("event_quarter_num"))
+    indexed = rollup.withColumn("quarter_index", index).filter(index <= end)
+    spine = indexed.groupBy(*series).agg(F.min("quarter_index").alias("first")).select(
+        *series, F.explode(F.sequence("first", end)).alias("quarter_index")
+    )
+    found_year, found_num = index_parts(F.col("quarter_index"))
+    zero = F.lit(0).cast("bigint")
+    return spine.join(
+        indexed.select(*series, "quarter_index", *counts), [*series, "quarter_index"], "left"
+    ).select(
+        *series,
+        label_of(found_year, found_num).alias("quarter"),
+        found_year.alias("event_year"),
+        found_num.alias("event_quarter_num"),
+        *[F.coalesce(F.col(c), zero).alias(c) for c in counts],
+    )
+
+
+def trend_wide(rollup: DataFrame, quarters: list[str]) -> DataFrame:
+    """One row per entity, with a column of reports for each of the declared quarters.
+
+    A quarter without reports is 0. The columns are declared, so no job looks for them, and rows of
+    other quarters fall away before the shuffle.
+    """
+    chosen = rollup.filter(F.col("quarter").isin(quarters))
+    wide = chosen.groupBy("drug_id").pivot("quarter", quarters).agg(F.sum("total_reports"))
+    zero = F.lit(0).cast("bigint")
+    return wide.select(
+        "drug_id",
+        *[
+            F.coalesce(F.col(f"`{q}`"), zero).alias("reports_" + q.lower().replace("-", "_"))
+            for q in quarters
+        ],
+    )
+
+
 def sorted_trend(trend: DataFrame) -> DataFrame:
     return trend.orderBy(
         *[F.asc_nulls_last(c) for c in ("drug_id", "event_year", "event_quarter_num")]

@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import replace
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +18,7 @@ from pyspark.sql import types as T
 from tocsin.config import ScoringConfig
 from tocsin.functions import numeric, periods
 from tocsin.operators import (
-    counts, datagen, novelty, quality, questions, reports, scoring, sqltext, staging,
+    counts, datagen, novelty, quality, questions, ranking, reports, scoring, sqltext, staging,
 )
 from tocsin.plans import batch
 from tocsin.schemas import RAW_DRUGS, RAW_TABLES, required_columns
@@ -317,6 +318,23 @@ def distinct_reactions(spark: SparkSession, folder: str) -> DataFrame:
     return counts.distinct_reactions(events, quarter)
 
 
+@query
+def distinct_reactions_by_year(spark: SparkSession, folder: str) -> DataFrame:
+    """Distinct reactions per year from stored sketches of quarters, held against exact counts."""
+    t = TestTables(spark, folder)
+    events = _events(t, "drug_id", "event_date", "reaction")
+    keys = ["drug_id", "event_year"]
+    sketches = written_once(
+        counts.reaction_sketches(events, *keys, "event_quarter_num"), "sketches"
+    )
+    exact = events.groupBy(*keys).agg(F.count_distinct("reaction").alias("exact"))
+    about = F.col("distinct_reactions")
+    close = F.abs(about - F.col("exact")) <= F.col("exact") * 0.05
+    return counts.united_reactions(sketches, *keys).join(exact, keys).select(
+        *keys, "exact", close.alias("within_5_percent")
+    )
+
+
 @query
 def portfolio_avg_rate(spark: SparkSession, folder: str) -> DataFrame:
     t = TestTables(spark, folder)
@@ -361,6 +379,25 @@ def risk_watchlist(spark: SparkSession, folder: str) -> DataFrame:
     return iso_dates(scoring.ranked(_watchlist(TestTables(spark, folder))))
 
 
+@query
+def risk_watchlist_ranked(spark: SparkSession, folder: str) -> DataFrame:
+    """The watchlist with each entity's place in it."""
+    order = [F.desc_nulls_last("composite_score"), F.asc("drug_id")]
+    slim = _watchlist(TestTables(spark, folder)).select(
+        "drug_id", "drug_name", "composite_score", "signal_flag"
+    )
+    return ranking.with_place(slim, order)
+
+
+@query
+def breakdown_ranked(spark: SparkSession, folder: str) -> DataFrame:
+    """Entities and reactions by number of reports, most first, with places over all of them."""
+    t = TestTables(spark, folder)
+    cells = counts.report_cells(_events(t, "drug_id", "event_date", "reaction"), "drug_id", "reaction")
+    order = [F.desc("report_count"), F.asc("drug_id"), F.asc_nulls_last("reaction")]
+    return ranking.with_place(cells, order)
+
+
 @query
 def watchlist_strict_thresholds(spark: SparkSession, folder: str) -> DataFrame:
     return iso_dates(_watchlist(TestTables(spark, folder), STRICT))
@@ -484,6 +521,32 @@ def quarterly_trend_calendar(spark: SparkSession, folder: str) -> DataFrame:
     return exported_changes(reports.with_quarter_change(cells, calendar=True, series=series))
 
 
+@query
+def quarterly_trend_dense(spark: SparkSession, folder: str) -> DataFrame:
+    """Fatal reports by entity and reaction for every quarter since the first one."""
+    t = TestTables(spark, folder)
+    fatal = _events(t, "drug_id", "event_date", "reaction", "outcome").filter(
+        F.col("outcome") == "Death"
+    )
+    series = ("drug_id", "reaction")
+    cells = fatal.groupBy(*series, "event_year", "event_quarter_num").agg(
+        F.count(F.lit(1)).alias("total_reports")
+    )
+    dense = reports.dense_quarters(cells, SCORING.current_quarter, series, ("total_reports",))
+    return exported_changes(reports.with_quarter_change(dense, series=series))
+
+
+@query
+def trend_wide(spark: SparkSession, folder: str) -> DataFrame:
+    t = TestTables(spark, folder)
+    quarters = SCORING.last_quarters(8)
+    events = _events(t, "drug_id", "event_date", "quarter", quarters=quarters)
+    rollup = counts.report_cells(events, "drug_id", "quarter").withColumnRenamed(
+        "report_count", "total_reports"
+    )
+    return reports.trend_wide(rollup, quarters)
+
+
 @query
 def trend_lines(spark: SparkSession, folder: str) -> DataFrame:
     return reports.trend_lines(_trend(TestTables(spark, folder)))
@@ -564,6 +627,21 @@ def dq_key_audit(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def dq_bitmap_key_audit(spark: SparkSession, folder: str) -> DataFrame:
+    """The same audit by bitmaps; entity and month make one number."""
+    t = TestTables(spark, folder)
+    month = periods.month_start(F.col("year_month"))
+    month_no = F.year(month) * 12 + F.month(month)
+    keyed = {
+        "raw_drugs": (t.entities(), F.col("drug_id")),
+        "raw_adverse_events": (t.events("report_id"), F.col("report_id")),
+        "raw_sales_volume": (t.sales(), F.col("drug_id") * 100_000 + month_no),
+    }
+    audits = [quality.bitmap_key_audit(df, name, key) for name, (df, key) in keyed.items()]
+    return reduce(DataFrame.unionByName, audits)
+
+
 @query
 def dq_null_counts(spark: SparkSession, folder: str) -> DataFrame:
     t = TestTables(spark, folder)

@@ -16,6 +16,7 @@ from tocsin.functions.numeric import round_half_away
 from tocsin.functions.periods import quarter_label, year_month
 from tocsin.operators.joins import join_lookup
 from tocsin.operators.staging import is_serious_outcome
+from tocsin.sources.workspace import written_once
 
 # The make-up of the synthetic data.
 MONTHLY_UNITS = {
@@ -137,10 +138,12 @@ def generate_events(reports: DataFrame, portfolio: DataFrame) -> DataFrame:
     """One event report for each ``report_id``.
 
     An entity with ``novel_reactions`` is a flagged one; one without
-    ``base_reactions`` fails the job.
+    ``base_reactions`` fails the job. The numbered portfolio is written, because
+    it is counted and joined; its size then says how it is joined.
     """
     key = F.col("report_id")
-    size = portfolio.agg(F.count(F.lit(1))).scalar()
+    entities = written_once(numbered(portfolio), "portfolio")
+    size = entities.agg(F.count(F.lit(1))).scalar()
     drawn = reports.select(
         "report_id",
         hash_index(key, SALT_ENTITY, size).alias("entity_no"),
@@ -158,7 +161,7 @@ def generate_events(reports: DataFrame, portfolio: DataFrame) -> DataFrame:
         )
 
     base_reactions = _required(F.col("base_reactions"), "reactions")
-    with_entity = join_lookup(drawn, numbered(portfolio), ["entity_no"]).select(
+    with_entity = join_lookup(drawn, entities, ["entity_no"]).select(
         "report_id", "drug_id", "drug_name", "therapeutic_area",
         F.date_add(
             F.lit(EVENTS_FROM), hash_index(key, SALT_DAY, F.lit(EVENT_DAYS)).cast("int")

@@ -13,8 +13,10 @@ A folder of token files holds
 One document is read with two small reads: its index record and its frame.
 
 Defined results: a null or empty text has the end id alone; rows with a null ``doc_id`` come
-first; rows with equal ``doc_id`` stand side by side, each with a record of its own; an empty
-table gives an empty manifest; other columns are ignored.
+first; rows with equal ``doc_id`` stand side by side in an order that follows from their texts, each
+with a record of its own; very long texts are encoded whole; an empty table gives an empty manifest
+and no rows; other columns are ignored. The dictionary is trained on a sample (``SAMPLE_DOCS``
+documents, ``SAMPLE_BYTES`` of ids of each), which changes how small the files are and no id in them.
 """
 
 from __future__ import annotations
@@ -24,9 +26,11 @@ import os
 import re
 import uuid
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import zstandard
 from pyarrow import fs
@@ -47,13 +51,22 @@ FILE_BYTES = 64 << 20
 WORDS_HELD = 800_000
 #: White space beside a space: there a run of white space must be seen whole.
 RUNS = re.compile(r" \s|\s ")
+#: How the vocabulary writes a space at the start of a token, and new words encoded together.
+SPACE, WORDS_TOGETHER = "\u0120", 2_000
+
+
+def joined(ids: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """Lists of ids as one array, and how long each is."""
+    length = np.fromiter(map(len, ids), np.int64, len(ids))
+    return np.fromiter(chain.from_iterable(ids), np.int32, int(length.sum())), length
 
 
 class ByteBpe:
     """The library's vocabulary with a table of the ids of words met before.
 
     A token crosses no space that stands alone between two words, so each word, with the space
-    before it, is given to the library once.
+    before it, is given to the library once. New words go to it many in one text: there a word
+    begins with the only token in it that begins with a space.
     """
 
     def __init__(self, path: str):
@@ -64,34 +77,63 @@ class ByteBpe:
         special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.marks = regex.compile("|".join(map(regex.escape, special)) or r"(?!)")
         self.known = Table()
+        vocab = self.library.get_vocab()
+        self.spaced = np.zeros(max(vocab.values()) + 1, bool)
+        self.spaced[[i for token, i in vocab.items() if token.startswith(SPACE)]] = True
+
+    def ids(self, texts: list[str]) -> list[list[int]]:
+        return [x.ids for x in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def together(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all words, each behind a space, from one text of them, and how many each has."""
+        [found] = self.ids([" " + " ".join(words)])
+        found = np.array(found, np.int32)
+        starts = np.flatnonzero(self.spaced[found])
+        if len(starts) != len(words):  # an odd character among them: one by one
+            return joined(self.ids([" " + w for w in words]))
+        return found, np.diff(np.append(starts, len(found)))
+
+    def learn(self) -> None:
+        """Give the words that are new in the table their ids."""
+        fresh = self.known.fresh()
+        spaced = np.fromiter((bool(w) and isinstance(w, str) for w in fresh), bool, len(fresh))
+        words = [w for w, s in zip(fresh, spaced) if s]
+        others = [w[0] if isinstance(w, tuple) else " " for w, s in zip(fresh, spaced) if not s]
+        parts = [
+            self.together(words[at : at + WORDS_TOGETHER])
+            for at in range(0, len(words), WORDS_TOGETHER)
+        ]
+        length = np.zeros(len(fresh), np.int64)
+        found, count = joined(self.ids(others))
+        length[~spaced] = count
+        length[spaced] = np.concatenate([n for _, n in parts] or [count[:0]])
+        flat = np.empty(length.sum(), np.int32)
+        of_spaced = np.repeat(spaced, length)
+        flat[~of_spaced] = found
+        flat[of_spaced] = np.concatenate([x for x, _ in parts] or [found[:0]])
+        self.known.add(flat, length)
 
     def encode(self, texts: list[str], end: int) -> list[np.ndarray]:
         if len(self.known) > WORDS_HELD:
             self.known = Table()
-        rows, whole = [], []
-        for text in texts:
-            if RUNS.search(text) or self.marks.search(text):
-                whole.append(text)
-                rows.append(None)
-            else:
-                first, *words = text.split(" ")
-                rows.append(self.known.numbers([(first,), *words]))
-        fresh = self.known.fresh()
-        if fresh:
-            found = self.library.encode_batch_fast(
-                [w[0] if isinstance(w, tuple) else " " + w for w in fresh], add_special_tokens=False
-            )
-            ids = [x.ids for x in found]
-            length = np.fromiter(map(len, ids), np.int64, len(ids))
-            flat = np.fromiter((i for x in ids for i in x), np.int32, int(length.sum()))
-            self.known.add(flat, length)
-        others = iter(self.library.encode_batch_fast(whole, add_special_tokens=False))
+        odd = [bool(RUNS.search(text) or self.marks.search(text)) for text in texts]
+        split = pc.split_pattern(
+            pa.array([t for t, o in zip(texts, odd) if not o], pa.large_string()), " "
+        )
+        offsets, words = split.offsets.to_numpy(), split.values.dictionary_encode()
+        number = self.known.numbers(words.dictionary.to_numpy(zero_copy_only=False))
+        number = number[words.indices.to_numpy()]
+        # The first word of a text has no space before it.
+        first = split.values.take(pa.array(offsets[:-1])).to_pylist()
+        number[offsets[:-1]] = self.known.numbers([(w,) for w in first])
+        self.learn()
+        flat, length = self.known.ids(number)
+        cuts = np.append(0, np.cumsum(length))[offsets]
+        plain = (flat[a:b] for a, b in zip(cuts[:-1], cuts[1:]))
+        whole = iter(self.ids([t for t, o in zip(texts, odd) if o]))
         last = np.array([end], "<u4")
         return [
-            np.concatenate(
-                (np.array(next(others).ids, "<u4") if r is None else self.known.ids(r)[0], last)
-            ).astype("<u4")
-            for r in rows
+            np.concatenate((np.array(next(whole) if o else next(plain), "<u4"), last)) for o in odd
         ]
 
 
@@ -105,9 +147,13 @@ def vocabulary(path: str) -> ByteBpe:
 
 
 def opened(uri: str) -> tuple[fs.FileSystem, str]:
-    """A file system for a path or address that all machines share."""
+    """A file system for a path or address that all machines share.
+
+    Spark's names for S3 (``s3a``, ``s3n``) are Arrow's ``s3``.
+    """
     if "://" not in uri and uri.startswith("file:"):
         uri = uri.removeprefix("file:")
+    uri = re.sub("^s3[an]://", "s3://", uri)
     return fs.FileSystem.from_uri(uri)
 
 
@@ -211,7 +257,10 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end: int) ->
             ["part", "seq", "file", "n_docs", "n_tokens"],
         )
 
-    ordered = docs.repartitionByRange("doc_id").sortWithinPartitions("doc_id")
+    # Texts settle the order of rows with one id, so many of them may be dealt to several tasks.
+    order = ("doc_id", "key", "text")
+    keyed = docs.withColumn("key", F.xxhash64("text"))
+    ordered = keyed.repartitionByRange("doc_id", "key").sortWithinPartitions(*order).drop("key")
     schema = "part long, seq long, file string, n_docs long, n_tokens long"
     ordered.mapInArrow(run, schema).write.parquet(f"{folder}/manifest")
 

@@ -177,3 +177,17 @@ def test_counts_of_a_hot_entity_shuffle_partial_sums(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert re.search(r"Exchange hashpartitioning.*\n.*HashAggregate\(keys=.*partial_count", plan)
     assert df.filter("drug_id = 'E0'").first().report_count > 40000
+
+
+def test_bucketed_trend_moves_no_row(spark):
+    """No join, group or window of the trend shuffles, also where nothing may be broadcast."""
+    limit = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(limit)
+    spark.conf.set(limit, "-1")
+    try:
+        trend = QUERIES["quarterly_trend_bucketed"](spark, FOLDER)
+        plan = trend._jdf.queryExecution().executedPlan().toString()
+        assert trend.count() > 0
+    finally:
+        spark.conf.set(limit, before)
+    assert "SortMergeJoin" in plan and "Window" in plan and "Exchange" not in plan

@@ -73,18 +73,36 @@ def quarterly_trend(
 ) -> DataFrame:
     """Counts, percentages, units and reporting rate per entity and quarter."""
     units = quarterly_sales.select("drug_id", "quarter", "quarterly_units_sold")
+    return trend_figures(describe(rollup.join(units, ["drug_id", "quarter"], "left"), entities))
+
+
+def trend_figures(described: DataFrame) -> DataFrame:
+    """The trend's columns from counts, units and the entity's columns."""
     total = F.col("total_reports")
     sold = F.col("quarterly_units_sold")
-    return (
-        describe(rollup.join(units, ["drug_id", "quarter"], "left"), entities)
-        .withColumns({
-            "serious_pct": round_half_away(ratio(F.col("serious_reports"), total) * 100, 1),
-            "novel_pct": round_half_away(ratio(F.col("novel_reports"), total) * 100, 1),
-            "units_sold": F.coalesce(sold, F.lit(0).cast("bigint")),
-            "reports_per_1k": round_half_away(ratio(total, sold) * 1000, 2),
-        })
-        .select(*TREND_COLUMNS)
+    return described.withColumns({
+        "serious_pct": round_half_away(ratio(F.col("serious_reports"), total) * 100, 1),
+        "novel_pct": round_half_away(ratio(F.col("novel_reports"), total) * 100, 1),
+        "units_sold": F.coalesce(sold, F.lit(0).cast("bigint")),
+        "reports_per_1k": round_half_away(ratio(total, sold) * 1000, 2),
+    }).select(*TREND_COLUMNS)
+
+
+def units_by_entity(quarterly_sales: DataFrame) -> DataFrame:
+    """One row per entity with ``units``, a map from quarter to units; as long as the calendar."""
+    pairs = F.collect_list(F.struct("quarter", "quarterly_units_sold"))
+    return quarterly_sales.groupBy("drug_id").agg(F.map_from_entries(pairs).alias("units"))
+
+
+def trend_by_entity(
+    rollup: DataFrame, entities: DataFrame, quarterly_sales: DataFrame
+) -> DataFrame:
+    """``quarterly_trend`` by joins on the entity alone, for tables that are laid out by it."""
+    sold = F.try_element_at("units", F.col("quarter"))
+    with_units = rollup.join(units_by_entity(quarterly_sales), "drug_id", "left").withColumn(
+        "quarterly_units_sold", sold
     )
+    return trend_figures(describe(with_units, entities))
 
 
 def with_quarter_change(

@@ -23,6 +23,7 @@ from tocsin.operators import (
 from tocsin.plans import batch
 from tocsin.schemas import RAW_DRUGS, RAW_TABLES, required_columns
 from tocsin.sources import files, views
+from tocsin.sources.bucketed import bucketed
 from tocsin.sources.testtables import AS_OF, EVENT_COLUMNS, SCORING, TestTables
 from tocsin.sources.workspace import fresh_path, written_once
 from tocsin.streaming import rollup
@@ -521,6 +522,19 @@ def quarterly_trend_calendar(spark: SparkSession, folder: str) -> DataFrame:
     return exported_changes(reports.with_quarter_change(cells, calendar=True, series=series))
 
 
+@query
+def quarterly_trend_bucketed(spark: SparkSession, folder: str) -> DataFrame:
+    """The trend with changes from counted tables in buckets of the entity."""
+    t = TestTables(spark, folder)
+    events = _events(t, "drug_id", "event_date", "reaction", "is_serious")
+    cells = bucketed(novelty.pair_cells(events), "drug_id", "cells")
+    sales = bucketed(staging.stage_quarterly_sales(t.sales()), "drug_id", "sales")
+    entities = bucketed(t.entities(), "drug_id", "entities")
+    by_quarter = novelty.novel_quarter_rollup(cells, entities)
+    trend = reports.trend_by_entity(by_quarter, entities, sales)
+    return exported_changes(reports.with_quarter_change(trend))
+
+
 @query
 def quarterly_trend_dense(spark: SparkSession, folder: str) -> DataFrame:
     """Fatal reports by entity and reaction for every quarter since the first one."""

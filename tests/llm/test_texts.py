@@ -209,8 +209,8 @@ def test_repeated_words_of_many_numbers():
 
 
 def test_mixing_equals_sql(texts, con):
-    found = mixing.taken(texts, block=16).select(
-        "doc_id", "size", "source_size", "target", "taken"
+    found = mixing.taken(texts).select(
+        "doc_id", "size", "source_size", "target", "taken", "first_slot"
     )
     expected = con.execute(mixing.SQL).fetchall()
     # Equal rows share what their place gives, in either order.
@@ -220,26 +220,47 @@ def test_mixing_equals_sql(texts, con):
     assert mixing.taken(samples.empty(texts.sparkSession)).collect() == []
 
 
-def test_mixing_schedule(texts):
+def test_mixing_follows_its_points(texts):
+    """What a source gives is what the points draw for it, and that is near its target."""
     spans, _, targets = mixing.mixed(texts, block=8)
     goal = {r.source: r for r in targets.collect()}
     rows = spans.collect()
+    whole = sum(t.words for t in goal.values())
+    drawn = Counter()
+    for slot in range(-(-whole // 8)):
+        u = slot * mixing.GOLDEN % 1
+        drawn[next(s for s, t in goal.items() if t.words and t.lo <= float(u) < t.hi)] += 1
     by_source = Counter()
     for r in rows:
         by_source[r.source] += r.words
         assert 0 < r.words <= 8 and r["first"] + r.words <= r["size"]
-    assert by_source == {s: t.words for s, t in goal.items() if t.words}
-    slots = {(r.slot, r.source) for r in rows}
-    assert len({s for s, _ in slots if s < sum(t.words for t in goal.values()) // 8}) > 0
+    assert by_source == {
+        s: min(8 * n, 3 * goal[s].source_size) for s, n in drawn.items() if goal[s].source_size
+    }
+    for source, t in goal.items():
+        assert abs(by_source[source] - t.words) <= 8 * 4
     # Any run of slots holds about each source's share.
-    whole = sum(t.words for t in goal.values())
-    order = [source for _, source in sorted(slots, key=lambda x: x[0])]
+    order = [source for _, source in sorted({(r.slot, r.source) for r in rows}, key=lambda x: x[0])]
     for source, t in goal.items():
         if t.words > 200:
             half = order[: len(order) // 2].count(source) / (len(order) // 2)
             assert abs(half - t.words / whole) < 0.05
 
 
+def test_mixing_many_sources(spark):
+    """More sources than bins, one of them with a third of all words."""
+    docs = spark.range(4000).select(
+        F.col("id").alias("doc_id"), F.repeat(F.lit("a b c d "), 20).alias("text"),
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("s"), F.col("id") % 1500))
+        .alias("source"),
+    )
+    found = mixing.taken(docs, block=4).groupBy("source").agg(
+        F.first("target").alias("target"), F.sum("taken").alias("taken")
+    ).collect()
+    assert len(found) == 1001
+    assert all(abs(r.taken - r.target) <= 4 * 5 for r in found)
+
+
 # --- licences ---------------------------------------------------------------------------------
 
 

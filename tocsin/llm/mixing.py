@@ -4,15 +4,18 @@ The mix is a row of slots of equal size in words. Slot ``i`` takes the point ``i
 the golden ratio's fraction) through the cumulative weights of the sources, which gives its source;
 its rank among that source's slots is the block it takes. A source's documents stand in a shuffled
 order fixed by a hash, one after the other and over again, and are cut into blocks of the same
-size. Slots and blocks meet in a join on source and rank. Slots beyond a source's target fall away,
-and the few that the points leave missing follow at the end, so every source gives its target.
+size. Slots and blocks meet in a join on source and rank.
+
+The points decide how much a source gives: as many blocks as they draw, up to ``most`` times its
+words. As the points are spread evenly, that is its target to within a few blocks.
 
 Ranks and running sums are taken in two steps, over about the square root of all rows each, so a
 source with a third of all documents fills no single task.
 
 Defined results: null and empty texts have size 0 and take nothing; a null source is a source of
-its own, the last; equal rows stand side by side and share what their place gives; an empty table
-gives no rows; other columns are ignored.
+its own, the last; a null ``doc_id`` is hashed as an empty text; equal rows stand side by side and
+share what their place gives; very long texts are cut into blocks like others; an empty table gives
+no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -29,9 +32,10 @@ from pyspark.sql import types as T
 from tocsin.llm.common import Written, byte_values
 
 #: Words in a block, and how often a document may be taken.
-BLOCK_WORDS, MOST_TIMES = 1024, 3
+BLOCK_WORDS, MOST_TIMES = 128, 3
 GOLDEN = Decimal("0.61803398874989484820")
-BINS = 1024
+#: Parts of the unit interval in which points and sources meet; twice the sources if that is more.
+LEAST_BINS = 1024
 HASH_BITS = 60
 
 
@@ -119,27 +123,26 @@ def streams(sizes: DataFrame, held: Written) -> DataFrame:
 
 
 def schedule(targets: DataFrame, held: Written, block: int) -> DataFrame:
-    """``slot``, ``source`` and ``rank``: the blocks of the mix in its order."""
-    total = targets.agg(F.sum("words")).first()[0] or 0
-    slots = -(-total // block)
+    """``slot``, ``source`` and ``rank``: the blocks of the mix in its order, as the points fall."""
+    found = targets.agg(F.sum("words").alias("words"), F.count("*").alias("sources")).first()
+    slots, bins = -(-(found.words or 0) // block), max(LEAST_BINS, 2 * found.sources)
     spark = targets.sparkSession
     point = F.col("slot").cast("decimal(18,0)") * F.lit(GOLDEN)
     points = (
         spark.range(slots).withColumnRenamed("id", "slot")
         .withColumn("u", (point - F.floor(point)).cast("double"))
-        .withColumn("bin", F.floor(F.col("u") * BINS))
+        .withColumn("bin", F.floor(F.col("u") * bins))
     )
     # A source stands in every bin that its interval meets, so the join needs no range.
+    first = F.floor(F.col("lo") * bins)
+    last = F.least(F.floor(F.col("hi") * bins), F.lit(bins - 1))
     wide = targets.where("words > 0").select(
-        "source", "lo", "hi", F.ceil(F.col("words") / block).alias("need"),
-        F.explode(
-            F.sequence(F.floor(F.col("lo") * BINS), F.least(F.floor(F.col("hi") * BINS), F.lit(BINS - 1)))
-        ).alias("bin"),
+        "source", "lo", "hi", F.explode(F.sequence(first, last)).alias("bin")
     )
     drawn = held.table(
         points.join(wide, "bin")
         .where((F.col("u") >= F.col("lo")) & (F.col("u") < F.col("hi")))
-        .select("slot", "source", "need", F.floor(F.col("slot") / max(1, math.isqrt(slots))).alias("run"))
+        .select("slot", "source", F.floor(F.col("slot") / max(1, math.isqrt(slots))).alias("run"))
     )
     before = Window.partitionBy("source").orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
     counts = drawn.groupBy("source", "run").agg(F.count("*").alias("n"))
@@ -149,24 +152,9 @@ def schedule(targets: DataFrame, held: Written, block: int) -> DataFrame:
     within = Window.partitionBy("source", "run").orderBy("slot")
     local = held.table(drawn.withColumn("local", F.row_number().over(within) - 1))
     on = same(F.col("source"), F.col("s")) & (F.col("run") == F.col("r"))
-    ranked = (
-        local.join(base, on)
-        .withColumn("rank", F.col("local") + F.col("base"))
-        .where(F.col("rank") < F.col("need"))
-        .select("slot", "source", "rank")
-    )
-    have = drawn.groupBy("source").agg(F.count("*").alias("have")).withColumnRenamed("source", "s")
-    need = targets.where("words > 0").select(
-        "source", F.ceil(F.col("words") / block).alias("need")
-    )
-    missing = (
-        need.join(have, same(F.col("source"), F.col("s")), "left")
-        .withColumn("have", F.coalesce("have", F.lit(0)))
-        .where("have < need")
-        .select("source", F.explode(F.sequence("have", F.col("need") - 1)).alias("rank"))
-        .select((F.lit(slots) + F.col("rank")).alias("slot"), "source", "rank")
+    return local.join(base, on).select(
+        "slot", "source", (F.col("local") + F.col("base")).alias("rank")
     )
-    return ranked.unionByName(missing)
 
 
 def sized(docs: DataFrame) -> DataFrame:
@@ -180,14 +168,18 @@ def mixed(
 
     ``rows`` are all documents in their source's order (``source``, ``bucket``, ``row`` name one),
     ``spans`` the parts of documents that each slot takes: ``slot``, ``source``, ``rank``,
-    ``bucket``, ``row``, ``doc_id``, ``words`` and ``first``, the place of the span's first word in
-    the document.
+    ``bucket``, ``row``, ``doc_id``, ``times`` (how often the source was gone through before),
+    ``words`` and ``first``, the place of the span's first word in the document.
     """
     held = Written(docs.sparkSession, "mixing")
     sizes = held.table(sized(docs))
     targets = held.table(source_targets(sizes, weight, most))
     rows = held.table(streams(sizes, held))
-    goal = targets.select(F.col("source").alias("s"), "source_size", F.col("words").alias("goal"))
+    slots = held.table(schedule(targets, held, block)).withColumnRenamed("source", "s")
+    drawn = slots.groupBy("s").agg((F.count("*") * block).alias("drawn"))
+    goal = targets.join(drawn, same(F.col("source"), F.col("s"))).select(
+        "s", "source_size", F.least("drawn", most * F.col("source_size")).alias("goal")
+    )
     known = rows.where("size > 0").join(goal, same(F.col("source"), F.col("s"))).drop("s")
     # Every time the source is gone through, a document stands at another place.
     times = F.explode(F.sequence(F.lit(0), F.lit(most - 1)))
@@ -200,13 +192,12 @@ def mixed(
     first_block = F.floor(F.col("at") / block)
     last_block = F.floor((F.col("end") - 1) / block)
     parts = placed.withColumn("block", F.explode(F.sequence(first_block, last_block)))
-    slots = schedule(targets, held, block).withColumnRenamed("source", "s")
     begin = F.greatest(F.col("at"), F.col("block") * block)
     stop = F.least(F.col("end"), (F.col("block") + 1) * block)
     spans = parts.join(
         slots, same(F.col("source"), F.col("s")) & (F.col("block") == F.col("rank"))
     ).select(
-        "slot", "source", "rank", "bucket", "row", "doc_id", "size",
+        "slot", "source", "rank", "bucket", "row", "doc_id", "size", "times",
         (stop - begin).alias("words"), (begin - F.col("at")).alias("first"),
     )
     return spans, rows, targets
@@ -214,14 +205,21 @@ def mixed(
 
 def taken(docs: DataFrame, **options) -> DataFrame:
     """Every row's ``doc_id``, ``source``, ``size`` and ``taken``, the words the mix takes of it,
-    with ``source_size`` and ``target`` of its source."""
+    with ``source_size`` and ``target`` of its source. ``first_slot`` is the slot that takes it
+    first, and ``slots`` has that of each time the mix goes through it."""
     spans, rows, targets = mixed(docs, **options)
     columns = ["source", "bucket", "row", "doc_id", "size"]
+    none = F.lit(None).cast("long")
     each = (
-        spans.select(*columns, "words")
-        .unionByName(rows.select(*columns, F.lit(0).cast("long").alias("words")))
+        spans.groupBy(*columns, "times")
+        .agg(F.sum("words").alias("words"), F.min("slot").alias("slot"))
+        .drop("times")
+        .unionByName(rows.select(*columns, F.lit(0).cast("long").alias("words"), none.alias("slot")))
         .groupBy(*columns)
-        .agg(F.sum("words").alias("taken"))
+        .agg(
+            F.sum("words").alias("taken"), F.min("slot").alias("first_slot"),
+            F.sort_array(F.collect_list("slot")).alias("slots"),
+        )
     )
     goal = targets.select(F.col("source").alias("s"), "source_size", "target")
     return each.join(goal, same(F.col("source"), F.col("s"))).drop("s", "bucket", "row")
@@ -252,15 +250,36 @@ WITH sizes AS (
            * ((total - coalesce(sum(cap) FILTER (is_capped) OVER (), 0))::DOUBLE
               / sum(weight::DOUBLE) FILTER (NOT is_capped) OVER ()) END AS target
     FROM settled
+), shares AS (
+    SELECT *, round(target)::BIGINT AS words,
+           sum(round(target)::BIGINT) OVER (ORDER BY source NULLS LAST)::DOUBLE
+               / sum(round(target)::BIGINT) OVER ()::DOUBLE AS hi
+    FROM targets
+), intervals AS (
+    SELECT *, coalesce(lag(hi) OVER (ORDER BY source NULLS LAST), 0) AS lo FROM shares
+), points AS (
+    SELECT slot, (p - floor(p))::DOUBLE AS u FROM (
+        SELECT slot, slot::DECIMAL(18,0) * 0.61803398874989484820::DECIMAL(20,20) AS p
+        FROM (SELECT unnest(range((SELECT (sum(words) + {BLOCK_WORDS - 1}) // {BLOCK_WORDS}
+                                   FROM shares)::BIGINT)) AS slot))
+), drawn AS (
+    SELECT slot, source, row_number() OVER (PARTITION BY source ORDER BY slot) - 1 AS rank
+    FROM points JOIN intervals ON u >= lo AND u < hi AND words > 0
+), goals AS (
+    SELECT t.*, least(3 * source_size, {BLOCK_WORDS} * coalesce(n, 0))::BIGINT AS goal
+    FROM targets t LEFT JOIN (SELECT source, count(*) AS n FROM drawn GROUP BY source) d
+        ON d.source IS NOT DISTINCT FROM t.source
 ), placed AS (
-    SELECT d.doc_id, d.size, t.source_size, t.target, round(t.target)::BIGINT AS goal,
+    SELECT d.doc_id, d.source, d.size, t.source_size, t.target, t.goal,
            (sum(d.size) OVER (PARTITION BY d.source ORDER BY d.place, d.doc_id, d.size
                               ROWS UNBOUNDED PRECEDING) - d.size)::BIGINT AS start
-    FROM sizes d JOIN targets t ON t.source IS NOT DISTINCT FROM d.source
+    FROM sizes d JOIN goals t ON t.source IS NOT DISTINCT FROM d.source
 )
 SELECT doc_id, size, source_size, target,
        CASE WHEN size = 0 THEN 0
             ELSE (goal // source_size) * size
-                 + greatest(0, least(size, goal % source_size - start)) END::BIGINT AS taken
-FROM placed
+                 + greatest(0, least(size, goal % source_size - start)) END::BIGINT AS taken,
+       slot AS first_slot
+FROM placed LEFT JOIN drawn ON drawn.source IS NOT DISTINCT FROM placed.source
+    AND size > 0 AND start < goal AND rank = start // {BLOCK_WORDS}
 """

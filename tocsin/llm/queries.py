@@ -66,7 +66,7 @@ def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op3_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.taken(documents(spark, folder)).select(
-        "doc_id", "size", "source_size", "target", "taken"
+        "doc_id", "size", "source_size", "target", "taken", "first_slot"
     )
 
 

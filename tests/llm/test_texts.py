@@ -109,6 +109,33 @@ def test_token_files_round_trip(spark, texts, monkeypatch):
     assert one.tobytes() == next(bytes(r.ids) for r in found if r.start == start)
 
 
+def test_token_files_under_any_partitioning(spark, monkeypatch):
+    """Many rows of one id keep one order, whatever tasks they come from and go to."""
+    monkeypatch.setattr(token_files, "FILE_BYTES", 500)
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    docs = spark.range(120).select(
+        F.when(F.col("id") % 3 > 0, F.col("id") % 2).alias("doc_id"),
+        F.concat(F.lit("a text with number "), (F.col("id") * 37 % 80).cast("string")).alias("text"),
+    )
+    found = []
+    for some in (docs.repartition(7), docs.coalesce(1)):
+        folder = fresh_path(spark, "tokens")
+        token_files.write_token_files(some, folder, path, 2)
+        found.append(token_files.read_token_files(spark, folder).orderBy("start").collect())
+    assert found[0] == found[1] and len(found[0]) == 120
+
+
+def test_new_words_together_equal_the_library():
+    bpe_ = token_files.ByteBpe(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = [
+        "Hi there\nYou  two", "a b c", " lead", "trail ", "", " ", "x\ty z\x85w", "it's we'll 3rd", "é\xa0ö ü",
+        "one\n\ntwo three", "<|endoftext|> mark", "tab\t end", "Ġ odd Ġword", "\u2028 line sep",
+    ]
+    expected = [x.ids + [2] for x in bpe_.library.encode_batch_fast(texts, add_special_tokens=False)]
+    for _ in range(2):
+        assert [x.tolist() for x in bpe_.encode(texts, 2)] == expected
+
+
 def test_token_files_of_nothing(spark):
     folder = fresh_path(spark, "test-token-files")
     path = public_tokenizers.path(BYTE_VOCABULARY)

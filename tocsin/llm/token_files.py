@@ -301,7 +301,8 @@ def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
                             ["doc_id", "start", "ids"],
                         )
 
-    spread = files.repartition("file").select("file", "start")
+    # A number of partitions of its own: rows this small would else be merged into one task.
+    spread = files.repartition(max(1, files.count()), "file").select("file", "start")
     return spread.mapInArrow(run, "doc_id long, start long, ids binary")
 
 

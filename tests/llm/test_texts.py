@@ -361,6 +361,48 @@ def test_licences_inside_longer_lines(spark, licence_model):
     assert first.paragraph == 1
 
 
+GRANT = (
+    "Redistribution and use in source and binary forms, with or without\n# modification, are "
+    "permitted provided that the following conditions\n# are met:"
+)
+
+
+@pytest.mark.parametrize(
+    "text, families",
+    [
+        ("Licensed under the Apache License,\nVersion 2.0.", ["Apache-2.0"]),
+        ("Licensed under the Apache\nLicense, Version 2.0.", ["Apache-2.0"]),
+        ("/*\n * Licensed under the Apache\n * License, Version 1.1.\n */", ["Apache-1.1"]),
+        ("// This work is licensed under a Creative Commons\n// Attribution-NonCommercial 4.0 "
+         "International\n// License.", ["CC-BY-NC"]),
+        ("# under the terms of the GNU General Public License as published by\n# the Free "
+         "Software Foundation, either version 2 of the License, or\n# any later version.",
+         ["GPL-2.0"]),
+        ("Licensed under the Apache License.", []),
+        ("Licensed under the Apache License,\n\nVersion 2.0.", []),
+        ("Copyright (c) 2015, Jane Doe. All rights reserved.\n\n# " + GRANT, ["BSD"]),
+        ("# Copyright 2015 Jane Doe.\n# All rights reserved.", ["Proprietary"]),
+        ("All rights reserved.\n\n" + GRANT, ["BSD", "Proprietary"]),
+        ("# SPDX-License-Identifier: MIT", ["MIT"]),
+        ("code\n// SPDX-License-Identifier: GPL-2.0-or-later\nmore", ["GPL-2.0"]),
+        ("SPDX-License-Identifier: Nothing-1.0", []),
+        ("Licensed under the MIT license.", ["MIT"]),
+        ("This file is distributed under the terms of the ISC\nLicense.", ["ISC"]),
+        ("Licensed under CC BY-ND 4.0.\nReleased under CC BY-NC-SA 4.0.",
+         ["CC-BY-NC-SA", "CC-BY-ND"]),
+        ("Released under the Unlicense.", ["Unlicense"]),
+        ("This program and the accompanying materials are made\navailable under the terms of the "
+         "Eclipse Public License 2.0", ["EPL-2.0"]),
+    ],
+)
+def test_wrapped_notices_and_copyright_lines(licence_model, text, families):
+    rng = random.Random(5)
+    around = [samples.prose(rng, 30), samples.prose(rng, 40)]
+    for whole in (text, f"{around[0]}\n\n{text}\n\n{around[1]}"):
+        found = licences.notices_of(whole, licence_model, licences.KnownWords())
+        assert sorted({s[2] for s in found}) == families, whole
+
+
 def test_versions_and_kinds_of_licences_differ(licence_model):
     gnu = "This work is licensed under the GNU {}General Public License, version {}."
     own, differ = "Licensed under the Apache License, Version {}.", licences.UNKNOWN

@@ -1,22 +1,28 @@
 """Licence scan: a trained paragraph classifier, confirmed by templates.
 
-A paragraph is a line. Its words and word pairs are the sparse features of a multinomial logistic
-regression over licence families and ``unknown``. It is trained on pieces of licence templates
+A paragraph is a run of lines that hold a word: a blank line or one of comment marks alone ends it,
+and comment marks are no words, so a notice that is wrapped over lines reads as one. Its words and
+word pairs are the sparse features of a multinomial logistic regression over licence families and
+``unknown``. It is trained on pieces of licence templates
 (whole, cut, with words changed) and, as unknown, on a bounded sample of the corpus's own
 paragraphs and on template words in random order. Probabilities are calibrated on held-out
 pieces by one temperature, and the least probability of a family is set so that held-out unknown
 paragraphs stay unknown. A prediction stands only if a template of that family contains most of the
 paragraph's word triples (the whole sequence for shorter ones), or the paragraph most of a
-template's, and if no word that sets families apart (a version, Lesser, Affero, NC, SA) stands in
-one of them where the other has a different word.
+template's, if the words that set the template's family apart (a version, Lesser, Affero, NC, SA)
+stand in it, and if none of them stands in one of the two where the other has a different word. So
+"Licensed under the Apache License" without a version has no family.
 
-A paragraph is classified as a whole, and so are its sentences and the places where most of a
-template stands, so a notice inside a long line is found as if it stood alone. Only paragraphs
-that share no word triple with any template are passed over: none of them can be confirmed.
+A paragraph is classified as a whole, and so are its sentences, the lines that hold most of a
+template, and the places where most of one stands, so a notice inside a long line is found as if it
+stood alone. Only paragraphs that share no word triple with any template are passed over: none of
+them can be confirmed. "All rights reserved" in a copyright line counts as proprietary only in
+documents without any other notice.
 
 Defined results: null and empty texts have no licence; equal texts get equal results; families of a
 document are listed once, in alphabetical order; an empty table gives no rows and the classifier
-then knows no unknown paragraph but shuffled ones; other columns are ignored.
+then knows no unknown paragraph but shuffled ones; other columns are ignored. Rows keep their
+``doc_id``, null too, and repeated rows are scanned each; very long texts are read whole.
 """
 
 from __future__ import annotations
@@ -43,15 +49,21 @@ SAMPLE_BYTES = 16 << 20
 VARIANTS, LEAST_SIMILAR = 24, 0.8
 TRIPLE = 3
 UNKNOWN = "unknown"
-WORDS = re.compile(r"[^\W_]+(?:[.'-][^\W_]+)*")
+#: The tag of a licence identifier is three words.
+WORDS = re.compile(r"spdx(?=-license)|license(?=-identifier)|[^\W_]+(?:[.'-][^\W_]+)*")
 ZEROS = re.compile(r"(?<=\d)(?:\.0)+$")
 SENTENCES = re.compile(r"(?<=[.!?:;])\s+")
+LINE_ENDS = re.compile(r"\n")
+RIGHTS = "Proprietary"
+RESERVED = re.compile(r"\ball\s+rights\s+reserved\b", re.I)
+COPYRIGHT = re.compile(r"\bcopyright\b|\(c\)|\u00a9", re.I)
+CONFIDENTIAL = re.compile(r"\bconfidential\b", re.I)
 #: A template may stand in up to so many times its own words.
 WINDOW = 2
 CHUNKS_HELD = 800_000
 
 # Sentences by which the families name themselves.
-TEMPLATES = {
+SENTENCES_OF = {
     "AGPL-3.0": [
         "This work is licensed under the GNU Affero General Public License, version 3.",
         "under the terms of the GNU Affero General Public License as published by the Free "
@@ -73,11 +85,21 @@ TEMPLATES = {
         "Licensed under CC BY 4.0.",
         "This work is licensed under a Creative Commons Attribution 4.0 International License.",
     ],
+    "CC-BY-ND": [
+        "Licensed under CC BY-ND 4.0.",
+        "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 "
+        "International License.",
+    ],
     "CC-BY-NC": [
         "Licensed under CC BY-NC 4.0.",
         "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 "
         "International License.",
     ],
+    "CC-BY-NC-SA": [
+        "Licensed under CC BY-NC-SA 4.0.",
+        "This work is licensed under a Creative Commons "
+        "Attribution-NonCommercial-ShareAlike 4.0 International License.",
+    ],
     "CC-BY-SA": [
         "Licensed under CC BY-SA 4.0.",
         "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International "
@@ -88,6 +110,11 @@ TEMPLATES = {
         "To the extent possible under law, the author has waived all copyright and related or "
         "neighboring rights to this work.",
     ],
+    "EPL-2.0": [
+        "This program and the accompanying materials are made available under the terms of the "
+        "Eclipse Public License 2.0",
+        "which is available at https://www.eclipse.org/legal/epl-2.0",
+    ],
     "GPL-2.0": [
         "This work is licensed under the GNU General Public License, version 2.",
         "under the terms of the GNU General Public License as published by the Free Software "
@@ -98,6 +125,11 @@ TEMPLATES = {
         "under the terms of the GNU General Public License as published by the Free Software "
         "Foundation, either version 3 of the License, or any later version.",
     ],
+    "ISC": [
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or "
+        "without fee is hereby granted, provided that the above copyright notice and this "
+        "permission notice appear in all copies.",
+    ],
     "LGPL-2.1": [
         "This work is licensed under the GNU Lesser General Public License, version 2.1.",
         "under the terms of the GNU Lesser General Public License as published by the Free "
@@ -121,6 +153,70 @@ TEMPLATES = {
         "Licensed under the Mozilla Public License, version 2.0.",
     ],
     "Proprietary": ["All rights reserved.", "Confidential and proprietary. Do not distribute."],
+    "Unlicense": [
+        "This is free and unencumbered software released into the public domain.",
+        "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software",
+    ],
+}
+
+# Names of the families in short notices.
+NAMES = {
+    "AGPL-3.0": ["the GNU Affero General Public License v3.0", "the AGPLv3"],
+    "Apache-1.1": ["the Apache License, Version 1.1"],
+    "Apache-2.0": ["the Apache License, Version 2.0", "the Apache License 2.0",
+                   "the Apache 2.0 License"],
+    "BSD": ["the BSD License", "the 2-Clause BSD License", "the 3-Clause BSD License"],
+    "CC-BY": ["CC BY 4.0", "CC BY"],
+    "CC-BY-NC": ["CC BY-NC 4.0", "CC BY-NC"],
+    "CC-BY-NC-SA": ["CC BY-NC-SA 4.0", "CC BY-NC-SA"],
+    "CC-BY-ND": ["CC BY-ND 4.0", "CC BY-ND"],
+    "CC-BY-SA": ["CC BY-SA 4.0", "CC BY-SA"],
+    "EPL-2.0": ["the Eclipse Public License 2.0", "the Eclipse Public License, version 2.0"],
+    "GPL-2.0": ["the GNU General Public License, version 2", "the GNU General Public License v2.0",
+                "the GPLv2"],
+    "GPL-3.0": ["the GNU General Public License, version 3", "the GNU General Public License v3.0",
+                "the GPLv3"],
+    "ISC": ["the ISC License"],
+    "LGPL-2.1": ["the GNU Lesser General Public License, version 2.1", "the LGPLv2.1"],
+    "LGPL-3.0": ["the GNU Lesser General Public License, version 3", "the LGPLv3"],
+    "MIT": ["the MIT License"],
+    "MPL-1.1": ["the Mozilla Public License, version 1.1"],
+    "MPL-2.0": ["the Mozilla Public License, version 2.0", "the Mozilla Public License 2.0"],
+    "Unlicense": ["the Unlicense"],
+}
+FORMS = ("Licensed under {}.", "Released under {}.", "Distributed under the terms of {}.")
+
+# Licence identifiers that are not the family's own name.
+IDENTIFIERS = {
+    "AGPL-3.0": ["AGPL-3.0-only", "AGPL-3.0-or-later"],
+    "BSD": ["BSD-2-Clause", "BSD-3-Clause"],
+    "CC-BY": ["CC-BY-4.0"],
+    "CC-BY-NC": ["CC-BY-NC-4.0"],
+    "CC-BY-NC-SA": ["CC-BY-NC-SA-4.0"],
+    "CC-BY-ND": ["CC-BY-ND-4.0"],
+    "CC-BY-SA": ["CC-BY-SA-4.0"],
+    "CC0": ["CC0-1.0"],
+    "GPL-2.0": ["GPL-2.0-only", "GPL-2.0-or-later"],
+    "GPL-3.0": ["GPL-3.0-only", "GPL-3.0-or-later"],
+    "LGPL-2.1": ["LGPL-2.1-only", "LGPL-2.1-or-later"],
+    "LGPL-3.0": ["LGPL-3.0-only", "LGPL-3.0-or-later"],
+}
+OWN_NAME = ("AGPL-3.0", "Apache-1.1", "Apache-2.0", "EPL-2.0", "GPL-2.0", "GPL-3.0", "ISC",
+            "LGPL-2.1", "LGPL-3.0", "MIT", "MPL-1.1", "MPL-2.0", "Unlicense")
+
+
+def templates_of(family: str) -> list[str]:
+    """Its sentences, its names in short notices, and its tags."""
+    tags = [*([family] if family in OWN_NAME else []), *IDENTIFIERS.get(family, [])]
+    return list(dict.fromkeys([
+        *SENTENCES_OF.get(family, []),
+        *(form.format(name) for name in NAMES.get(family, []) for form in FORMS),
+        *(f"SPDX-License-Identifier: {tag}" for tag in tags),
+    ]))
+
+
+TEMPLATES = {
+    family: templates_of(family) for family in sorted({*SENTENCES_OF, *NAMES, *IDENTIFIERS})
 }
 
 
@@ -157,6 +253,12 @@ def followers(words: list[str]) -> dict[tuple[str, str], set[str]]:
     return found
 
 
+def keys_of(words: list[str]) -> tuple[frozenset[str], frozenset[str]]:
+    """The words that set families apart, and those that hold a number."""
+    apart = frozenset(w for w in words if APART.fullmatch(w))
+    return apart, frozenset(w for w in words if any(map(str.isdigit, w))) - apart
+
+
 def differs(some: dict, template: dict, family: str) -> bool:
     """Whether a pair of both is followed by other words here and there, of which one sets
     families apart."""
@@ -216,12 +318,13 @@ class LicenceModel:
         z = np.exp(z - z.max())
         return z / z.sum()
 
-    def family(self, words: list[str]) -> tuple[str, float]:
-        """The confirmed family of a paragraph, or unknown, and the probability."""
+    def family(self, words: list[str], all_of_it: bool = False) -> tuple[str, float]:
+        """The confirmed family of a paragraph, or unknown, and the probability. ``all_of_it``:
+        the paragraph must hold most of a template, a part of one is not enough."""
         p = self.probabilities(words)
         best = int(p.argmax())
         name = self.families[best]
-        if name == UNKNOWN or p[best] < self.least or not confirmed(words, name):
+        if name == UNKNOWN or p[best] < self.least or not confirmed(words, name, all_of_it):
             return UNKNOWN, float(p[self.families.index(UNKNOWN)])
         return name, float(p[best])
 
@@ -232,6 +335,9 @@ TEMPLATE_TRIPLES = {
 TEMPLATE_FOLLOWERS = {
     family: [followers(words_of(t)) for t in templates] for family, templates in TEMPLATES.items()
 }
+TEMPLATE_KEYS = {
+    family: [keys_of(words_of(t)) for t in templates] for family, templates in TEMPLATES.items()
+}
 TEMPLATE_WORDS = frozenset(w for of in TEMPLATES.values() for t in of for w in words_of(t))
 KNOWN_TRIPLES = frozenset(x for of in TEMPLATE_TRIPLES.values() for t in of for x in t)
 #: The place of each of a template's triples in it.
@@ -241,14 +347,18 @@ PLACES = [
 ]
 
 
-def confirmed(words: list[str], family: str) -> bool:
-    """Whether a template holds most of the paragraph's triples, or the paragraph a template's,
-    and no word that sets families apart differs."""
-    own = triples(words)
+def confirmed(words: list[str], family: str, all_of_it: bool = False) -> bool:
+    """Whether a template holds most of the paragraph's triples (not if ``all_of_it``), or the
+    paragraph a template's, the words that set families apart are there, and none of them differs."""
+    own, known = triples(words), frozenset(words)
     alike = [
         after
-        for t, after in zip(TEMPLATE_TRIPLES[family], TEMPLATE_FOLLOWERS[family])
-        if len(own & t) >= LEAST_SIMILAR * min(len(own), len(t)) and own & t
+        for t, after, (apart, numbers) in zip(
+            TEMPLATE_TRIPLES[family], TEMPLATE_FOLLOWERS[family], TEMPLATE_KEYS[family]
+        )
+        if own & t
+        and len(own & t) >= LEAST_SIMILAR * (len(t) if all_of_it else min(len(own), len(t)))
+        and apart <= known and (not numbers or numbers & known)
     ]
     follows = followers(words) if alike else {}
     return any(not differs(follows, after, family) for after in alike)
@@ -258,6 +368,11 @@ def shares_triple(words: list[str]) -> bool:
     return not KNOWN_TRIPLES.isdisjoint(zip(words, words[1:], words[2:]))
 
 
+def mostly_template(words: list[str]) -> bool:
+    own = triples(words)
+    return len(own & KNOWN_TRIPLES) >= LEAST_SIMILAR * len(own)
+
+
 def windows(words: list[str]) -> list[tuple[int, int]]:
     """Places (first word, word after the last) that hold most of a template's triples.
 
@@ -266,9 +381,10 @@ def windows(words: list[str]) -> list[tuple[int, int]]:
     the template goes on at either end, the place does so by as many words.
     """
     own = list(zip(words, words[1:], words[2:]))
+    shared = [i for i, x in enumerate(own) if x in KNOWN_TRIPLES]
     found = set()
     for template in PLACES:
-        at = [i for i, x in enumerate(own) if x in template]
+        at = [i for i in shared if own[i] in template]
         most = WINDOW * (len(template) + TRIPLE - 1)
         here, best = [], (0, 0, 0)  # triples, the first one's place, the last one's
         for k, first in enumerate(at):
@@ -294,37 +410,45 @@ def windows(words: list[str]) -> list[tuple[int, int]]:
     return sorted(found)
 
 
-def notices(line: str, model: LicenceModel) -> list[tuple[int, int, str, float]]:
-    """The confirmed notices in a line: start and stop in code points, family and probability.
+def parts_of(text: str, ends: re.Pattern) -> list[tuple[int, int, list[str]]]:
+    """Start, stop and words of what stands between the ends and may be a notice."""
+    found, start = [], 0
+    for stop, after in [*((m.start(), m.end()) for m in ends.finditer(text)), (len(text), 0)]:
+        own = words_of(text[start:stop])
+        if shares_triple(own):
+            found.append((start, stop, own))
+        start = after
+    return found
+
 
-    The line and its sentences come first where they are little else than template, then the places
-    of templates, then what else the line and its sentences give as wholes; a part counts if its
-    family is not yet found where it stands.
+def notices(paragraph: str, model: LicenceModel) -> list[tuple[int, int, str, float]]:
+    """The confirmed notices in a paragraph: start and stop in code points, family, probability.
+
+    Lines that are a template and little else come first, then the paragraph and its sentences of
+    that kind, then the places of templates, then what else the paragraph and its sentences give as
+    wholes; a part counts if its family is not yet found where it stands.
     """
-    lower = line.lower()
+    lower = paragraph.lower()
     spots = [m.span() for m in WORDS.finditer(lower)]
     words = [whole_version(lower[a:b]) for a, b in spots]
     if not shares_triple(words):
         return []
-    if len(lower) != len(line):  # a letter that has two in lower case
-        old = [i for i, x in enumerate(line) for _ in x.lower()]
+    if len(lower) != len(paragraph):  # a letter that has two in lower case
+        old = [i for i, x in enumerate(paragraph) for _ in x.lower()]
         spots = [(old[a], old[b - 1] + 1) for a, b in spots]
-    wholes = [(0, len(line), words)]
-    ends = [(m.start(), m.end()) for m in SENTENCES.finditer(line)]
-    if ends:
-        starts, stops = [0, *(b for _, b in ends)], [*(a for a, _ in ends), len(line)]
-        for a, b in zip(starts, stops):
-            own = words_of(line[a:b])
-            if shares_triple(own):
-                wholes.append((a, b, own))
+    own_lines = parts_of(paragraph, LINE_ENDS) if "\n" in paragraph else []
+    lines = [part for part in own_lines if mostly_template(part[2])]
+    wholes = [(0, len(paragraph), words)]
+    if SENTENCES.search(paragraph):
+        wholes += parts_of(paragraph, SENTENCES)
     places = [(spots[a][0], spots[b - 1][1], words[a:b]) for a, b in windows(words)]
     mostly, others = [], []
     for part in wholes:
-        own = triples(part[2])
-        (mostly if len(own & KNOWN_TRIPLES) >= LEAST_SIMILAR * len(own) else others).append(part)
+        (mostly if mostly_template(part[2]) else others).append(part)
     found: list[tuple[int, int, str, float]] = []
-    for start, stop, own in [*mostly, *places, *others]:
-        family, p = model.family(own)
+    parts = [(lines, True), (mostly, False), (places, False), (others, False)]
+    for (start, stop, own), all_of_it in ((x, alone) for of, alone in parts for x in of):
+        family, p = model.family(own, all_of_it)
         if family != UNKNOWN and not any(
             f == family and a < stop and start < b for a, b, f, _ in found
         ):
@@ -332,6 +456,53 @@ def notices(line: str, model: LicenceModel) -> list[tuple[int, int, str, float]]
     return sorted(found)
 
 
+def paragraphs(text: str) -> Iterator[tuple[int, str]]:
+    """Runs of lines that hold a word, and where they start."""
+    start = at = stop = 0
+    for line in text.split("\n"):
+        if not WORDS.search(line):
+            if stop > start:
+                yield start, text[start:stop]
+            start = at + len(line) + 1
+        else:
+            stop = at + len(line)
+        at += len(line) + 1
+    if stop > start:
+        yield start, text[start:stop]
+
+
+def copyright_line(text: str, start: int, stop: int) -> bool:
+    """Whether a place is "all rights reserved" in a line that names a holder of rights."""
+    if not RESERVED.search(text[start:stop]) or CONFIDENTIAL.search(text[start:stop]):
+        return False
+    reserved = start + RESERVED.search(text[start:stop]).start()
+    line = text[text.rfind("\n", 0, reserved) + 1 : reserved]
+    return COPYRIGHT.search(line) is not None
+
+
+def notices_of(text: str, model: LicenceModel, known: KnownWords) -> list[tuple]:
+    """All notices of a text, with the number of the line in which each starts."""
+    found = []
+    if not known.may_share(text):
+        return found
+    line = at = 0
+    for begin, paragraph in paragraphs(text):
+        if not known.may_share(paragraph):
+            continue
+        for start, stop, family, p in notices(paragraph, model):
+            # A part may begin with white space; its first word tells the line.
+            first = begin + start + WORDS.search(paragraph[start:stop].lower()).start()
+            if first >= at:
+                line += text.count("\n", at, first)
+            else:
+                line -= text.count("\n", first, at)
+            at = first
+            found.append((begin + start, begin + stop, family, p, line))
+    if any(s[2] != RIGHTS for s in found):
+        return [s for s in found if s[2] != RIGHTS or not copyright_line(text, s[0], s[1])]
+    return found
+
+
 def corpus_paragraphs(docs: DataFrame) -> list[str]:
     """A sample bounded in rows and bytes: of documents chosen by a hash, the whole paragraph in
     the middle."""
@@ -420,8 +591,8 @@ class KnownWords(dict):
 
 def scanned(docs: DataFrame, model: LicenceModel) -> DataFrame:
     """``doc_id``, ``licences`` (families in alphabetical order) and ``spans``: each confirmed
-    notice's place in code points, its family, its calibrated probability and the number of its
-    paragraph, from 0 on."""
+    notice's place in code points, its family, its calibrated probability and, as ``paragraph``, the
+    number of the line in which it starts, from 0 on."""
     span = pa.struct(
         [
             ("start", pa.int64()), ("stop", pa.int64()), ("family", pa.string()),
@@ -433,18 +604,7 @@ def scanned(docs: DataFrame, model: LicenceModel) -> DataFrame:
         known = KnownWords()
         for batch in batches:
             for part in slices(batch, 1):
-                spans = []
-                for text in part.column(1).to_pylist():
-                    at, found = 0, []
-                    lines = text.split("\n") if known.may_share(text) else []
-                    for number, line in enumerate(lines):
-                        if known.may_share(line):
-                            found += [
-                                (at + start, at + stop, family, p, number)
-                                for start, stop, family, p in notices(line, model)
-                            ]
-                        at += len(line) + 1
-                    spans.append(found)
+                spans = [notices_of(x, model, known) for x in part.column(1).to_pylist()]
                 families = [sorted({s[2] for s in of}) for of in spans]
                 keys = ("start", "stop", "family", "p", "paragraph")
                 yield pa.RecordBatch.from_arrays(

@@ -474,6 +474,74 @@ def test_label_model_discounts_copies_of_a_voter():
         assert abs(found - true) < 0.06
 
 
+def enumerated(patterns, counts, above, rounds, start):
+    """The same expectation maximisation, one text and one voter at a time."""
+    code = {"c": 0, "-": 1, "t": 2}
+    p = list(start)
+    for _ in range(rounds):
+        prior, tables = [1.0, 1.0], Counter()
+        for pattern, n, toxic in zip(patterns, counts, p):
+            for y, w in ((0, n * (1 - toxic)), (1, n * toxic)):
+                prior[y] += w
+                for i, up in above.items():
+                    tables[y, i, 0 if up is None else code[pattern[up]], code[pattern[i]]] += w
+        for k, pattern in enumerate(patterns):
+            odds = prior[1] / prior[0]
+            for i, up in above.items():
+                row = 0 if up is None else code[pattern[up]]
+                chance = [
+                    (tables[y, i, row, code[pattern[i]]] + 1 / 9)
+                    / sum(tables[y, i, row, v] + 1 / 9 for v in range(3))
+                    for y in (0, 1)
+                ]
+                odds *= chance[1] / chance[0]
+            p[k] = odds / (1 + odds)
+    return p
+
+
+def test_label_model_equals_plain_enumeration():
+    rng = np.random.default_rng(8)
+    patterns = Counter()
+    for _ in range(600):
+        y = rng.random() < 0.4
+        votes = ["ct"[(rng.random() < right) == y] for right in (0.9, 0.8, 0.75, 0.85)]
+        chance = "ct"[rng.random() < 0.3]
+        patterns["".join(votes[:3]) + 5 * votes[3] + chance] += 1
+    names = sorted(patterns)
+    counts = [patterns[n] for n in names]
+    model = toxicity.LabelModel(names, counts)
+    assert [3, 4, 5, 6, 7] in [sorted(c) for c in model.cliques]  # a tree has any size
+    expected = enumerated(names, counts, model.above, toxicity.EM_ROUNDS, model.vote())
+    assert np.allclose(model.posterior, expected, atol=1e-6)
+
+
+def test_voters_that_are_mostly_wrong_are_dropped():
+    rng = np.random.default_rng(9)
+    patterns = Counter()
+    for _ in range(3000):
+        y = rng.random() < 0.1
+        votes = ["ct"[(rng.random() < 0.95) == y] for _ in range(3)]
+        patterns["".join(votes) + ("t" if rng.random() < 0.2 else "-")] += 1
+    names = sorted(patterns)
+    model = toxicity.LabelModel(names, [patterns[n] for n in names])
+    assert model.used == [0, 1, 2] and 3 not in model.above
+
+
+def test_unlabelled_texts_are_voted_on(spark):
+    """A word that only texts without a label hold beside a known one is learnt as well."""
+    bad = [(i, f"grubel snarth {i} tavon", 1) for i in range(60)]
+    good = [(100 + i, f"melor tavon {i} quise", 0) for i in range(60)]
+    labelled = spark.createDataFrame(bad + good, "doc_id long, text string, toxic int")
+    others = spark.createDataFrame(
+        [(300 + i, "grubel snarth tavon" if i % 2 else None) for i in range(80)],
+        "doc_id long, text string",
+    )
+    rows = spark.createDataFrame([("grubel snarth",), ("melor",), (None,)], "text string")
+    for model in (toxicity.fit(labelled, others), toxicity.fit(labelled, others.limit(0))):
+        scores = [r.s for r in rows.select(model.score("text").alias("s")).collect()]
+        assert scores[0] > 0.7 and scores[1] < 0.3
+
+
 def test_toxicity_without_labels_or_texts(spark, texts):
     none = texts.select("doc_id", "text").withColumn("toxic", F.lit(None).cast("int"))
     model = toxicity.fit(none)

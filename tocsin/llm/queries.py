@@ -46,7 +46,9 @@ def held_out() -> Column:
 
 def toxicity_model(docs: DataFrame, labelled: DataFrame) -> toxicity.ToxicityModel:
     learnt = labelled.where(~held_out()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    return toxicity.fit(docs.select("doc_id", "text").join(learnt, "doc_id"))
+    texts = docs.select("doc_id", "text")
+    others = texts.where(~held_out()).join(learnt, "doc_id", "left_anti")
+    return toxicity.fit(texts.join(learnt, "doc_id"), others)
 
 
 TOXIC_AT = 0.7

@@ -1,19 +1,21 @@
 """Toxicity by weak supervision.
 
 1. A lexicon of words and word beginnings is read off labelled texts.
-2. Many voters look at each training text: groups of lexicon entries, counts of hits, and
-   patterns of shouting and of odd symbols; the annotator's label is one more voice. A voter says
-   toxic, clean or nothing.
+2. Many voters look at each training text, labelled or not: groups of lexicon entries, counts of
+   hits, and patterns of shouting and of odd symbols; the annotator's label, where there is one, is
+   one more voice. A voter says toxic, clean or nothing.
 3. A generative model of the votes, fitted by expectation maximisation, takes no voice for the
-   truth and estimates each voter's accuracy. Voters that stay correlated when the class is known share one
-   joint table, so that two voices that say the same are not counted twice. It gives each text a
-   posterior probability of being toxic.
+   truth and estimates each voter's accuracy. Voters that stay correlated when the class is known
+   are linked into trees, strongest links first, and each is read beside the one above it, so that
+   voices that say the same are not counted twice, however many they are. Voters that are wrong
+   more often than right are dropped. It gives each text a posterior probability of being toxic.
 4. A logistic regression on words and word beginnings is trained on those posteriors. It alone
    scores texts.
 
 Scores use the text only. Defined results: null and empty texts get the score of a text without
 any known feature; rows with equal text get equal scores; without labelled rows of both classes
-every score is the share of toxic rows (0 where there is none).
+every score is the share of toxic rows (0 where there is none). An empty table gives no rows; rows
+keep their ``doc_id``, null too; very long texts are read whole; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -36,8 +38,10 @@ from tocsin.llm.common import Written, slices
 
 #: The model is fitted on about so many labelled rows, chosen by a hash of doc_id.
 TRAIN_ROWS = 20_000
-#: Features of the classifier, and of them at most so many in the voters' lexicon.
-FEATURES, LEXICON = 2048, 400
+#: About so many texts without a label are voted on too.
+UNLABELLED_ROWS = 10_000
+#: Features of the classifier; the voters' lexicon is a part of them.
+FEATURES = 2048
 #: A lexicon entry is so many times as frequent in toxic texts, and in this share of them.
 LEXICON_RATIO, LEXICON_SHARE, LEAST_TEXTS = 50.0, 0.005, 3
 #: The G statistic of word and class from which a word is no chance find among tens of thousands.
@@ -46,7 +50,9 @@ BEGINNINGS = (4, 5, 6, 7, 8)
 LEXICON_GROUPS = 8
 #: Two voters are correlated if their votes share more information than this, given the class, and
 #: the same voice if they share nearly all of it.
-CORRELATED, SAME, LARGEST_CLIQUE, EM_ROUNDS = 0.02, 0.95, 3, 60
+CORRELATED, SAME, EM_ROUNDS = 0.02, 0.95, 60
+#: Voters whose votes agree with the posterior less often than this are dropped.
+LEAST_ACCURACY = 0.5
 CHUNKS_HELD = 150_000
 WORDS = re.compile(r"[^\W\d_]+")
 
@@ -156,13 +162,13 @@ def lexicon_of(chosen: list[tuple[str, int, int]], clean: int, toxic: int) -> li
         name
         for name, c, t in chosen
         if t >= least and (t + 0.5) / (toxic + 1) >= LEXICON_RATIO * (c + 0.5) / (clean + 1)
-    ][:LEXICON]
+    ]
 
 
 # --- votes ----------------------------------------------------------------------------------
 
 
-def votes_of(text: str, hits: set[str], label: int) -> str:
+def votes_of(text: str, hits: set[str], label: int | None) -> str:
     """One letter per voter: ``t`` toxic, ``c`` clean, ``-`` nothing."""
     groups = {zlib.crc32(x.encode()) % LEXICON_GROUPS for x in hits}
     votes = ["t" if g in groups else "-" for g in range(LEXICON_GROUPS)]
@@ -177,7 +183,7 @@ def votes_of(text: str, hits: set[str], label: int) -> str:
     votes.append("t" if marks > 0.2 * words else "c" if not marks else "-")
     odd = sum(text.count(c) for c in "#*$%&|<>")
     votes.append("t" if odd > words else "c" if not odd else "-")
-    votes.append("ct"[label])
+    votes.append("-" if label is None else "ct"[label])
     return "".join(votes)
 
 
@@ -201,18 +207,27 @@ def voted(rows: DataFrame, lexicon: list[str], vocabulary: list[str]) -> DataFra
 
 
 class LabelModel:
-    """Posterior of the class from votes, with a joint table for each clique of voters."""
+    """Posterior of the class from votes; correlated voters are linked into trees.
 
-    def __init__(self, patterns: list[str], counts: list[int]):
+    ``apart`` are voters that come from elsewhere, such as an annotator, and join no tree: where all
+    voters of one kind agree, they are what the class is told from. Voters that say the same of all
+    texts tell nothing and are left out.
+    """
+
+    def __init__(self, patterns: list[str], counts: list[int], apart: tuple[int, ...] = ()):
         self.votes = np.array([[{"c": 0, "-": 1, "t": 2}[x] for x in p] for p in patterns], int)
         self.n = np.array(counts, float)
+        self.apart, voters = frozenset(apart), range(self.votes.shape[1])
+        self.used = [i for i in voters if len(set(self.votes[:, i])) > 1] or list(voters)
         # Voices that say the same whatever the class are one before anything is estimated;
         # else they would outvote the others and pass for the class itself.
         self.posterior = np.zeros(len(self.votes))
-        self.merge(self.alike, SAME)
+        self.link(self.alike, SAME)
         self.posterior = self.vote()
         self.fit()
-        self.merge(self.shared, CORRELATED)
+        right = self.accuracies()
+        self.used = [i for i in self.used if right[i] >= LEAST_ACCURACY] or self.used
+        self.link(self.shared, CORRELATED)
         self.posterior = self.vote()
         self.fit()
 
@@ -224,20 +239,20 @@ class LabelModel:
             said[1] += (self.votes[:, clique] == 0).mean(1)
         return np.clip((said[0] + 0.1) / (said.sum(0) + 0.2), 0.02, 0.98)
 
-    def codes(self, clique: list[int]) -> np.ndarray:
-        code = np.zeros(len(self.votes), int)
-        for i in clique:
-            code = 3 * code + self.votes[:, i]
-        return code
-
     def fit(self) -> None:
-        codes = [(self.codes(c), 3 ** len(c)) for c in self.cliques]
+        """A voter's table has a row for each vote of the one above it (one row for a root)."""
+        columns = [
+            (0 if above is None else self.votes[:, above], self.votes[:, i])
+            for i, above in self.above.items()
+        ]
         for _ in range(EM_ROUNDS):
             weight = np.stack([self.n * (1 - self.posterior), self.n * self.posterior])
             logs = np.log(weight.sum(1) + 1.0)[:, None] + np.zeros_like(weight)
-            for code, size in codes:
-                table = np.stack([np.bincount(code, w, size) for w in weight]) + 1.0 / size
-                logs += np.log(table / table.sum(1, keepdims=True))[:, code]
+            for row, vote in columns:
+                code = 3 * row + vote
+                table = np.stack([np.bincount(code, w, 9) for w in weight]).reshape(2, 3, 3)
+                table += 1.0 / 9
+                logs += np.log(table / table.sum(2, keepdims=True)).reshape(2, 9)[:, code]
             self.posterior = 1.0 / (1.0 + np.exp(np.clip(logs[0] - logs[1], -50, 50)))
 
     def shared(self, i: int, j: int) -> float:
@@ -258,19 +273,37 @@ class LabelModel:
             own.append(-(p * np.log(p + 1e-12)).sum())
         return self.shared(i, j) / max(1e-9, min(own)) if min(own) > 1e-6 else 0.0
 
-    def merge(self, measure, least: float) -> None:
-        """Join the voters that are most alike, by a measure, into cliques of bounded size."""
-        m = self.votes.shape[1]
-        pairs = sorted(((measure(i, j), i, j) for i in range(m) for j in range(i)), reverse=True)
-        home = {i: [i] for i in range(m)}
+    def link(self, measure, least: float) -> None:
+        """Trees of the voters that are most alike by a measure: the strongest link first, none
+        that closes a ring. ``cliques`` are the trees' voters, ``above`` each voter's parent."""
+        pairs = sorted(
+            (
+                (measure(i, j), i, j)
+                for i in self.used for j in self.used if j < i and not self.apart & {i, j}
+            ),
+            reverse=True,
+        )
+        home, beside = {i: [i] for i in self.used}, {i: [] for i in self.used}
         for value, i, j in pairs:
             if value < least:
                 break
             a, b = home[i], home[j]
-            if a is not b and len(a) + len(b) <= LARGEST_CLIQUE:
+            if a is not b:
+                beside[i].append(j)
+                beside[j].append(i)
                 a.extend(b)
                 home.update(dict.fromkeys(a, a))
         self.cliques = [c for i, c in home.items() if c[0] == i]
+        self.above: dict[int, int | None] = {}
+        for clique in self.cliques:
+            self.above[clique[0]] = None
+            ahead = [clique[0]]
+            while ahead:
+                i = ahead.pop()
+                for j in beside[i]:
+                    if j not in self.above:
+                        self.above[j] = i
+                        ahead.append(j)
 
     def accuracies(self) -> list[float]:
         """Of each voter, the share of its votes that agree with the posterior."""
@@ -284,14 +317,19 @@ class LabelModel:
 # --- the whole ------------------------------------------------------------------------------
 
 
-def fit(labelled: DataFrame) -> ToxicityModel:
-    """Fit on rows of ``doc_id``, ``text``, ``toxic`` (0 or 1); others have no label."""
+def sampled(rows: DataFrame, most: int) -> DataFrame:
+    """About so many rows, chosen by a hash of ``doc_id``."""
+    share = min(1.0, most / max(1, rows.count()))
+    bucket = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
+    return rows.where(bucket < int(share * (1 << 30)) + 1)
+
+
+def fit(labelled: DataFrame, unlabelled: DataFrame | None = None) -> ToxicityModel:
+    """Fit on rows of ``doc_id``, ``text``, ``toxic`` (0 or 1) and on texts without a label."""
     rows = labelled.where(F.col("toxic").isin(0, 1)).select(
         "doc_id", F.coalesce("text", F.lit("")).alias("text"), F.col("toxic").cast("long")
     )
-    share = min(1.0, TRAIN_ROWS / max(1, rows.count()))
-    bucket = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
-    sample = rows.where(bucket < int(share * (1 << 30)) + 1).select("text", "toxic")
+    sample = sampled(rows, TRAIN_ROWS).select("text", "toxic")
     held = Written(rows.sparkSession, "toxicity")
     # Copies of one text would lend their chance words the weight of many texts.
     sample = held.table(sample.dropDuplicates(["text", "toxic"]))
@@ -303,10 +341,17 @@ def fit(labelled: DataFrame) -> ToxicityModel:
         return ToxicityModel(math.log((share + 1e-12) / (1 - share + 1e-12)))
     chosen = choose_features(sample, clean, toxic)
     vocabulary = [name for name, _, _ in chosen] or ["a"]
-    votes = held.table(voted(sample, lexicon_of(chosen, clean, toxic), vocabulary))
+    looked_at = sample
+    if unlabelled is not None:
+        others = sampled(unlabelled, UNLABELLED_ROWS).select(
+            F.coalesce("text", F.lit("")).alias("text"), F.lit(None).cast("long").alias("toxic")
+        )
+        looked_at = sample.unionByName(others.distinct())
+    votes = held.table(voted(looked_at, lexicon_of(chosen, clean, toxic), vocabulary))
     # At most a row for each text of the bounded sample.
     tally = votes.groupBy("votes").agg(F.count("*").alias("n")).orderBy("votes").collect()
-    labels = LabelModel([r.votes for r in tally], [r.n for r in tally])
+    annotator = len(tally[0].votes) - 1
+    labels = LabelModel([r.votes for r in tally], [r.n for r in tally], (annotator,))
     spark = rows.sparkSession
     posterior = spark.createDataFrame(
         [(r.votes, float(p)) for r, p in zip(tally, labels.posterior)], "votes string, p double"

@@ -119,6 +119,20 @@ def test_same_rows_without_broadcasts(spark, name, no_broadcast):
     assert large == small
 
 
+def test_events_are_flagged_while_narrow(spark, no_broadcast):
+    """No event row is shuffled by pair or by customer with the columns of its order."""
+    plan = final_plan(QUERIES["stage_events"](spark, FOLDER))
+    lines = plan.splitlines()
+    dealt = [i for i, line in enumerate(lines) if "Exchange hashpartitioning(drug_id" in line
+             and "reaction" in line]
+    assert dealt
+    for i in dealt:
+        assert not re.search("o_orderpriority|c_mktsegment|n_name|outcome", lines[i + 1])
+    assert sum("hashpartitioning(o_custkey" in line for line in lines) == 1
+    [by_customer] = [i for i, line in enumerate(lines) if "hashpartitioning(o_custkey" in line]
+    assert "l_orderkey" not in "".join(lines[by_customer:by_customer + 3])
+
+
 def hot_events(spark):
     """60,000 events; one entity has two thirds of them, and one of its reactions a third."""
     n = F.col("id")

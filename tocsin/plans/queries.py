@@ -74,8 +74,18 @@ def _known_pairs(t: TestTables) -> DataFrame:
 
 def _flagged_events(t: TestTables, *columns: str, quarters: list[str] | None = None) -> DataFrame:
     """Event rows with their novelty flag."""
+    start, end = periods.quarters_range(quarters) if quarters else (None, None)
+    return staging.event_fields(_flagged_feed(t, *columns, start=start, end=end), AS_OF)
+
+
+def _flagged_feed(
+    t: TestTables, *columns: str, start: date | None = None, end: date | None = None
+) -> DataFrame:
+    """Raw events with their novelty flag, which they get while they are narrow."""
     known = written_once(_known_pairs(t), "known-pairs")
-    return novelty.flag_events(_events(t, *columns, quarters=quarters), known)
+    return t.events(
+        *columns, start=start, end=end, flagged=lambda rows: novelty.flag_events(rows, known)
+    )
 
 
 def _rollup(t: TestTables) -> DataFrame:
@@ -241,8 +251,7 @@ def stage_entities(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def stage_events(spark: SparkSession, folder: str) -> DataFrame:
     t = TestTables(spark, folder)
-    known = written_once(_known_pairs(t), "known-pairs")
-    raw = novelty.flag_events(t.events(*EVENT_COLUMNS), known)
+    raw = _flagged_feed(t, *EVENT_COLUMNS)
     return iso_dates(staging.stage_events(raw, t.entities(), AS_OF))
 
 
@@ -885,10 +894,9 @@ def _batch(spark: SparkSession, folder: str, output: str) -> DataFrame:
     """
     t = TestTables(spark, folder)
     home = fresh_path(spark, "batch")
-    known = written_once(_known_pairs(t), "known-pairs")
     feeds = {
         "raw_drugs": t.entities(),
-        "raw_adverse_events": novelty.flag_events(t.events(*EVENT_COLUMNS), known),
+        "raw_adverse_events": _flagged_feed(t, *EVENT_COLUMNS),
         "raw_sales_volume": t.sales(),
     }
     for name, schema in RAW_TABLES.items():

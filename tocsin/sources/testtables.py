@@ -80,7 +80,7 @@ EVENT_COLUMNS: dict[str, Callable[[], Column]] = {
     "is_serious": lambda: is_serious_outcome(_event_outcome()).cast("int"),
     "reporter_type": lambda: F.col("c_mktsegment"),
     "country": lambda: F.col("n_name"),
-    "age_group": lambda: _age_group(F.col("c_acctbal")),
+    "age_group": lambda: F.col("age"),
     "sex": lambda: F.col("l_returnflag"),
 }
 
@@ -140,29 +140,46 @@ class TestTables:
         )
 
     def events(
-        self, *columns: str, start: date | None = None, end: date | None = None
+        self,
+        *columns: str,
+        start: date | None = None,
+        end: date | None = None,
+        flagged: Callable[[DataFrame], DataFrame] | None = None,
     ) -> DataFrame:
         """Event reports with the named columns; only the tables they come from are joined.
 
         Report ids repeat, as order lines have no key. Whether a reaction is
-        novel is not in the feed: it is derived (``operators.novelty``).
+        novel is not in the feed: it is derived (``operators.novelty``), by
+        ``flagged``, from rows that have ``drug_id`` and ``reaction``. They meet
+        it before the columns of orders and customers widen them.
         """
         lines = _shipped_between(self.table("lineitem"), start, end)
         wanted = set(columns)
         if "reaction" in wanted:
             part = self.table("part").select("p_partkey", "p_name")
             lines = lines.join(part, F.col("l_partkey") == F.col("p_partkey"), "left")
+        derived = [EVENT_COLUMNS[c]().alias(c) for c in columns]
+        if flagged is not None:
+            names = {"l_suppkey": "drug_id", "p_name": "reaction"}
+            back = {new: old for old, new in names.items()}
+            lines = flagged(lines.withColumnsRenamed(names)).withColumnsRenamed(back)
+            derived.append(F.col("is_novel_reaction"))
         by_customer = wanted & {"reporter_type", "age_group", "country"}
         if by_customer or wanted & {"outcome", "is_serious"}:
-            orders = self.table("orders").select("o_orderkey", "o_custkey", "o_orderpriority")
+            orders = self._orders_of_customers() if by_customer else self.table("orders")
             lines = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "left")
-        if by_customer:
-            customer = self.table("customer")
-            lines = lines.join(customer, F.col("o_custkey") == F.col("c_custkey"), "left")
         if "country" in wanted:
             nation = self.table("nation")
             lines = lines.join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
-        return lines.select(*[EVENT_COLUMNS[c]().alias(c) for c in columns])
+        return lines.select(*derived)
+
+    def _orders_of_customers(self) -> DataFrame:
+        """Orders meet their customers by themselves, so that no event row is shuffled for it."""
+        orders = self.table("orders").select("o_orderkey", "o_custkey", "o_orderpriority")
+        customer = self.table("customer").select(
+            "c_custkey", "c_nationkey", "c_mktsegment", _age_group(F.col("c_acctbal")).alias("age")
+        )
+        return orders.join(customer, F.col("o_custkey") == F.col("c_custkey"), "left")
 
     def sales(self, start: date | None = None, end: date | None = None) -> DataFrame:
         """Volume lines."""

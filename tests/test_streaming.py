@@ -6,7 +6,9 @@ import os
 import random
 from collections import Counter
 from datetime import date, timedelta
+from pathlib import Path
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -129,6 +131,30 @@ def test_repeated_and_failed_batches(spark, tmp_path, monkeypatch):
     assert [tuple(r) for r in sums(spark, tmp_path).read().collect()] == [("a", 3)]
 
 
+def test_a_task_merges_a_bounded_number_of_rows(spark, tmp_path, monkeypatch):
+    """However large a batch or a file, rows are dealt out before anything is grouped."""
+    monkeypatch.setattr(maintained, "ROWS_OF_A_TASK", 100)
+    table = rollup.cell_table(spark, str(tmp_path))
+    day = F.date_add(F.lit("2023-01-01").cast("date"), (F.col("id") % 700).cast("int"))
+    events = spark.range(0, 2000, 1, 1).select(
+        F.concat(F.lit("A"), F.col("id") % 1).alias("drug_id"),
+        F.concat(F.lit("r"), F.col("id") % 2).alias("reaction"), day.alias("event_date"),
+        F.lit(True).alias("is_serious"),
+    )
+    for batch in range(2):
+        table.add(rollup.cell_rows(events), batch)
+    cells = table.read()
+    plan = cells._jdf.queryExecution().executedPlan().toString()
+    under = plan[plan.rindex("HashAggregate"):]
+    assert "REPARTITION_BY_NUM" in under and "partial" in under
+    assert {r.event_date: r.total_reports for r in cells.collect()} == {
+        r.event_date: 2 * r["count"] for r in events.groupBy("event_date").count().collect()
+    }
+    [first, *_] = table.log.paths(table.log.latest()[1])
+    rows = [len(pq.read_table(f)) for f in Path(first).glob("*.parquet")]
+    assert sum(rows) == 700 and max(rows) <= 2 * 100
+
+
 def test_nothing_has_arrived(spark, tmp_path):
     table = sums(spark, tmp_path)
     assert not table.exists() and table.read().collect() == []

@@ -12,7 +12,7 @@ what its first run may have written is named nowhere.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -21,9 +21,16 @@ from tocsin.sources.versions import Conflict, VersionLog
 #: Parts of one size that are merged into one of the next.
 PARTS_OF_A_SIZE = 4
 
+#: Rows that one task merges: what it holds of them does not grow with a batch or the table.
+ROWS_OF_A_TASK = 500_000
+
 
 class MaintainedTable:
-    """Rows in the columns of ``schema`` (a DDL text) that ``merge`` adds up."""
+    """Rows in the columns of ``schema`` (a DDL text) that ``merge`` adds up.
+
+    With ``keys``, the columns by which it groups, rows are dealt to as many tasks as their number
+    asks for before they are merged. Without, a task merges what it reads first, however much.
+    """
 
     def __init__(
         self,
@@ -32,8 +39,10 @@ class MaintainedTable:
         schema: str,
         merge: Callable[[DataFrame], DataFrame],
         parts_of_a_size: int = PARTS_OF_A_SIZE,
+        keys: Sequence[str] = (),
     ):
         self.spark, self.schema, self.merge, self.most = spark, schema, merge, parts_of_a_size
+        self.keys = keys
         self.log = VersionLog(spark, path)
 
     def exists(self) -> bool:
@@ -69,7 +78,14 @@ class MaintainedTable:
     def read(self) -> DataFrame:
         """The rows of all batches, merged."""
         _, entry = self.log.latest()
-        return self.merge(self._rows(entry["folders"]))
+        return self._merged(self._rows(entry["folders"]))
+
+    def _merged(self, rows: DataFrame) -> DataFrame:
+        if self.keys:
+            tasks = -(-rows.count() // ROWS_OF_A_TASK)
+            if tasks > 1:
+                rows = rows.repartition(tasks, *self.keys)
+        return self.merge(rows)
 
     def _rows(self, folders: list[str]) -> DataFrame:
         if not folders:
@@ -79,5 +95,5 @@ class MaintainedTable:
 
     def _written(self, rows: DataFrame) -> str:
         folder = self.log.fresh_folder()
-        self.merge(rows).write.parquet(f"{self.log.storage.path}/{folder}")
+        self._merged(rows).write.parquet(f"{self.log.storage.path}/{folder}")
         return folder

@@ -27,6 +27,7 @@ from tocsin.sources.versions import Storage
 from tocsin.streaming.maintained import MaintainedTable
 
 DAY_KEYS = ["drug_id", "quarter", "event_date"]
+CELL_KEYS = [*novelty.PAIR, "event_date"]
 COUNT_TYPES = "total_reports BIGINT, serious_reports BIGINT"
 ROLLUP_SCHEMA = (
     f"drug_id STRING, quarter STRING, event_date DATE, {COUNT_TYPES}, novel_reports BIGINT"
@@ -66,7 +67,7 @@ def refresh(
 
 def rollup_table(spark: SparkSession, path: str) -> MaintainedTable:
     return MaintainedTable(
-        spark, path, ROLLUP_SCHEMA, lambda rows: merge_rollups(rows, *DAY_KEYS)
+        spark, path, ROLLUP_SCHEMA, lambda rows: merge_rollups(rows, *DAY_KEYS), keys=DAY_KEYS
     )
 
 
@@ -88,7 +89,7 @@ def read_rollup(
 
 
 def _merged_cells(rows: DataFrame) -> DataFrame:
-    return rows.groupBy(*novelty.PAIR, "event_date").agg(
+    return rows.groupBy(*CELL_KEYS).agg(
         F.sum("total_reports").alias("total_reports"),
         F.sum("serious_reports").alias("serious_reports"),
     )
@@ -97,7 +98,7 @@ def _merged_cells(rows: DataFrame) -> DataFrame:
 def cell_table(spark: SparkSession, path: str, id_type: str = "STRING") -> MaintainedTable:
     """Reports and serious reports by pair and day."""
     schema = f"drug_id {id_type}, reaction STRING, event_date DATE, {COUNT_TYPES}"
-    return MaintainedTable(spark, path, schema, _merged_cells)
+    return MaintainedTable(spark, path, schema, _merged_cells, keys=CELL_KEYS)
 
 
 def cell_rows(events: DataFrame) -> DataFrame:
@@ -129,7 +130,7 @@ def _merged_sightings(rows: DataFrame) -> DataFrame:
 def sighting_table(spark: SparkSession, path: str, id_type: str = "STRING") -> MaintainedTable:
     """The first date of each pair."""
     schema = f"drug_id {id_type}, reaction STRING, first_seen DATE"
-    return MaintainedTable(spark, path, schema, _merged_sightings)
+    return MaintainedTable(spark, path, schema, _merged_sightings, keys=novelty.PAIR)
 
 
 def sighting_rows(events: DataFrame) -> DataFrame:

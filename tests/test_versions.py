@@ -103,3 +103,24 @@ def test_counts_come_from_the_write(spark, tmp_path):
     assert files.write_table(rows, str(tmp_path / "t"), ["k"]) == 1000
     status = files.export_status(spark, {"a.csv": 3}).first().status
     assert status == "a.csv exported — 3 rows"
+
+
+def test_compressed_csv_comes_in_files_of_bounded_size(spark, tmp_path, monkeypatch):
+    """A compressed file cannot be split, so none holds more than a bounded number of rows."""
+    monkeypatch.setattr(files, "COMPRESSED_ROWS", 100)
+    rows = spark.range(0, 1000, 1, 2).select("id", F.lit('a "b", c').alias("text"))
+    assert files.write_csv(rows, str(tmp_path / "z"), compression="gzip") == 1000
+    assert len([*(tmp_path / "z").glob("part-*.csv.gz")]) == 10
+    found = files.read_csv(spark, str(tmp_path / "z"), rows.schema)
+    assert sorted(found.collect()) == sorted(rows.collect())
+    assert files.write_csv(rows, str(tmp_path / "p")) == 1000
+    assert len([*(tmp_path / "p").glob("part-*.csv")]) == 2
+
+
+def test_batch_queries_keep_their_feed_compressed(spark, tmp_path, monkeypatch):
+    from tocsin.plans import queries
+
+    monkeypatch.setattr(queries, "fresh_path", lambda _, label: f"{tmp_path}/{label}")
+    assert queries.QUERIES["batch_watchlist"](spark, "/root/testdata/sf0.001").count() > 0
+    feed = [p.name for p in (tmp_path / "batch/in").glob("*/part-*")]
+    assert feed and all(name.endswith(".csv.gz") for name in feed)

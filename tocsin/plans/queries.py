@@ -888,7 +888,7 @@ def stream_novelty(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _batch(spark: SparkSession, folder: str, output: str) -> DataFrame:
-    """Write the raw feeds as CSV, run the batch pipeline on them, read one of its tables.
+    """Write the raw feeds as compressed CSV, run the batch pipeline on them, read one of its tables.
 
     Events are written with their novelty, as a feed would bring it.
     """
@@ -905,7 +905,8 @@ def _batch(spark: SparkSession, folder: str, output: str) -> DataFrame:
             (F.col(f.name) if f.name in feed.columns else F.lit(None)).cast(f.dataType).alias(f.name)
             for f in schema.fields
         ]
-        files.write_csv(feed.select(*columns), f"{home}/in/{files.RAW_FILES[name]}")
+        path = f"{home}/in/{files.RAW_FILES[name]}"
+        files.write_csv(feed.select(*columns), path, compression="gzip")
     batch.run_batch(spark, f"{home}/in", f"{home}/out", SCORING)
     found = files.read_table(spark, f"{home}/out/tables/{output}")
     return iso_dates(found.withColumn("drug_id", F.col("drug_id").cast("bigint")))

@@ -16,6 +16,9 @@ from tocsin.sources.versions import ReplaceableTable, counted_write
 CSV_FORMAT = {"header": "true", "dateFormat": "yyyy-MM-dd", "escape": '"', "lineSep": "\n"}
 CSV_READ = {**CSV_FORMAT, "mode": "FAILFAST", "enforceSchema": "false"}
 
+#: Rows of a compressed file at most.
+COMPRESSED_ROWS = 1_000_000
+
 RAW_FILES = {
     "raw_drugs": "drugs.csv",
     "raw_adverse_events": "adverse_events.csv",
@@ -36,12 +39,18 @@ def read_csv(
     return reader.csv(path)
 
 
-def write_csv(df: DataFrame, path: str) -> int:
-    """CSV part files with a header; NULL is an empty field. Returns the number of rows."""
+def write_csv(df: DataFrame, path: str, compression: str = "none") -> int:
+    """CSV part files with a header; NULL is an empty field. Returns the number of rows.
+
+    A compressed file is read by one task, so its number of rows is bounded.
+    """
+    bound = 0 if compression == "none" else COMPRESSED_ROWS
     return counted_write(
         df,
         lambda rows: rows.write.mode("overwrite")
         .options(**CSV_FORMAT)
+        .option("compression", compression)
+        .option("maxRecordsPerFile", bound)
         .option("nullValue", "")
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)

@@ -198,6 +198,98 @@ def test_suffix_dedup_returns_the_kept_bytes(spark):
     assert suffix_dedup.deduplicated(samples.empty(spark)).collect() == []
 
 
+def test_anchor_messages_are_short():
+    """A packed anchor took 20 bytes and more before its columns left out what is zero."""
+    rng = np.random.default_rng(6)
+    texts = [rng.integers(97, 123, 1500, np.uint8).tobytes() for _ in range(400)]
+    packer = suffix_dedup.Packer(3)
+    packer.add(np.arange(400), np.zeros(400, np.int64), texts)
+    packed = [m for m in packer.messages() if m.num_rows and m["kind"][0].as_py() == 0]
+    data = [m["data"][0].as_py() for m in packed]
+    count = 0
+    for x in data:
+        names, rest = suffix_dedup.rows_of(memoryview(x), suffix_dedup.NAME)
+        entries, rest = suffix_dedup.rows_of(rest, suffix_dedup.ENTRY)
+        assert not len(rest) and (names[2] == 1500).all() and (entries[2] <= 1480).all()
+        count += len(entries[0])
+    assert count == len(suffix_dedup.anchors(texts)[0])
+    assert sum(map(len, data)) < 18 * count
+
+
+def test_columns_come_back():
+    rng = np.random.default_rng(4)
+    for n in (0, 1, 50):
+        columns = [
+            rng.integers(-5, 5, n), rng.integers(0, 1 << 62, n), np.zeros(n, np.int64),
+            rng.integers(0, 300, n).astype("<u4"),
+        ]
+        data = memoryview(suffix_dedup.columns_of(*columns) + b"rest")
+        found, rest = suffix_dedup.rows_of(data, ("<i8", "<i8", "<i8", "<u4"))
+        assert [x.tolist() for x in found] == [x.tolist() for x in columns]
+        assert bytes(rest) == b"rest"
+
+
+def test_first_documents_with_equal_hashes_of_two_anchors():
+    anchor = np.array([1, 2, 1, 2, 3], np.uint64)
+    context = np.array([7, 7, 7, 7, 8], np.uint64)
+    doc = np.array([5, 4, 3, 6, 9])
+    assert suffix_dedup.first_documents(anchor, context, doc).tolist() == [3, 4, 3, 4, 9]
+
+
+def test_equal_rows_of_one_document_get_each_message_once(spark):
+    """Each of n equal rows used to be sent the messages of all n."""
+    rng = np.random.default_rng(9)
+    passage = rng.integers(97, 123, 120, np.uint8).tobytes().decode()
+    rows = [(1, passage + "one")] + [(2, "two" + passage)] * 300
+    docs = spark.createDataFrame(rows, "doc_id LONG, text STRING").repartition(3)
+    held = Written(spark, "test")
+    found = suffix_dedup.removals(docs, held)
+    lists = suffix_dedup.with_texts(docs, found, "left").where("doc_id = 2")
+    assert lists.agg(F.max(F.size("data"))).first()[0] <= 10
+    result = Counter(map(tuple, suffix_dedup.deduplicated(docs, texts=False).collect()))
+    assert result == cut_by_hand(rows)
+
+
+def test_crowded_anchors_tell_a_document_once(spark):
+    """Windows of a document, which meet others all over the partitions, come as one message."""
+    rng = np.random.default_rng(11)
+    letters = [rng.integers(97, 123, 40, np.uint8).tobytes().decode() for _ in range(120)]
+    passage = rng.integers(97, 123, 300, np.uint8).tobytes().decode()
+    rows = [(i, x + passage + x[::-1]) for i, x in enumerate(letters)]
+    docs = spark.createDataFrame(rows, "doc_id LONG, text STRING").repartition(4)
+    asked = docs.select(
+        F.col("doc_id").alias("doc"), suffix_dedup.document_key().alias("key"),
+        F.udf(
+            lambda: np.stack([np.arange(40, 300, 20), np.arange(13)], 1).tobytes(), "binary"
+        )().alias("data"),
+    )
+    found = suffix_dedup.crowded(docs, asked, Written(spark, "test")).collect()
+    assert len(found) < 140  # twice where a batch ends within a document
+    told: dict[int, list[bytes]] = {}
+    for r in found:
+        told.setdefault(r.doc, []).append(r.data)
+    assert sorted(told) == list(range(1, 120))
+    for data in told.values():
+        ranges = [np.concatenate(x) for x in zip(*map(suffix_dedup.unpacked_ranges, data))]
+        start, stop = suffix_dedup.united(*ranges)
+        # A letter more at either end where the texts around the passage happen to agree.
+        assert len(start) == 1 and start[0] <= 40 and stop[0] >= 330
+
+
+def test_removed_ranges_are_united():
+    doc, key = np.array([2, 1, 2, 2, 2]), np.array([0, 0, 0, 1, 0])
+    start, stop = np.array([5, 0, 0, 7, 60]), np.array([55, 50, 200, 57, 110])
+    found = suffix_dedup.removed_anywhere(doc, key, start, stop).to_pylist()
+    cut = suffix_dedup.unpacked_ranges
+    ranges = {
+        (r["doc"], r["key"]): list(map(tuple, np.stack(cut(r["data"]), 1).tolist()))
+        for r in found
+    }
+    assert ranges == {(1, 0): [(0, 50)], (2, 0): [(0, 200)], (2, 1): [(7, 57)]}
+    nothing = np.zeros(0, np.int64)
+    assert suffix_dedup.removed_anywhere(*[nothing] * 4).num_rows == 0
+
+
 # --- embeddings -------------------------------------------------------------------------------
 
 

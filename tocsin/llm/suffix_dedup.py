@@ -32,6 +32,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
+from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -42,13 +43,16 @@ from tocsin.llm.grouping import suffix_arrays
 SPAN, PIECE = 50, 20
 SIDE = SPAN - PIECE  # bytes of context on either side of an anchor
 CONTEXT = SIDE + SPAN
-#: Bytes of text that fill a packed message of a task, for each bucket, and hashed at once.
-TASK_BYTES, BUCKET_BYTES, SLICE_BYTES = 64 << 20, 8 << 20, 2 << 20
+#: Bytes of text that fill a packed message of a task, for each bucket, and hashed at once (few, as
+#: the arrays at work then stay in the processor's cache).
+TASK_BYTES, BUCKET_BYTES, SLICE_BYTES = 64 << 20, 8 << 20, 1 << 16
 #: Contexts in one suffix array, bytes of the suffix arrays built in step, and contexts of an
-#: anchor from which windows meet one by one.
-TEXT_CONTEXTS, STEP_BYTES, CROWD = 32, 1 << 19, 1024
+#: anchor from which windows meet one by one (a task holds fewer, at less than 1 KB each).
+TEXT_CONTEXTS, STEP_BYTES, CROWD = 32, 1 << 19, 1 << 16
 #: Contexts after which a task settles what it holds.
 ROWS_HELD = 40_000
+#: Contexts that are handed on together, and that are taken apart into windows together.
+ROWS_SENT, WINDOWED = 8_192, 1_024
 NO_ID = (1 << 63) - 1
 NONE = np.uint64((1 << 64) - 1)
 U64 = np.uint64
@@ -139,58 +143,119 @@ def united(start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return start[new], stop[np.append(np.flatnonzero(new)[1:] - 1, len(stop) - 1)]
 
 
-def packed_ranges(start: np.ndarray, stop: np.ndarray) -> bytes:
-    return np.stack([start, stop]).astype("<i8").tobytes()
-
-
 def unpacked_ranges(data: bytes) -> tuple[np.ndarray, np.ndarray]:
-    both = np.frombuffer(data, "<i8")
-    return both[: len(both) // 2], both[len(both) // 2 :]
+    both = np.frombuffer(data, "<i8").reshape(-1, 2)
+    return both[:, 0], both[:, 1]
 
 
 #: Rows that tell of ranges to remove and of contexts to look at. ``bucket`` >= 0: packed anchors.
 MESSAGE = "bucket int, doc long, key long, kind int, data binary"
 ANCHORS, REMOVED, LOOK, LOOK_CROWDED = range(4)
-#: An anchor on its way: part of its hash, its context's hash, its place, and which text it is in.
-ENTRY = np.dtype([("anchor", "<u4"), ("context", "<u8"), ("place", "<u4"), ("row", "<u4")])
-#: The texts of a packed message.
-NAME = np.dtype([("doc", "<i8"), ("key", "<i4"), ("size", "<u4")])
-
-
-def message(rows: list[tuple]) -> pa.RecordBatch:
-    bucket, doc, key, kind, data = zip(*rows) if rows else ((),) * 5
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array(bucket, pa.int32()), pa.array(doc, pa.int64()), pa.array(key, pa.int64()),
-            pa.array(kind, pa.int32()), pa.array(data, pa.binary()),
-        ],
-        ["bucket", "doc", "key", "kind", "data"],
-    )
-
-
-def by_document(
-    owner: np.ndarray, names: np.ndarray, kind: int, pack, *columns: np.ndarray
-) -> list[tuple]:
-    """A message to each owner (a number into names) with its share of the columns."""
-    order = np.argsort(owner, kind="stable")
-    owner, columns = owner[order], [c[order] for c in columns]
-    cuts = np.append(np.flatnonzero(heads(owner)), len(owner))
-    return [
-        (-1, *names[["doc", "key"]][owner[i]].item(), kind, pack(*(c[i:j] for c in columns)))
-        for i, j in zip(cuts[:-1], cuts[1:])
-    ]
+#: The columns of a packed message. Of an anchor: part of its hash, its context's hash, its place,
+#: and which text it is in; of a text: its document, its key, its size.
+ENTRY, NAME = ("<u4", "<u8", "<u4", "<u4"), ("<i8", "<i8", "<u4")
+FIELDS = ["bucket", "doc", "key", "kind", "data"]
 
 
-def context_ranges(place: np.ndarray, size: np.ndarray) -> bytes:
-    place, size = place.astype(np.int64), size.astype(np.int64)
-    return packed_ranges(*united(np.maximum(place - SIDE, 0), np.minimum(place + SPAN, size)))
+def binary(data: np.ndarray, cuts: np.ndarray) -> pa.Array:
+    """The rows of ``data`` from each cut to the next one, as bytes."""
+    width = data.itemsize * data.shape[1]
+    offsets = (np.append(cuts, len(data)) * width).astype(np.int32)
+    buffers = [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data))]
+    return pa.Array.from_buffers(pa.binary(), len(cuts), buffers)
 
 
-def first_contexts(entries: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Entries sorted by anchor, context and document; the first document of each one's context."""
-    order = np.lexsort((docs, entries["context"], entries["anchor"]))
-    new = heads(entries["anchor"][order], entries["context"][order])
-    return order, docs[order][np.flatnonzero(new)[np.cumsum(new) - 1]]
+def by_document(
+    owner: np.ndarray, doc: np.ndarray, key: np.ndarray, kind: int, first: np.ndarray,
+    second: np.ndarray,
+) -> pa.RecordBatch:
+    """A message to each owner (a number into ``doc`` and ``key``) with its pairs of numbers; all in
+    the order of the owners."""
+    cuts = np.flatnonzero(heads(owner))
+    whom, n = owner[cuts], len(cuts)
+    pairs = np.stack([first, second], 1).astype("<i8", copy=False)
+    columns = [
+        pa.array(np.full(n, -1, np.int32)), pa.array(doc[whom]), pa.array(key[whom]),
+        pa.array(np.full(n, kind, np.int32)), binary(pairs, cuts),
+    ]
+    return pa.RecordBatch.from_arrays(columns, FIELDS)
+
+
+def removed(
+    owner: np.ndarray, start: np.ndarray, stop: np.ndarray, doc: np.ndarray, key: np.ndarray
+) -> pa.RecordBatch:
+    """Tell the owners which ranges of theirs go, united. The ranges are in the order of owner and
+    start, and of one owner's, none ends before an earlier one."""
+    new = heads(owner)
+    new[1:] |= start[1:] > stop[:-1]
+    at = np.flatnonzero(new)
+    last = np.append(at[1:], len(owner))[: len(at)] - 1
+    return by_document(owner[at], doc, key, REMOVED, start[at], stop[last])
+
+
+def removed_anywhere(
+    doc: np.ndarray, key: np.ndarray, start: np.ndarray, stop: np.ndarray
+) -> pa.RecordBatch:
+    """The same for ranges in any order."""
+    order = np.lexsort((start, key, doc))
+    doc, key, start, stop = (x[order] for x in (doc, key, start, stop))
+    new = heads(doc, key)
+    owner = np.cumsum(new) - 1
+    beyond = stop.max(initial=0) + 1  # an owner's stops are all before the next one's
+    stop = np.maximum.accumulate(stop + owner * beyond) - owner * beyond
+    return removed(owner, start, stop, doc[new], key[new])
+
+
+def removed_contexts(
+    row: np.ndarray, place: np.ndarray, doc: np.ndarray, key: np.ndarray, size: np.ndarray
+) -> pa.RecordBatch:
+    """Tell the texts that the contexts of these anchors of theirs go as a whole."""
+    order = np.lexsort((place, row))
+    row, place = row[order], place[order].astype(np.int64)
+    stop = np.minimum(place + SPAN, size[row].astype(np.int64))
+    return removed(row, np.maximum(place - SIDE, 0), stop, doc, key)
+
+
+def first_documents(anchor: np.ndarray, context: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """For each entry the smallest document that has its context."""
+    if not len(doc):
+        return doc
+    order = np.argsort(context)
+    new = heads(context[order])
+    other = anchor[order]
+    if (~new[1:] & (other[1:] != other[:-1])).any():  # equal hashes of contexts of two anchors
+        order = np.lexsort((anchor, context))
+        new = heads(context[order], anchor[order])
+    at = np.flatnonzero(new)
+    first = np.empty_like(doc)
+    sizes = np.diff(np.append(at, len(doc)))
+    first[order] = np.repeat(np.minimum.reduceat(doc[order], at), sizes)
+    return first
+
+
+def columns_of(*columns: np.ndarray) -> bytes:
+    """Each column byte by byte, from the lowest on, without the high bytes that are zero in all
+    rows: columns of small or alike numbers become short or compress."""
+    out = [len(columns[0]).to_bytes(8, "little")]
+    for c in map(np.ascontiguousarray, columns):
+        planes = c.view(np.uint8).reshape(len(c), c.itemsize)
+        most = int(c.view(f"<u{c.itemsize}").max(initial=0))
+        used = -(-most.bit_length() // 8)
+        out += [bytes([used]), planes[:, :used].T.tobytes()]
+    return b"".join(out)
+
+
+def rows_of(data: memoryview, kinds: tuple[str, ...]) -> tuple[list[np.ndarray], memoryview]:
+    """The columns at the start of the data, and the rest."""
+    count, at, found = int.from_bytes(data[:8], "little"), 8, []
+    for kind in map(np.dtype, kinds):
+        used = data[at]
+        planes = np.zeros((count, kind.itemsize), np.uint8)
+        low = np.frombuffer(data, np.uint8, count * used, at + 1)
+        planes[:, :used] = low.reshape(used, count).T
+        found.append(planes.view(kind).reshape(count))
+        at += 1 + count * used
+    return found, data[at:]
 
 
 class Packer:
@@ -205,67 +270,35 @@ class Packer:
 
     def add(self, docs: np.ndarray, keys: np.ndarray, texts: list[bytes]) -> None:
         anchor, context, number, place = anchors(texts)
-        found = np.zeros(len(anchor), [("bucket", "<i4"), *ENTRY.descr])
-        found["bucket"] = anchor % U64(self.buckets)
-        found["anchor"] = anchor // U64(self.buckets) & U64(0xFFFFFFFF)
-        found["context"], found["place"], found["row"] = context, place, number + self.rows
-        names = np.zeros(len(texts), NAME)
-        names["doc"], names["key"], names["size"] = docs, keys, [len(t) for t in texts]
-        self.parts.append(found)
-        self.names.append(names)
+        row = (number + self.rows).astype(np.uint32)
+        self.parts.append((anchor, context, place.astype(np.uint32), row))
+        sizes = np.fromiter(map(len, texts), np.uint32, len(texts))
+        self.names.append((docs.astype("<i8"), keys.astype("<i8"), sizes))
         self.rows += len(texts)
         self.held += sum(map(len, texts))
 
     def messages(self) -> Iterator[pa.RecordBatch]:
         if not self.parts:
             return
-        entries, names = np.concatenate(self.parts), np.concatenate(self.names)
+        anchor, context, place, row = map(np.concatenate, zip(*self.parts))
+        doc, key, size = map(np.concatenate, zip(*self.names))
         self.clear()
-        order = np.argsort(entries["bucket"], kind="stable")
-        entries = entries[order]
-        cuts = np.append(np.flatnonzero(heads(entries["bucket"])), len(entries))
-        gone = []
+        later = doc[row] > first_documents(anchor, context, doc[row])
+        yield removed_contexts(row[later], place[later], doc, key, size)
+        bucket = (anchor % U64(self.buckets)).astype(np.min_scalar_type(self.buckets))
+        order = np.argsort(bucket, kind="stable")
+        order = order[~later[order]]
+        bucket = bucket[order]
+        cuts = np.append(np.flatnonzero(heads(bucket)), len(order))
         for i, j in zip(cuts[:-1], cuts[1:]):
-            part = entries[i:j]
-            order, first = first_contexts(part, names["doc"][part["row"]])
-            part = part[order]
-            later = names["doc"][part["row"]] > first
-            gone.append(part[later])
-            part = part[~later]
-            rows, again = np.unique(part["row"], return_inverse=True)
-            data = len(rows).to_bytes(8, "little") + columns_of(names[rows])
-            part["row"] = again
-            data += columns_of(part[list(ENTRY.names)])
-            yield message([(int(entries["bucket"][i]), 0, 0, ANCHORS, data)])
-        yield removed(np.concatenate(gone or [entries]), names)
-
-
-def removed(entries: np.ndarray, names: np.ndarray) -> pa.RecordBatch:
-    """Tell the documents that these contexts of theirs go as a whole."""
-    sizes = names["size"][entries["row"]]
-    return message(
-        by_document(entries["row"], names, REMOVED, context_ranges, entries["place"], sizes)
-    )
-
-
-def columns_of(rows: np.ndarray) -> bytes:
-    """Column by column, so that columns of alike values compress."""
-    return b"".join(np.ascontiguousarray(rows[c]).tobytes() for c in rows.dtype.names)
-
-
-def rows_of(data: bytes, kind: np.dtype, count: int, at: int) -> np.ndarray:
-    rows = np.zeros(count, kind)
-    for name in kind.names:
-        rows[name] = np.frombuffer(data, kind[name], count, at)
-        at += count * kind[name].itemsize
-    return rows
-
-
-def entries_of(data: bytes) -> tuple[np.ndarray, np.ndarray]:
-    n = int.from_bytes(data[:8], "little")
-    at = 8 + n * NAME.itemsize
-    count = (len(data) - at) // ENTRY.itemsize
-    return rows_of(data, NAME, n, 8), rows_of(data, ENTRY, count, at)
+            some = order[i:j]
+            texts, again = np.unique(row[some], return_inverse=True)
+            part = (anchor[some] // U64(self.buckets)).astype("<u4")
+            data = columns_of(doc[texts], key[texts], size[texts])
+            data += columns_of(part, context[some], place[some], again.astype("<u4"))
+            one = (np.full(1, bucket[i], np.int32), np.zeros(1, np.int64), np.zeros(1, np.int64))
+            columns = [*map(pa.array, one), pa.array([ANCHORS], pa.int32()), pa.array([data])]
+            yield pa.RecordBatch.from_arrays(columns, FIELDS)
 
 
 def document_key() -> Column:
@@ -292,43 +325,34 @@ def packed(docs: DataFrame, buckets: int) -> DataFrame:
     return rows.mapInArrow(run, MESSAGE)
 
 
-def met(bucket: int, parts: list[bytes]) -> Iterator[pa.RecordBatch]:
+def met(bucket: int, parts: list[tuple]) -> Iterator[pa.RecordBatch]:
     """What one bucket's anchors settle, and the contexts whose bytes must be looked at."""
-    names, entries, base = [], [], 0
-    for n, e in map(entries_of, parts):
-        e["row"] += base
-        base += len(n)
-        names.append(n)
-        entries.append(e)
-    names, entries = np.concatenate(names), np.concatenate(entries)
-    order, first = first_contexts(entries, names["doc"][entries["row"]])
-    entries = entries[order]
-    doc = names["doc"][entries["row"]]
-    later = doc > first
-    yield removed(entries[later], names)
-    entries, doc = entries[~later], doc[~later]
-    start = np.flatnonzero(heads(entries["anchor"]))
-    if not len(start):
+    doc, key, size, anchor, context, place, row = map(np.concatenate, zip(*parts))
+    later = doc[row] > first_documents(anchor, context, doc[row])
+    yield removed_contexts(row[later], place[later], doc, key, size)
+    anchor, context, place, row = (x[~later] for x in (anchor, context, place, row))
+    if not len(row):
         return
-    group = np.cumsum(heads(entries["anchor"])) - 1
-    shared = np.minimum.reduceat(doc, start) != np.maximum.reduceat(doc, start)
-    contexts = np.bincount(group[heads(entries["anchor"], entries["context"])], minlength=len(start))
-    crowd = contexts > CROWD
-    for kind, some in ((LOOK, shared & ~crowd), (LOOK_CROWDED, shared & crowd)):
-        asked = entries[some[group]]
-
-        def pack(place: np.ndarray, anchor: np.ndarray) -> bytes:
-            whole = anchor.astype(np.uint64) | U64(bucket << 32)
-            return np.stack([place.astype(np.uint64), whole]).tobytes()
-
-        yield message(
-            by_document(asked["row"], names, kind, pack, asked["place"], asked["anchor"])
-        )
+    order = np.argsort(anchor)
+    start = np.flatnonzero(heads(anchor[order]))
+    count = np.diff(np.append(start, len(order)))
+    of = doc[row[order]]
+    shared = np.minimum.reduceat(of, start) != np.maximum.reduceat(of, start)
+    crowd = shared & (count > CROWD)
+    for g in np.flatnonzero(crowd):
+        several = context[order[start[g] : start[g] + count[g]]]
+        crowd[g] = len(np.unique(several)) > CROWD
+    for kind, some in ((LOOK, shared & ~crowd), (LOOK_CROWDED, crowd)):
+        asked = order[np.repeat(some, count)]
+        asked.sort()
+        asked = asked[np.argsort(row[asked], kind="stable")]
+        whole = anchor[asked].astype(np.int64) | bucket << 32
+        yield by_document(row[asked], doc, key, kind, place[asked].astype(np.int64), whole)
 
 
 def meeting(packed_rows: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number, parts = None, []
+        number, parts, texts = None, [], 0
         for batch in batches:
             buckets = batch.column(0).to_numpy()
             other = np.flatnonzero(buckets < 0)
@@ -338,9 +362,13 @@ def meeting(packed_rows: DataFrame) -> DataFrame:
             for i in np.flatnonzero(buckets >= 0).tolist():
                 if buckets[i] != number and parts:
                     yield from met(number, parts)
-                    parts = []
+                    parts, texts = [], 0
                 number = int(buckets[i])
-                parts.append(batch.column(4)[i].as_py())
+                names, rest = rows_of(memoryview(batch.column(4)[i].as_buffer()), NAME)
+                entries, _ = rows_of(rest, ENTRY)
+                entries[3] += texts
+                texts += len(names[0])
+                parts.append((*names, *entries))
         if parts:
             yield from met(number, parts)
 
@@ -360,8 +388,9 @@ def squeezed(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
 
 
 def with_texts(docs: DataFrame, told: DataFrame, how: str) -> DataFrame:
-    """Every row's doc, key and compressed text with the messages to its document."""
-    lists = told.groupBy("doc", "key").agg(F.collect_list("data").alias("data"))
+    """Every row's doc, key and compressed text with the messages to its document (equal ones, as
+    equal rows get, once)."""
+    lists = told.groupBy("doc", "key").agg(F.collect_set("data").alias("data"))
     rows = docs.select(
         F.col("doc_id"), document_id().alias("doc"), document_key().alias("key"),
         squeezed(text_or_empty()).alias("text"),
@@ -369,34 +398,47 @@ def with_texts(docs: DataFrame, told: DataFrame, how: str) -> DataFrame:
     return rows.join(lists, ["doc", "key"], how)
 
 
-def fetched(docs: DataFrame, asked: DataFrame) -> DataFrame:
+def fetched(docs: DataFrame, asked: DataFrame, then=None, schema: str = "") -> DataFrame:
     """The bytes around the asked places: ``anchor``, the document, ``place`` and ``context``,
-    from ``low`` to ``high`` within the text."""
+    from ``low`` to ``high`` within the text; or what ``then`` makes of them in the same worker."""
+
+    names = ["anchor", "doc", "key", "place", "context", "low", "high"]
+
+    def sent(found: list[tuple]) -> pa.RecordBatch:
+        *numbers, contexts = map(np.concatenate, zip(*found))
+        columns = list(map(pa.array, numbers))
+        columns.insert(4, binary(contexts, np.arange(len(contexts))))
+        return pa.RecordBatch.from_arrays(columns, names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unpack = zstandard.ZstdDecompressor()
+        unpack, found, held = zstandard.ZstdDecompressor(), [], 0
         for batch in batches:
-            rows = zip(*(batch.column(i).to_pylist() for i in range(4)))
+            rows = zip(*(batch.column(i) for i in range(4)))
             for doc, key, squeezed_text, lists in rows:
-                text = unpack.decompress(squeezed_text)
-                both = np.concatenate([np.frombuffer(x, "<u8").reshape(2, -1) for x in lists], 1)
-                place = both[0].astype(np.int64)
-                padded = bytes(SIDE) + text + bytes(SIDE)
-                n = len(place)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(both[1].view(np.int64)), pa.array(np.full(n, doc)),
-                        pa.array(np.full(n, key)), pa.array(place),
-                        pa.array([padded[p : p + CONTEXT] for p in place.tolist()], pa.binary()),
-                        pa.array(np.maximum(SIDE - place, 0).astype(np.int32)),
-                        pa.array(np.minimum(SIDE + len(text) - place, CONTEXT).astype(np.int32)),
-                    ],
-                    ["anchor", "doc", "key", "place", "context", "low", "high"],
-                )
+                text = unpack.decompress(squeezed_text.as_py())
+                both = np.concatenate([np.frombuffer(x, "<i8") for x in lists.as_py()])
+                place, anchor = both.reshape(-1, 2).T
+                padded = np.frombuffer(bytes(SIDE) + text + bytes(SIDE), np.uint8)
+                for at in range(0, len(place), ROWS_SENT):
+                    some = place[at : at + ROWS_SENT]
+                    low = np.maximum(SIDE - some, 0).astype(np.int32)
+                    high = np.minimum(SIDE + len(text) - some, CONTEXT).astype(np.int32)
+                    whose = (np.full(len(some), x.as_py()) for x in (doc, key))
+                    contexts = sliding_window_view(padded, CONTEXT)[some]
+                    found.append((anchor[at : at + ROWS_SENT], *whose, some, low, high, contexts))
+                    held += len(some)
+                    if held >= ROWS_SENT:
+                        yield sent(found)
+                        found, held = [], 0
+        if found:
+            yield sent(found)
 
     rows = with_texts(docs, asked, "inner")
+    rows = rows.select("doc", "key", "text", "data")
+    if then:
+        return rows.mapInArrow(lambda batches: then(run(batches)), schema)
     schema = "anchor long, doc long, key long, place long, context binary, low int, high int"
-    return rows.select("doc", "key", "text", "data").mapInArrow(run, schema)
+    return rows.mapInArrow(run, schema)
 
 
 # --- suffix arrays ----------------------------------------------------------------------------
@@ -491,17 +533,13 @@ class Looker:
                 stop += 1
             self.sort(jobs[at:stop])
             at = stop
-        told: dict[tuple[int, int], list[tuple[int, int]]] = {}
-        for (doc, key, place, *_), gone in zip(self.rows, self.gone):
-            if gone:
-                found = told.setdefault((doc, key), [])
-                found += [(place - SIDE + i, place - SIDE + j + SPAN) for i, j in runs(gone)]
-        rows = []
-        for (doc, key), found in told.items():
-            start, end = np.array(found, np.int64).T
-            rows.append((-1, doc, key, REMOVED, packed_ranges(*united(start, end))))
+        found = [
+            (doc, key, place - SIDE + i, place - SIDE + j + SPAN)
+            for (doc, key, place, *_), gone in zip(self.rows, self.gone) if gone
+            for i, j in runs(gone)
+        ]
         self.clear()
-        yield message(rows)
+        yield removed_anywhere(*np.array(found, np.int64).reshape(-1, 4).T)
 
     def sort(self, jobs: list[dict]) -> None:
         texts, owner, low, sizes = [], [], [], []
@@ -522,16 +560,15 @@ class Looker:
         starts = np.cumsum(sizes) - sizes
         symbols[starts + sizes - 1] = 0
         ordered = suffix_arrays(symbols, starts, sizes)
-        context = np.searchsorted(ends, ordered)
+        context = np.repeat(np.arange(len(owner), dtype=np.int32), lengths + 1)[ordered]
         whole = ordered + SPAN <= ends[context]
         ordered, context = ordered[whole], context[whole]
-        windows = data[ordered[:, None] + np.arange(SPAN, dtype=ordered.dtype)]
-        job = np.searchsorted(starts, ordered, "right")
-        new = np.ones(len(ordered), bool)
-        new[1:] = (windows[1:] != windows[:-1]).any(1) | (job[1:] != job[:-1])
-        begin = np.flatnonzero(new)
-        if not len(begin):
+        if not len(ordered):
             return
+        windows = sliding_window_view(data, SPAN)[ordered].view(f"V{SPAN}")[:, 0]
+        job = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)[ordered]
+        new = heads(windows, job)
+        begin = np.flatnonzero(new)
         docs = np.array([min(self.rows[i][0] for i in of) for of in owner], np.int64)
         least = np.minimum.reduceat(docs[context], begin)[np.cumsum(new) - 1]
         some = least < docs[context]
@@ -566,15 +603,16 @@ def looked(rows: DataFrame) -> DataFrame:
     return ordered.mapInArrow(run, MESSAGE)
 
 
-def crowded(rows: DataFrame, held: Written) -> DataFrame:
+def crowded(docs: DataFrame, asked: DataFrame, held: Written) -> DataFrame:
     """The same for anchors with very many contexts: each window meets its equals by itself."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = xxhash.xxh3_128_digest
-        for batch in batches:
+        parts = (b.slice(i, WINDOWED) for b in batches for i in range(0, b.num_rows, WINDOWED))
+        for part in parts:
             out: list[tuple] = []
             for _, doc, key, place, context, low, high in zip(
-                *(c.to_pylist() for c in batch.columns)
+                *(c.to_pylist() for c in part.columns)
             ):
                 for o in range(low, high - SPAN + 1):
                     out.append((digest(context[o : o + SPAN]), doc, key, place - SIDE + o))
@@ -584,26 +622,19 @@ def crowded(rows: DataFrame, held: Written) -> DataFrame:
                 ["window", "doc", "key", "at"],
             )
 
-    windows = held.table(
-        rows.mapInArrow(run, "window binary, doc long, key long, at long")
-    )
+    schema = "window binary, doc long, key long, at long"
+    windows = held.table(fetched(docs, asked, run, schema))
     least = held.table(
         windows.groupBy("window").agg(F.min("doc").alias("least"), F.max("doc").alias("most"))
         .where("least < most").select("window", "least")
     )
     gone = windows.join(least, "window").where("doc > least").select("doc", "key", "at")
+    gone = gone.repartition("doc", "key").sortWithinPartitions("doc", "key")
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             doc, key, at = (c.to_numpy() for c in batch.columns)
-            rows = np.zeros(len(doc), NAME)
-            rows["doc"], rows["key"] = doc, key
-            names, owner = np.unique(rows, return_inverse=True)
-            yield message(
-                by_document(
-                    owner, names, REMOVED, lambda x: packed_ranges(*united(x, x + SPAN)), at
-                )
-            )
+            yield removed_anywhere(doc, key, at, at + SPAN)
 
     return gone.mapInArrow(pack, MESSAGE)
 
@@ -621,7 +652,7 @@ def removals(docs: DataFrame, held: Written) -> DataFrame:
     found = told.where(F.col("kind") == REMOVED).unionByName(some)
     crowd = told.where(F.col("kind") == LOOK_CROWDED)
     if not crowd.isEmpty():
-        found = found.unionByName(held.table(crowded(fetched(docs, crowd), held)))
+        found = found.unionByName(held.table(crowded(docs, crowd, held)))
     return found
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -348,3 +349,60 @@ def test_embeddings_of_a_table(spark):
     found = QUERIES["op9_embedding_dedup"](spark, "/root/testdata/sf0.01").collect()
     assert Counter((r.vec_id, r.n_links, r.component_id) for r in found) == vectors_by_hand(rows)
     assert all(r.kept == (r.vec_id == r.component_id) for r in found)
+
+
+def test_embeddings_write_little(spark, monkeypatch):
+    """Shuffled and written bytes stay within a few times the vectors, in which nothing prunes."""
+    roots, disk = [], spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    class Kept(Written):
+        def __init__(self, *args):
+            super().__init__(*args)
+            roots.append(Path(self.root.removeprefix("file:")))
+
+        def drop(self, *tables):
+            pass
+
+        def release(self):
+            pass
+
+    def shuffled() -> int:
+        files = disk.getAllFiles()
+        found = (files.apply(i) for i in range(files.size()))
+        return sum(f.length() for f in found if f.getName().endswith(".data"))
+
+    monkeypatch.setattr(embedding_dedup, "Written", Kept)
+    rng, n, size = np.random.default_rng(7), 4000, 64
+    rows = rng.standard_normal((n, size)).astype(np.float32)
+    rows[1::50] = rows[::50] + 0.02 * rng.standard_normal((n // 50, size)).astype(np.float32)
+    df = spark.createDataFrame(
+        [(i, row.tolist()) for i, row in enumerate(rows)], "vec_id LONG, embedding ARRAY<FLOAT>"
+    )
+    spark._jvm.System.gc()
+    before = shuffled()
+    linked = embedding_dedup.near_duplicates(df).collect()
+    found = {r.vec_id: (r.n_links, r.component_id) for r in linked}
+    made = shuffled() - before + sum(f.stat().st_size for f in roots[0].rglob("*.parquet"))
+    assert found == {i: (int(i % 50 < 2), i - (i % 50 == 1)) for i in range(n)}
+    assert made < 8 * n * size * 4
+
+
+def test_embeddings_of_clusters(spark, monkeypatch):
+    """Tiles, pivots and narrow bounds leave no link out, whichever way the chunks are cut."""
+    monkeypatch.setattr(embedding_dedup, "PART_ROWS", 200)
+    monkeypatch.setattr(embedding_dedup, "PIVOT_ROWS", 8)
+    rng = np.random.default_rng(11)
+    centres = rng.standard_normal((30, 48))
+    spread = rng.choice([0.05, 0.2, 0.45, 0.6], 900)[:, None]
+    points = centres[rng.integers(0, 30, 900)] + spread * rng.standard_normal((900, 48))
+    rows = [(i, row.tolist()) for i, row in enumerate(points.astype(np.float32).astype(float))]
+    df = spark.createDataFrame(rows, "vec_id LONG, embedding ARRAY<FLOAT>").repartition(5)
+    found = embedding_dedup.near_duplicates(df)
+    assert Counter(map(tuple, found.collect())) == vectors_by_hand(rows)
+
+
+def test_embeddings_of_doubles(spark):
+    rows = [(1, [1.0, 1e-9]), (2, [1.0, 2e-9]), (3, [-1.0, 0.0]), (4, None), (5, [0.0, -0.0])]
+    df = spark.createDataFrame(rows, "vec_id LONG, embedding ARRAY<DOUBLE>")
+    found = sorted(map(tuple, embedding_dedup.near_duplicates(df).collect()))
+    assert found == [(1, 1, 1), (2, 1, 1), (3, 0, 3), (4, 0, 4), (5, 0, 5)]

@@ -40,11 +40,13 @@ LEAST_COSINE = 0.9
 #: Most rows and bytes of vectors in a chunk; the chunks that a small table is dealt into, and
 #: how many rows are worth one.
 PART_ROWS, PART_BYTES, SPREAD, LEAST_ROWS = 16384, 4 << 20, 32, 512
-#: Most pivots and their bytes, and rows for each; rows of a tile, and visitors compared at once.
-PIVOTS, PIVOT_BYTES, PIVOT_ROWS, TILE_ROWS, BLOCK_ROWS = 8192, 8 << 20, 64, 128, 2048
-#: Tiles whose centres are compared at once. A tile that reaches this share of the visitors is
-#: compared with all of them.
-CENTRES, NEARLY_ALL = 64, 0.7
+#: Most pivots and their bytes, and rows for each; rows of a tile.
+PIVOTS, PIVOT_BYTES, PIVOT_ROWS, TILE_ROWS = 2048, 8 << 20, 64, 128
+#: Tiles whose centres are compared at once. Tiles that reach this share of the visitors are
+#: compared with all of them, so many rows of each at once.
+CENTRES, NEARLY_ALL, HOME_ROWS, BLOCK_ROWS = 64, 0.7, 512, 512
+#: Visiting chunks that a task keeps for the next row.
+KEPT = 8
 SEED = 20240
 
 
@@ -245,31 +247,44 @@ class Chunk:
         self.count = np.zeros(len(self.ids), np.int64)
         self.forest = Forest(len(self.ids))
 
-    def pairs(self, other: Chunk) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Linked pairs (row of ``other``, row); of the chunk with itself each pair once."""
+    def spans(self, other: Chunk) -> Iterator[tuple[int, int, np.ndarray | None]]:
+        """Rows ``start`` to ``end`` of one or more tiles, and the visitors that may link with
+        them (none named: all)."""
+        open_ = None
         for t in range(0, len(self.starts), CENTRES):
             some = slice(t, t + CENTRES)
             reached = self.centres[some] @ other.unit.T >= self.floors[some, None]
             for start, end, reach in zip(self.starts[some], self.ends[some], reached):
-                rows, lead = np.flatnonzero(reach), other.lead
-                if len(rows) > NEARLY_ALL * len(lead):
-                    rows = None
-                else:
-                    lead = lead[rows]
-                for i in range(0, len(lead), BLOCK_ROWS):
-                    bound = self.lead[start:end] @ lead[i : i + BLOCK_ROWS].T
-                    hit = np.flatnonzero(bound >= self.cosine - self.room)
-                    if not len(hit):
+                if np.count_nonzero(reach) > NEARLY_ALL * len(reach):
+                    if open_ and open_[1] == start and end - open_[0] <= HOME_ROWS:
+                        open_ = open_[0], end
                         continue
-                    h, v = np.divmod(hit, bound.shape[1])
-                    h, v = h + start, v + i if rows is None else rows[v + i]
-                    if other is self:
-                        h, v = h[h < v], v[h < v]
-                    for k in range(0, len(v), 1 << 14):
-                        p, q = v[k : k + (1 << 14)], h[k : k + (1 << 14)]
-                        close = self.close(other, p, q)
-                        if close.any():
-                            yield p[close], q[close]
+                    if open_:
+                        yield *open_, None
+                    open_ = start, end
+                elif reach.any():
+                    yield start, end, np.flatnonzero(reach)
+        if open_:
+            yield *open_, None
+
+    def pairs(self, other: Chunk) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Linked pairs (row of ``other``, row); of the chunk with itself each pair once."""
+        for start, end, rows in self.spans(other):
+            lead = other.lead if rows is None else other.lead[rows]
+            for i in range(0, len(lead), BLOCK_ROWS):
+                bound = self.lead[start:end] @ lead[i : i + BLOCK_ROWS].T
+                hit = np.flatnonzero(bound >= self.cosine - self.room)
+                if not len(hit):
+                    continue
+                h, v = np.divmod(hit, bound.shape[1])
+                h, v = h + start, v + i if rows is None else rows[v + i]
+                if other is self:
+                    h, v = h[h < v], v[h < v]
+                for k in range(0, len(v), 1 << 14):
+                    p, q = v[k : k + (1 << 14)], h[k : k + (1 << 14)]
+                    close = self.close(other, p, q)
+                    if close.any():
+                        yield p[close], q[close]
 
     def close(self, other: Chunk, v: np.ndarray, h: np.ndarray) -> np.ndarray:
         """Which of these pairs link."""
@@ -318,7 +333,7 @@ def linked(table: DataFrame, cosine: float, kind: str) -> DataFrame:
             size, *data = (batch.column(first + c)[row].as_py() for c in range(2, 7))
             return Chunk(size, kind, cosine, *data)
 
-        name, home = None, None
+        name, home, known = None, None, {}
         for batch in batches:
             numbers, others = batch.column(0).to_pylist(), batch.column(7).to_pylist()
             for row, (mine, its) in enumerate(zip(numbers, others)):
@@ -330,7 +345,11 @@ def linked(table: DataFrame, cosine: float, kind: str) -> DataFrame:
                 if mine == its:
                     home.within()
                 else:
-                    yield out(*home.visit(chunk(batch, row, 7)))
+                    visitor = known.pop(its, None) or chunk(batch, row, 7)
+                    known[its] = visitor
+                    if len(known) > KEPT:
+                        del known[next(iter(known))]
+                    yield out(*home.visit(visitor))
         if home:
             yield out(*home.result())
 
